@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.functions.dates import parse_date
+from orderloom.functions.dates import iso_text
 from orderloom.functions.predicates import not_listed_or_null
 from orderloom.functions.text import full_name, null_if_token, strip
 from orderloom.model import Star
@@ -26,7 +26,7 @@ from orderloom.plans.star import (
     run_sql,
     valid_orders,
 )
-from orderloom.schemas import CUSTOMERS, POSITION
+from orderloom.schemas import CUSTOMERS, ORDER_DAY, POSITION
 from orderloom.session import scratch_folder
 from orderloom.sources.csv_files import read_csv
 from orderloom.sources.mart import read_run_log, read_star
@@ -52,7 +52,7 @@ WEEKDAY_SALES = """
 
 
 def trade_star(spark: SparkSession, folder: str) -> Star:
-    return build_star(stage_trade(spark, folder), TRADE_RULES)
+    return build_star(stage_trade(spark, folder))
 
 
 def trade_run(spark: SparkSession, folder: str, root: str | None = None) -> RunResult:
@@ -193,7 +193,7 @@ def dedupe_products(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dedupe_orders(spark: SparkSession, folder: str) -> DataFrame:
-    rows = keep_first(valid_orders(stage_orders(spark, folder), TRADE_RULES), "order_id")
+    rows = keep_first(valid_orders(stage_orders(spark, folder)), "order_id")
     return rows.select(
         "order_id", "customer_id", "product_id", "quantity", "order_date", "updated_at"
     )
@@ -207,17 +207,15 @@ def distinct_categories(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def distinct_dates(spark: SparkSession, folder: str) -> DataFrame:
-    days = stage_orders(spark, folder).select(
-        parse_date(F.col("order_date"), TRADE_RULES.date_formats).alias("day")
-    )
-    return distinct_values(days, "day").select(F.col("day").cast("string").alias("day"))
+    days = distinct_values(stage_orders(spark, folder), ORDER_DAY)
+    return days.select(iso_text(F.col(ORDER_DAY)).alias("day"))
 
 
 def amount_lookup_default(spark: SparkSession, folder: str) -> DataFrame:
     """Amounts for known, unpriced and, as some products are left out, unknown products."""
     staged = stage_trade(spark, folder)
     prices = build_prices(staged.products.where(F.col("product_id") % 50 != 0))
-    fact = build_fact(staged.orders, prices, TRADE_RULES)
+    fact = build_fact(staged.orders, prices)
     return with_double(
         fact.select("OrderKey", "ProductKey", "Quantity", "TotalAmount"), "TotalAmount"
     )

@@ -23,7 +23,9 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--fail-on", nargs="*", default=[], choices=[*CHECKS, "all"])
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("orderloom").getOrCreate()
-    staged = read_csv_sources(spark, args.customers, args.products, args.orders, args.multiline)
+    staged = read_csv_sources(
+        spark, args.customers, args.products, args.orders, multiline=args.multiline
+    )
     fail_on = list(CHECKS) if "all" in args.fail_on else args.fail_on
     try:
         result = run_pipeline(

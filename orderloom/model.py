@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 @dataclass(frozen=True)
 class Staged:
-    """Typed source tables, each with its position column."""
+    """Typed source tables, each with its position column, orders with their day."""
 
     customers: DataFrame
     products: DataFrame

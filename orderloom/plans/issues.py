@@ -11,7 +11,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.functions.dates import parse_date
 from orderloom.functions.predicates import (
     is_blank,
     negative_or_null,
@@ -20,7 +19,15 @@ from orderloom.functions.predicates import (
 )
 from orderloom.functions.text import full_name, shown, shown_decimal, strip
 from orderloom.model import Staged
-from orderloom.schemas import CUSTOMERS, DEFAULT_RULES, ORDERS, PRODUCTS, Rules, SourceSchema
+from orderloom.schemas import (
+    CUSTOMERS,
+    DEFAULT_RULES,
+    ORDER_DAY,
+    ORDERS,
+    PRODUCTS,
+    Rules,
+    SourceSchema,
+)
 
 # The category of an issue, by its source.
 CATEGORIES = {
@@ -71,7 +78,7 @@ def order_rules(rules: Rules) -> list[RowRule]:
     return [
         (
             "DQ-4",
-            parse_date(F.col("order_date"), rules.date_formats).isNull(),
+            F.col(ORDER_DAY).isNull(),
             F.concat(F.lit("Invalid order_date for OrderKey "), key),
         ),
         (

@@ -190,8 +190,8 @@ def run_pipeline(
     category = run.write_table("DimCategory", build_category(source.products))
     customer = run.write_table("DimCustomer", build_customer(source.customers))
     product = run.write_table("DimProduct", build_product(source.products, category))
-    date = run.write_table("DimDate", build_date(source.orders, rules))
-    fact_plan = build_fact(source.orders, product, rules)
+    date = run.write_table("DimDate", build_date(source.orders))
+    fact_plan = build_fact(source.orders, product)
     planned = Star(category, customer, product, date, fact_plan)
     run.require_gates(planned, [name for name in STAR_SCHEMAS if name != "FactOrder"])
     if fact_by_year:

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.functions.dates import date_key, date_parts, parse_date
+from orderloom.functions.dates import date_key, date_parts
 from orderloom.functions.numbers import line_amount
 from orderloom.functions.text import full_name, strip
 from orderloom.model import Staged, Star
 from orderloom.operators.dedupe import distinct_values, first_appearance, keep_first
 from orderloom.operators.lookup import MATCHED, left_lookup
 from orderloom.operators.surrogate import dense_keys
-from orderloom.schemas import DEFAULT_RULES, POSITION, STAR_SCHEMAS, Rules
+from orderloom.schemas import ORDER_DAY, POSITION, STAR_SCHEMAS
 
 
 def conform(rows: DataFrame, table: str) -> DataFrame:
@@ -55,19 +55,15 @@ def build_product(products: DataFrame, category: DataFrame) -> DataFrame:
     )
 
 
-def build_date(orders: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+def build_date(orders: DataFrame) -> DataFrame:
     """One row per valid order date that occurs, dates of copied orders included."""
-    days = orders.select(parse_date(F.col("order_date"), rules.date_formats).alias("_day"))
-    return conform(
-        distinct_values(days, "_day").select(*date_parts(F.col("_day"))), "DimDate"
-    )
+    days = distinct_values(orders, ORDER_DAY)
+    return conform(days.select(*date_parts(F.col(ORDER_DAY))), "DimDate")
 
 
-def valid_orders(orders: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """Orders with a parsed date; the only rule that drops rows."""
-    return orders.withColumn(
-        "OrderDate", parse_date(F.col("order_date"), rules.date_formats)
-    ).where(F.col("OrderDate").isNotNull())
+def valid_orders(orders: DataFrame) -> DataFrame:
+    """Orders with a valid date; the only rule that drops rows."""
+    return orders.where(F.col(ORDER_DAY).isNotNull())
 
 
 def build_prices(products: DataFrame) -> DataFrame:
@@ -86,21 +82,21 @@ def with_amount(orders: DataFrame, prices: DataFrame) -> DataFrame:
     return priced.withColumn("TotalAmount", amount).drop(MATCHED, "Price")
 
 
-def build_fact(orders: DataFrame, prices: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+def build_fact(orders: DataFrame, prices: DataFrame) -> DataFrame:
     """The first valid row of each order, priced by the product dimension or its prices.
 
     Prices are looked up before the de-duplication: its shuffle by order lets Spark
     split a hot product in the join, which a report grouping by product would not.
     """
-    priced = with_amount(valid_orders(orders, rules), prices)
+    priced = with_amount(valid_orders(orders), prices)
     return conform(
         keep_first(priced, "order_id").select(
             F.col("order_id").alias("OrderKey"),
             F.col("customer_id").alias("CustomerKey"),
             F.col("product_id").alias("ProductKey"),
-            date_key(F.col("OrderDate")).alias("DateKey"),
+            date_key(F.col(ORDER_DAY)).alias("DateKey"),
             F.col("quantity").alias("Quantity"),
-            "OrderDate",
+            F.col(ORDER_DAY).alias("OrderDate"),
             F.col("payment_type").alias("PaymentType"),
             F.col("status").alias("Status"),
             F.col("updated_at").alias("UpdatedAt"),
@@ -110,14 +106,14 @@ def build_fact(orders: DataFrame, prices: DataFrame, rules: Rules = DEFAULT_RULE
     )
 
 
-def build_star(staged: Staged, rules: Rules = DEFAULT_RULES) -> Star:
+def build_star(staged: Staged) -> Star:
     category = build_category(staged.products)
     return Star(
         DimCategory=category,
         DimCustomer=build_customer(staged.customers),
         DimProduct=build_product(staged.products, category),
-        DimDate=build_date(staged.orders, rules),
-        FactOrder=build_fact(staged.orders, build_prices(staged.products), rules),
+        DimDate=build_date(staged.orders),
+        FactOrder=build_fact(staged.orders, build_prices(staged.products)),
     )
 
 

@@ -13,6 +13,9 @@ AMOUNT = T.DecimalType(28, 4)
 # whole file splits (or key ranges), `row` orders the rows inside one of them.
 POSITION = "_pos"
 
+# Parsed date of a staged order, null where its text is no valid date.
+ORDER_DAY = "order_day"
+
 
 @dataclass(frozen=True)
 class SourceSchema:

@@ -10,10 +10,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orderloom.functions.dates import parse_date
 from orderloom.functions.numbers import to_typed
 from orderloom.functions.text import null_if_token
 from orderloom.model import Staged
-from orderloom.schemas import CUSTOMERS, ORDERS, POSITION, PRODUCTS, SourceSchema
+from orderloom.schemas import (
+    CUSTOMERS,
+    DEFAULT_RULES,
+    ORDER_DAY,
+    ORDERS,
+    POSITION,
+    PRODUCTS,
+    Rules,
+    SourceSchema,
+)
 
 CORRUPT = "_corrupt_record"
 REJECTED = "_rejected"
@@ -94,15 +104,21 @@ def bad_lines(table: DataFrame) -> DataFrame:
 
 
 def read_csv_sources(
-    spark: SparkSession, customers: str, products: str, orders: str, multiline: bool = False
+    spark: SparkSession,
+    customers: str,
+    products: str,
+    orders: str,
+    rules: Rules = DEFAULT_RULES,
+    multiline: bool = False,
 ) -> Staged:
     """The three source files, or folders of files, as staged tables."""
-    tables = [
-        read_csv(spark, path, schema, multiline).drop(REJECTED, CORRUPT)
-        for path, schema in (
-            (customers, CUSTOMERS),
-            (products, PRODUCTS),
-            (orders, ORDERS),
-        )
-    ]
-    return Staged(*tables)
+
+    def table(path: str, schema: SourceSchema) -> DataFrame:
+        return read_csv(spark, path, schema, multiline).drop(REJECTED, CORRUPT)
+
+    day = parse_date(F.col("order_date"), rules.date_formats)
+    return Staged(
+        customers=table(customers, CUSTOMERS),
+        products=table(products, PRODUCTS),
+        orders=table(orders, ORDERS).withColumn(ORDER_DAY, day),
+    )

@@ -8,12 +8,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.functions.dates import iso_text
+from orderloom.functions.dates import iso_text, parse_date
 from orderloom.model import Staged
-from orderloom.schemas import MONEY, POSITION, Rules
+from orderloom.schemas import MONEY, ORDER_DAY, POSITION, Rules
 
-# Keys per range of the position's coarse half; ranges bound what one task numbers.
-KEYS_PER_PART = 65_536
+# A range of the position's coarse half spans 2^16 keys.
+RANGE_BITS = 16
 
 TRADE_RULES = Rules(
     payments=("1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW"),
@@ -27,7 +27,7 @@ def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
 
 def key_position(key: str, *rest: str) -> Column:
     """A position from a business order: the key's range, then the whole order."""
-    part = F.floor(F.col(key) / KEYS_PER_PART)
+    part = F.shiftright(key, RANGE_BITS)
     return F.struct(part.alias("part"), F.struct(key, *rest).alias("row"))
 
 
@@ -75,12 +75,14 @@ def stage_orders(spark: SparkSession, folder: str) -> DataFrame:
     """One staged order per line item, in the order of all line item columns."""
     lines = _read(spark, folder, "lineitem")
     key = F.col("o_orderkey")
+    date_text = F.when(key % 97 == 0, F.lit("not-a-date")).otherwise(
+        iso_text(F.col("o_orderdate").cast("date"))
+    )
     heads = _read(spark, folder, "orders").select(
         "o_orderkey",
         F.col("o_custkey").alias("customer_id"),
-        F.when(key % 97 == 0, F.lit("not-a-date"))
-        .otherwise(iso_text(F.col("o_orderdate").cast("date")))
-        .alias("order_date"),
+        date_text.alias("order_date"),
+        parse_date(date_text, TRADE_RULES.date_formats).alias(ORDER_DAY),
         F.when(key % 89 != 0, F.col("o_orderpriority")).alias("payment_type"),
         F.col("o_orderstatus").alias("status"),
     )
@@ -90,6 +92,7 @@ def stage_orders(spark: SparkSession, folder: str) -> DataFrame:
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").cast("bigint").alias("quantity"),
         "order_date",
+        ORDER_DAY,
         "payment_type",
         "status",
         iso_text(F.col("l_shipdate").cast("date")).alias("updated_at"),
