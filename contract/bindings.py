@@ -14,7 +14,7 @@ from orderloom.model import Star
 from orderloom.operators.dedupe import distinct_values, first_appearance, keep_first
 from orderloom.operators.integrity import duplicate_keys, orphan_keys
 from orderloom.plans import reports
-from orderloom.plans.checks import gate_report, null_links, summarize
+from orderloom.plans.checks import gates_of, null_links_of, summarize
 from orderloom.plans.issues import find_issues
 from orderloom.plans.job import RunResult, run_pipeline
 from orderloom.plans.star import (
@@ -195,7 +195,12 @@ def dedupe_products(spark: SparkSession, folder: str) -> DataFrame:
 def dedupe_orders(spark: SparkSession, folder: str) -> DataFrame:
     rows = keep_first(valid_orders(stage_orders(spark, folder)), "order_id")
     return rows.select(
-        "order_id", "customer_id", "product_id", "quantity", "order_date", "updated_at"
+        "order_id",
+        "customer_id",
+        "product_id",
+        "quantity",
+        iso_text(F.col(ORDER_DAY)).alias("order_date"),
+        "updated_at",
     )
 
 
@@ -265,8 +270,9 @@ def dq_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dq_gates(spark: SparkSession, folder: str) -> DataFrame:
-    star = trade_run(spark, folder).star(spark)
-    return gate_report(star).unionByName(null_links(star).withColumnRenamed("link", "gate"))
+    """The gates, all zero, and the rows with a null foreign key."""
+    metrics = trade_run(spark, folder).metrics(spark)
+    return gates_of(metrics).unionByName(null_links_of(metrics))
 
 
 def _orphans(rows: DataFrame, key: str) -> DataFrame:

@@ -216,15 +216,15 @@ def _gates() -> str:
         ("FactOrder", "DateKey"),
         ("DimProduct", "CategoryKey"),
     ]
-    null_count = "SELECT '{label}{t}.{c}' AS gate, count(*) AS violations FROM {t} WHERE {c} IS NULL"
+    null_count = "SELECT 'null {t}.{c}' AS metric, count(*) AS violations FROM {t} WHERE {c} IS NULL"
     copy_count = (
         "SELECT 'copies {t}.{c}', count(*) FROM "
         "(SELECT {c} FROM {t} GROUP BY {c} HAVING count(*) > 1) d"
     )
     return " UNION ALL ".join(
-        [null_count.format(label="null ", t=t, c=c) for t, c in nulls]
+        [null_count.format(t=t, c=c) for t, c in nulls]
         + [copy_count.format(t=t, c=c) for t, c in copies]
-        + [null_count.format(label="", t=t, c=c) for t, c in links]
+        + [null_count.format(t=t, c=c) for t, c in links]
     )
 
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from orderloom.schemas import STAR_SCHEMAS
+
 
 @dataclass(frozen=True)
 class Staged:
@@ -23,18 +26,37 @@ class Staged:
         ]
 
 
-@dataclass(frozen=True)
 class Star:
-    """The five tables; the field names are the table names."""
+    """The five tables by name; one given as a function is planned on first use."""
 
-    DimCategory: DataFrame
-    DimCustomer: DataFrame
-    DimProduct: DataFrame
-    DimDate: DataFrame
-    FactOrder: DataFrame
+    def __init__(self, **tables: DataFrame | Callable[[], DataFrame]):
+        self._tables = {name: tables[name] for name in STAR_SCHEMAS if name in tables}
 
     def table(self, name: str) -> DataFrame:
-        return getattr(self, name)
+        found = self._tables[name]
+        if callable(found):
+            found = self._tables[name] = found()
+        return found
 
     def items(self) -> list[tuple[str, DataFrame]]:
-        return [(f.name, self.table(f.name)) for f in fields(self)]
+        return [(name, self.table(name)) for name in self._tables]
+
+    @property
+    def DimCategory(self) -> DataFrame:
+        return self.table("DimCategory")
+
+    @property
+    def DimCustomer(self) -> DataFrame:
+        return self.table("DimCustomer")
+
+    @property
+    def DimProduct(self) -> DataFrame:
+        return self.table("DimProduct")
+
+    @property
+    def DimDate(self) -> DataFrame:
+        return self.table("DimDate")
+
+    @property
+    def FactOrder(self) -> DataFrame:
+        return self.table("FactOrder")

@@ -13,11 +13,10 @@ MATCHED = "_matched"
 
 
 def left_lookup(rows: DataFrame, key: Column, table: DataFrame, table_key: str) -> DataFrame:
-    """Add the table's columns, null on a miss, and `_matched`, true on a hit."""
-    side = table.withColumnRenamed(table_key, "_lookup").withColumn(MATCHED, F.lit(True))
-    return (
-        rows.withColumn("_wanted", key)
-        .join(side, F.col("_wanted") == F.col("_lookup"), "left")
-        .withColumn(MATCHED, F.coalesce(MATCHED, F.lit(False)))
-        .drop("_wanted", "_lookup")
+    """Add the table's columns and `_matched`: true on a hit, null like them on a miss."""
+    side = table.select(
+        F.col(table_key).alias("_lookup"),
+        *[name for name in table.columns if name != table_key],
+        F.lit(True).alias(MATCHED),
     )
+    return rows.join(side, key == F.col("_lookup"), "left").drop("_lookup")

@@ -1,11 +1,13 @@
-"""Checks over a built star: 19 checks, their tally, and the gates before a publish.
+"""Metrics over a built star, and the checks, gates and tallies read from them.
 
-All conditions on one table share one pass over the columns they need. Key checks
-shuffle a count per key.
+A metric counts violations. All row conditions on one table share one pass over
+the columns they need; key metrics shuffle a count per key, once for each key.
+Checks and gates that ask the same question share its metric.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,8 +19,8 @@ from orderloom.functions.predicates import (
     not_listed,
     not_positive,
 )
-from orderloom.operators.integrity import duplicate_key_count, orphan_rows
 from orderloom.model import Star
+from orderloom.operators.integrity import duplicate_key_count, orphan_rows
 from orderloom.schemas import (
     DEFAULT_RULES,
     FOREIGN_KEYS,
@@ -28,57 +30,107 @@ from orderloom.schemas import (
     Rules,
 )
 
+# check: (what passes, metric that must be zero)
 CHECKS = {
-    "CK-1": "tables readable with the expected schema",
-    "CK-2": "customers present",
-    "CK-3": "categories present",
-    "CK-4": "products present",
-    "CK-5": "dates present",
-    "CK-6": "orders present",
-    "CK-7": "order customers known",
-    "CK-8": "order products known",
-    "CK-9": "product categories known",
-    "CK-10": "customer names filled",
-    "CK-11": "prices positive",
-    "CK-12": "quantities positive",
-    "CK-13": "order dates filled",
-    "CK-14": "order keys unique",
-    "CK-15": "customer keys unique",
-    "CK-16": "amounts not negative",
-    "CK-17": "statuses allowed",
-    "CK-18": "order dates known",
-    "CK-19": "no issues logged",
-}
-ORPHAN_CHECKS = dict(zip(("CK-7", "CK-8", "CK-9", "CK-18"), FOREIGN_KEYS))
-PRESENCE_CHECKS = {
-    "CK-2": "DimCustomer",
-    "CK-3": "DimCategory",
-    "CK-4": "DimProduct",
-    "CK-5": "DimDate",
-    "CK-6": "FactOrder",
+    "CK-1": ("tables readable with the expected schema", "schema differences"),
+    "CK-2": ("customers present", "empty DimCustomer"),
+    "CK-3": ("categories present", "empty DimCategory"),
+    "CK-4": ("products present", "empty DimProduct"),
+    "CK-5": ("dates present", "empty DimDate"),
+    "CK-6": ("orders present", "empty FactOrder"),
+    "CK-7": ("order customers known", "orphans FactOrder.CustomerKey"),
+    "CK-8": ("order products known", "orphans FactOrder.ProductKey"),
+    "CK-9": ("product categories known", "orphans DimProduct.CategoryKey"),
+    "CK-10": ("customer names filled", "invalid DimCustomer.FullName"),
+    "CK-11": ("prices positive", "invalid DimProduct.Price"),
+    "CK-12": ("quantities positive", "invalid FactOrder.Quantity"),
+    "CK-13": ("order dates filled", "invalid FactOrder.OrderDate"),
+    "CK-14": ("order keys unique", "copies FactOrder.OrderKey"),
+    "CK-15": ("customer keys unique", "copies DimCustomer.CustomerKey"),
+    "CK-16": ("amounts not negative", "invalid FactOrder.TotalAmount"),
+    "CK-17": ("statuses allowed", "invalid FactOrder.Status"),
+    "CK-18": ("order dates known", "orphans FactOrder.DateKey"),
+    "CK-19": ("no issues logged", "issues logged"),
 }
 
 
-def _union(parts: list[DataFrame]) -> DataFrame:
+def _gates(name: str) -> list[str]:
+    """Metrics a table must answer with zero: keys and names filled, keys unique."""
+    key = PRIMARY_KEYS[name]
+    required = [key, *([REQUIRED_NAMES[name]] if name in REQUIRED_NAMES else [])]
+    nulls = [f"null {name}.{column}" for column in required]
+    return nulls + [f"copies {name}.{column}" for column in _unique_columns(name)]
+
+
+def _unique_columns(name: str) -> list[str]:
+    also = ["CategoryName"] if name == "DimCategory" else []
+    return [PRIMARY_KEYS[name], *also]
+
+
+GATES = {name: _gates(name) for name in STAR_SCHEMAS}
+NULL_LINKS = [f"null {child}.{column}" for child, column, _ in FOREIGN_KEYS]
+
+
+def _union(parts: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _long_form(one_row: DataFrame, label: str) -> DataFrame:
-    """One wide row of counts as (label, violations) rows."""
-    quoted = [f"`{name}`" for name in one_row.columns]
-    return one_row.unpivot([], quoted, label, "violations")
+def _labelled(one_row: DataFrame, metric: str) -> DataFrame:
+    return one_row.select(F.lit(metric).alias("metric"), "violations")
 
 
-def _labelled(one_row: DataFrame, label: str, value: str) -> DataFrame:
-    return one_row.select(F.lit(value).alias(label), "violations")
+def _row_conditions(name: str, rules: Rules) -> dict[str, Column]:
+    """Metrics of a table that count violating rows."""
+    linked = [column for child, column, _ in FOREIGN_KEYS if child == name]
+    filled = [PRIMARY_KEYS[name], *linked]
+    if name in REQUIRED_NAMES:
+        filled.append(REQUIRED_NAMES[name])
+    col = F.col
+    invalid = {
+        "DimCustomer": {"FullName": is_empty(col("FullName"))},
+        "DimProduct": {"Price": not_positive(col("Price"))},
+        "FactOrder": {
+            "Quantity": not_positive(col("Quantity")),
+            "OrderDate": col("OrderDate").isNull(),
+            "TotalAmount": negative_or_null(col("TotalAmount")),
+            "Status": not_listed(col("Status"), rules.statuses),
+        },
+    }.get(name, {})
+    return {
+        **{f"null {name}.{column}": col(column).isNull() for column in filled},
+        **{f"invalid {name}.{column}": broken for column, broken in invalid.items()},
+    }
+
+
+def table_metrics(star: Star, name: str, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """(metric, violations) of one table by itself."""
+    table = star.table(name)
+    empty = (F.count(F.lit(1)) == 0).cast("bigint").alias(f"empty {name}")
+    broken = [
+        F.count_if(condition).alias(metric)
+        for metric, condition in _row_conditions(name, rules).items()
+    ]
+    one_pass = table.agg(empty, *broken)
+    quoted = [f"`{metric}`" for metric in one_pass.columns]
+    copies = [
+        _labelled(duplicate_key_count(table, column), f"copies {name}.{column}")
+        for column in _unique_columns(name)
+    ]
+    return _union([one_pass.unpivot([], quoted, "metric", "violations"), *copies])
 
 
-def _is_absent() -> Column:
-    """1 for an empty table, else 0."""
-    return (F.count(F.lit(1)) == 0).cast("bigint")
+def link_metrics(star: Star) -> DataFrame:
+    """(metric, violations) of the foreign keys: rows that point at no parent."""
+    return _union(
+        _labelled(
+            orphan_rows(star.table(child), column, star.table(parent), PRIMARY_KEYS[parent]),
+            f"orphans {child}.{column}",
+        )
+        for child, column, parent in FOREIGN_KEYS
+    )
 
 
-def schema_mismatches(star: Star) -> list[str]:
+def schema_differences(star: Star) -> list[str]:
     """Tables whose columns or types differ from the star's definition."""
     return [
         name
@@ -88,62 +140,49 @@ def schema_mismatches(star: Star) -> list[str]:
     ]
 
 
-def _row_conditions(rules: Rules) -> dict[str, dict[str, Column]]:
-    """Per table, the checks that count violating rows."""
-    col = F.col
-    return {
-        "DimCustomer": {"CK-10": is_empty(col("FullName"))},
-        "DimCategory": {},
-        "DimProduct": {"CK-11": not_positive(col("Price"))},
-        "DimDate": {},
-        "FactOrder": {
-            "CK-12": not_positive(col("Quantity")),
-            "CK-13": col("OrderDate").isNull(),
-            "CK-16": negative_or_null(col("TotalAmount")),
-            "CK-17": not_listed(col("Status"), rules.statuses),
-        },
-    }
+def other_metrics(spark: SparkSession, star: Star, issues: DataFrame) -> DataFrame:
+    """(metric, violations) of the schemas and of the issue table."""
+    wrong = F.lit(len(schema_differences(star))).cast("bigint").alias("violations")
+    logged = issues.agg(F.count(F.lit(1)).alias("violations"))
+    return _labelled(spark.range(1).select(wrong), "schema differences").unionByName(
+        _labelled(logged, "issues logged")
+    )
 
 
-def count_violations(
-    spark: SparkSession, star: Star, issues: DataFrame, rules: Rules
+def all_metrics(
+    spark: SparkSession, star: Star, issues: DataFrame, rules: Rules = DEFAULT_RULES
 ) -> DataFrame:
-    """(check, violations) for all 19 checks."""
-    parts = [
-        spark.range(1).select(
-            F.lit("CK-1").alias("check"),
-            F.lit(len(schema_mismatches(star))).cast("bigint").alias("violations"),
-        )
-    ]
-    conditions = _row_conditions(rules)
-    for presence, name in PRESENCE_CHECKS.items():
-        counts = [F.count_if(broken).alias(check) for check, broken in conditions[name].items()]
-        one_pass = star.table(name).agg(_is_absent().alias(presence), *counts)
-        parts.append(_long_form(one_pass, "check"))
-    for check, (child, column, parent) in ORPHAN_CHECKS.items():
-        orphans = orphan_rows(
-            star.table(child), column, star.table(parent), PRIMARY_KEYS[parent]
+    """Every metric of a star, one row each."""
+    tables = [table_metrics(star, name, rules) for name in STAR_SCHEMAS]
+    return _union([*tables, link_metrics(star), other_metrics(spark, star, issues)])
+
+
+def report_of(metrics: DataFrame) -> DataFrame:
+    """The 19 checks: name, violations, and whether the check passed."""
+    texts = F.create_map(
+        *[
+            cell
+            for check, (name, metric) in CHECKS.items()
+            for cell in (
+                F.lit(metric),
+                F.struct(F.lit(check).alias("check"), F.lit(name).alias("name")),
+            )
+        ]
+    )
+    return (
+        metrics.where(F.col("metric").isin([metric for _, metric in CHECKS.values()]))
+        .withColumn("_check", texts[F.col("metric")])
+        .select(
+            "_check.check", "_check.name", "violations", (F.col("violations") == 0).alias("passed")
         )
-        parts.append(_labelled(orphans, "check", check))
-    for check, name in (("CK-14", "FactOrder"), ("CK-15", "DimCustomer")):
-        copies = duplicate_key_count(star.table(name), PRIMARY_KEYS[name])
-        parts.append(_labelled(copies, "check", check))
-    logged = issues.agg(F.count(F.lit(1)).alias("violations"))
-    parts.append(_labelled(logged, "check", "CK-19"))
-    return _union(parts)
+    )
 
 
 def check_report(
     spark: SparkSession, star: Star, issues: DataFrame, rules: Rules = DEFAULT_RULES
 ) -> DataFrame:
-    """One row per check: its name, how many violations, and whether it passed."""
-    names = F.create_map(*[F.lit(text) for pair in CHECKS.items() for text in pair])
-    return count_violations(spark, star, issues, rules).select(
-        "check",
-        names[F.col("check")].alias("name"),
-        "violations",
-        (F.col("violations") == 0).alias("passed"),
-    )
+    """One row per check, computed from the star and its issues."""
+    return report_of(all_metrics(spark, star, issues, rules))
 
 
 def summarize(report: DataFrame) -> DataFrame:
@@ -155,44 +194,12 @@ def summarize(report: DataFrame) -> DataFrame:
     )
 
 
-def table_gates(star: Star, name: str) -> DataFrame:
-    """(gate, violations) a table must answer with zeros before it is published.
-
-    Keys filled and unique, names filled, and for categories the name unique.
-    """
-    table = star.table(name)
-    key = PRIMARY_KEYS[name]
-    nulls = {f"null {name}.{key}": F.col(key).isNull()}
-    unique = [key]
-    if name in REQUIRED_NAMES:
-        label = REQUIRED_NAMES[name]
-        nulls[f"null {name}.{label}"] = F.col(label).isNull()
-        if name == "DimCategory":
-            unique.append(label)
-    counts = table.agg(*[F.count_if(broken).alias(gate) for gate, broken in nulls.items()])
-    return _union(
-        [
-            _long_form(counts, "gate"),
-            *[
-                _labelled(duplicate_key_count(table, column), "gate", f"copies {name}.{column}")
-                for column in unique
-            ],
-        ]
-    )
-
-
-def gate_report(star: Star) -> DataFrame:
-    """The gates of all five tables."""
-    return _union([table_gates(star, name) for name in STAR_SCHEMAS])
+def gates_of(metrics: DataFrame, names: Iterable[str] = tuple(STAR_SCHEMAS)) -> DataFrame:
+    """The metrics that must be zero before the named tables are published."""
+    wanted = [gate for name in names for gate in GATES[name]]
+    return metrics.where(F.col("metric").isin(wanted))
 
 
-def null_links(star: Star) -> DataFrame:
-    """(link, violations): rows whose foreign key is null, which no orphan check counts."""
-    parts = []
-    for child in dict.fromkeys(child for child, _, _ in FOREIGN_KEYS):
-        columns = [column for table, column, _ in FOREIGN_KEYS if table == child]
-        counts = [
-            F.count_if(F.col(column).isNull()).alias(f"{child}.{column}") for column in columns
-        ]
-        parts.append(_long_form(star.table(child).agg(*counts), "link"))
-    return _union(parts)
+def null_links_of(metrics: DataFrame) -> DataFrame:
+    """Rows whose foreign key is null, which no orphan check counts."""
+    return metrics.where(F.col("metric").isin(NULL_LINKS))

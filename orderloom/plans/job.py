@@ -11,12 +11,20 @@ import datetime
 import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.model import Staged, Star
-from orderloom.plans.checks import CHECKS, check_report, table_gates
+from orderloom.plans.checks import (
+    CHECKS,
+    gates_of,
+    link_metrics,
+    other_metrics,
+    report_of,
+    table_metrics,
+)
 from orderloom.plans.issues import find_issues
 from orderloom.plans.star import (
     build_category,
@@ -26,12 +34,12 @@ from orderloom.plans.star import (
     build_product,
     conform,
 )
-from orderloom.schemas import DEFAULT_RULES, STAR_SCHEMAS, Rules
+from orderloom.schemas import DEFAULT_RULES, DIMENSIONS, STAR_SCHEMAS, Rules
 from orderloom.sources.mart import (
     RUN_LOG,
-    RUN_LOG_SCHEMA,
     current_run,
     read_issues,
+    read_metrics,
     read_report,
     read_run_log,
     read_star,
@@ -59,6 +67,9 @@ class RunResult:
     def issues(self, spark: SparkSession) -> DataFrame:
         return read_issues(spark, self.root, self.run_id)
 
+    def metrics(self, spark: SparkSession) -> DataFrame:
+        return read_metrics(spark, self.root, self.run_id)
+
     def report(self, spark: SparkSession) -> DataFrame:
         return read_report(spark, self.root, self.run_id)
 
@@ -104,19 +115,25 @@ class _Run:
         for name, rows in staged.items():
             self.source_rows[name] = write_counted(rows, self.path(f"staged/{name}"))
         return Staged(
-            **{name: self.spark.read.parquet(self.path(f"staged/{name}")) for name, _ in staged.items()}
+            **{
+                name: self.spark.read.schema(rows.schema).parquet(self.path(f"staged/{name}"))
+                for name, rows in staged.items()
+            }
         )
 
     def write_issues(self, issues: DataFrame) -> DataFrame:
         stamped = issues.select(
             F.lit(self.run_id).alias("run_id"), F.current_timestamp().alias("logged_at"), "*"
         )
-        stamped.write.mode("overwrite").parquet(self.path("dq_issues"))
-        return self.spark.read.parquet(self.path("dq_issues"))
+        return self.write(stamped, "dq_issues")
+
+    def write(self, rows: DataFrame, name: str) -> DataFrame:
+        rows.write.mode("overwrite").parquet(self.path(name))
+        return self.spark.read.schema(rows.schema).parquet(self.path(name))
 
     def write_table(self, name: str, rows: DataFrame) -> DataFrame:
         self.table_rows[name] = write_counted(conform(rows, name), self.path(name))
-        return self.spark.read.parquet(self.path(name))
+        return self.read_table(name)
 
     def write_fact_by_year(self, rows: DataFrame) -> DataFrame:
         """Partition the fact by year; the rebalance keeps files large and even."""
@@ -124,49 +141,55 @@ class _Run:
         self.table_rows["FactOrder"] = write_counted(
             yearly.hint("rebalance", "order_year"), self.path("FactOrder"), "order_year"
         )
-        return self.spark.read.parquet(self.path("FactOrder")).drop("order_year")
+        return self.read_table("FactOrder").drop("order_year")
+
+    def read_table(self, name: str) -> DataFrame:
+        return self.spark.read.schema(STAR_SCHEMAS[name]).parquet(self.path(name))
 
-    def require_gates(self, star: Star, names: Iterable[str]) -> None:
+    def write_metrics(self, metrics: DataFrame, part: str) -> DataFrame:
+        """Metrics are one row each; the parts together are the run's metrics table."""
+        return self.write(metrics.coalesce(1), f"dq_metrics/part={part}")
+
+    def require_gates(self, metrics: DataFrame, names: Iterable[str]) -> None:
         """Raise if a table breaks its keys or lacks a required name."""
-        gates = [table_gates(star, name) for name in names]
-        merged = gates[0]
-        for gate in gates[1:]:
-            merged = merged.unionByName(gate)
-        broken = merged.where(F.col("violations") > 0).collect()
-        if broken:
-            found = ", ".join(f"{row['gate']}: {row['violations']}" for row in broken)
-            raise PublishBlocked(f"run {self.run_id} not published ({found})")
+        self.require_none(gates_of(metrics, names).where("violations > 0"), "metric")
 
-    def write_report(self, star: Star, issues: DataFrame, rules: Rules, fail_on: Iterable[str]) -> None:
-        report = check_report(self.spark, star, issues, rules)
-        report.coalesce(1).write.mode("overwrite").parquet(self.path("dq_report"))
-        required = set(fail_on)
-        written = self.spark.read.parquet(self.path("dq_report"))
-        failed = [
-            f"{row['check']} {row['name']}: {row['violations']}"
-            for row in written.where(~F.col("passed")).collect()
-            if row["check"] in required
-        ]
-        if failed:
-            raise PublishBlocked(f"run {self.run_id} not published ({', '.join(failed)})")
+    def require_checks(self, report: DataFrame, checks: Iterable[str]) -> None:
+        wanted = F.col("check").isin(list(checks))
+        named = F.concat_ws(" ", "check", "name").alias("label")
+        self.require_none(
+            report.where(wanted & ~F.col("passed")).select(named, "violations"), "label"
+        )
+
+    def require_none(self, broken: DataFrame, label: str) -> None:
+        found = ", ".join(f"{row[label]}: {row['violations']}" for row in broken.collect())
+        if found:
+            raise PublishBlocked(f"run {self.run_id} not published ({found})")
 
     def publish(self) -> RunResult:
         """Append the run to the log in one commit; from then on readers see it."""
-        now = datetime.datetime.now(datetime.timezone.utc)
         entries = [
-            (self.run_id, kind, name, rows, now)
+            F.struct(F.lit(kind), F.lit(name), F.lit(rows).cast("bigint"))
             for kind, counts in (("source", self.source_rows), ("table", self.table_rows))
             for name, rows in counts.items()
         ]
-        (
-            self.spark.createDataFrame(entries, RUN_LOG_SCHEMA)
-            .coalesce(1)
-            .write.mode("append")
-            .parquet(f"{self.root.rstrip('/')}/{RUN_LOG}")
+        listed = self.spark.range(1).select(
+            F.inline(F.array(*entries)).alias("kind", "table_name", "row_count")
         )
+        listed.select(
+            F.lit(self.run_id).alias("run_id"),
+            "*",
+            F.current_timestamp().alias("published_at"),
+        ).write.mode("append").parquet(f"{self.root.rstrip('/')}/{RUN_LOG}")
         return RunResult(self.run_id, self.root, self.source_rows, self.table_rows)
 
 
+def _union_tables(star: Star, rules: Rules) -> DataFrame:
+    return reduce(
+        DataFrame.unionByName, [table_metrics(star, name, rules) for name, _ in star.items()]
+    )
+
+
 def run_pipeline(
     spark: SparkSession,
     staged: Staged,
@@ -188,19 +211,29 @@ def run_pipeline(
     source = run.stage(staged)
     issues = run.write_issues(find_issues(source, rules))
     category = run.write_table("DimCategory", build_category(source.products))
-    customer = run.write_table("DimCustomer", build_customer(source.customers))
-    product = run.write_table("DimProduct", build_product(source.products, category))
-    date = run.write_table("DimDate", build_date(source.orders))
-    fact_plan = build_fact(source.orders, product)
-    planned = Star(category, customer, product, date, fact_plan)
-    run.require_gates(planned, [name for name in STAR_SCHEMAS if name != "FactOrder"])
+    dimensions = Star(
+        DimCategory=category,
+        DimCustomer=run.write_table("DimCustomer", build_customer(source.customers)),
+        DimProduct=run.write_table("DimProduct", build_product(source.products, category)),
+        DimDate=run.write_table("DimDate", build_date(source.orders)),
+    )
+    metrics = run.write_metrics(_union_tables(dimensions, rules), "dimensions")
+    run.require_gates(metrics, DIMENSIONS)
+    fact_plan = build_fact(source.orders, dimensions.DimProduct)
     if fact_by_year:
         fact = run.write_fact_by_year(fact_plan)
     else:
         fact = run.write_table("FactOrder", fact_plan)
-    star = Star(category, customer, product, date, fact)
-    run.require_gates(star, ["FactOrder"])
-    run.write_report(star, issues, rules, fail_on)
+    star = Star(**dict(dimensions.items()), FactOrder=fact)
+    fact_metrics = table_metrics(star, "FactOrder", rules).unionByName(link_metrics(star))
+    metrics = metrics.unionByName(
+        run.write_metrics(
+            fact_metrics.unionByName(other_metrics(spark, star, issues)), "fact"
+        )
+    )
+    run.require_gates(metrics, ["FactOrder"])
+    report = run.write(report_of(metrics).coalesce(1), "dq_report")
+    run.require_checks(report, fail_on)
     result = run.publish()
     if not keep_staged:
         delete_folder(spark, run.path("staged"))

@@ -107,14 +107,14 @@ def build_fact(orders: DataFrame, prices: DataFrame) -> DataFrame:
 
 
 def build_star(staged: Staged) -> Star:
-    category = build_category(staged.products)
-    return Star(
-        DimCategory=category,
-        DimCustomer=build_customer(staged.customers),
-        DimProduct=build_product(staged.products, category),
-        DimDate=build_date(staged.orders),
-        FactOrder=build_fact(staged.orders, build_prices(staged.products)),
+    star = Star(
+        DimCategory=lambda: build_category(staged.products),
+        DimCustomer=lambda: build_customer(staged.customers),
+        DimProduct=lambda: build_product(staged.products, star.DimCategory),
+        DimDate=lambda: build_date(staged.orders),
+        FactOrder=lambda: build_fact(staged.orders, build_prices(staged.products)),
     )
+    return star
 
 
 def register_views(star: Star) -> None:

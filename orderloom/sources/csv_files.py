@@ -120,5 +120,5 @@ def read_csv_sources(
     return Staged(
         customers=table(customers, CUSTOMERS),
         products=table(products, PRODUCTS),
-        orders=table(orders, ORDERS).withColumn(ORDER_DAY, day),
+        orders=table(orders, ORDERS).withColumn(ORDER_DAY, day).drop("order_date"),
     )

@@ -67,5 +67,10 @@ def read_issues(spark: SparkSession, root: str, run_id: str | None = None) -> Da
     return read_run_table(spark, root, run_id or current_run(spark, root), "dq_issues")
 
 
+def read_metrics(spark: SparkSession, root: str, run_id: str | None = None) -> DataFrame:
+    run = run_id or current_run(spark, root)
+    return read_run_table(spark, root, run, "dq_metrics").select("metric", "violations")
+
+
 def read_report(spark: SparkSession, root: str, run_id: str | None = None) -> DataFrame:
     return read_run_table(spark, root, run_id or current_run(spark, root), "dq_report")

@@ -127,7 +127,7 @@ def test_hot_product_is_split_in_the_price_lookup(spark, no_broadcast, tmp_path)
     prices = spark.read.parquet(str(tmp_path / "p"))
     assert "skew=true" in final_plan(with_amount(orders, prices))
     fact = build_fact(orders, prices)
-    star = Star(None, None, None, None, fact)
+    star = Star(FactOrder=fact)
     per_product = reports.measure_by(star.FactOrder, ["ProductKey"], {"units": F.sum("Quantity")})
     assert "skew=true" in final_plan(per_product)
     expected = orders.where("order_id <> -1 OR _pos.row = 1").selectExpr(

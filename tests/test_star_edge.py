@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 from edge_rows import row_set, rows, write_sources
 from orderloom.model import Staged
 from orderloom.plans import reports
-from orderloom.plans.checks import CHECKS, check_report, gate_report, null_links, summarize
+from orderloom.plans.checks import (
+    CHECKS,
+    all_metrics,
+    check_report,
+    gates_of,
+    null_links_of,
+    summarize,
+)
 from orderloom.plans.issues import find_issues
 from orderloom.plans.job import run_pipeline
 from orderloom.plans.star import build_star, run_sql
@@ -114,13 +121,15 @@ def test_checks(spark, staged, star):
     assert rows(summarize(report)) == [(12, 7, 19)]
 
 
-def test_gates_and_null_links(star):
-    assert {violations for _, violations in rows(gate_report(star))} == {0}
-    assert dict(rows(null_links(star))) == {
-        "FactOrder.CustomerKey": 0,
-        "FactOrder.ProductKey": 0,
-        "FactOrder.DateKey": 0,
-        "DimProduct.CategoryKey": 0,
+def test_gates_and_null_links(spark, staged, mart):
+    metrics = all_metrics(spark, mart, find_issues(staged))
+    gates = dict(rows(gates_of(metrics)))
+    assert len(gates) == 14 and set(gates.values()) == {0}
+    assert dict(rows(null_links_of(metrics))) == {
+        "null FactOrder.CustomerKey": 0,
+        "null FactOrder.ProductKey": 0,
+        "null FactOrder.DateKey": 0,
+        "null DimProduct.CategoryKey": 0,
     }
 
 
@@ -254,7 +263,9 @@ def test_empty_sources(spark, tmp_path):
 
 def test_null_category_stays_out_of_the_dimension(spark, tmp_path):
     products = "product_id,product_name,category_name,price,stock\n1,Lamp,,1,1\n2,Rug,Home,1,1\n"
-    star = build_star(read_csv_sources(spark, *write_sources(tmp_path, products=products)))
+    staged = read_csv_sources(spark, *write_sources(tmp_path, products=products))
+    star = build_star(staged)
     assert rows(star.DimCategory) == [(1, "Home")]
     assert row_set(star.DimProduct.select("ProductKey", "CategoryKey")) == [(1, None), (2, 1)]
-    assert dict(rows(null_links(star)))["DimProduct.CategoryKey"] == 1
+    links = null_links_of(all_metrics(spark, star, find_issues(staged)))
+    assert dict(rows(links))["null DimProduct.CategoryKey"] == 1
