@@ -219,7 +219,9 @@ def run_pipeline(
     )
     metrics = run.write_metrics(_union_tables(dimensions, rules), "dimensions")
     run.require_gates(metrics, DIMENSIONS)
-    fact_plan = build_fact(source.orders, dimensions.DimProduct)
+    fact_plan = build_fact(
+        source.orders, dimensions.DimProduct, run.table_rows["DimProduct"]
+    )
     if fact_by_year:
         fact = run.write_fact_by_year(fact_plan)
     else:

@@ -73,22 +73,31 @@ def build_prices(products: DataFrame) -> DataFrame:
     )
 
 
-def with_amount(orders: DataFrame, prices: DataFrame) -> DataFrame:
+def with_amount(
+    orders: DataFrame, prices: DataFrame, counted_prices: int | None = None
+) -> DataFrame:
     """Add price times quantity by a lookup of the product's price."""
     priced = left_lookup(
-        orders, F.col("product_id"), prices.select("ProductKey", "Price"), "ProductKey"
+        orders,
+        F.col("product_id"),
+        prices.select("ProductKey", "Price"),
+        "ProductKey",
+        counted_prices,
     )
     amount = line_amount(F.col(MATCHED), F.col("Price"), F.col("quantity"))
     return priced.withColumn("TotalAmount", amount).drop(MATCHED, "Price")
 
 
-def build_fact(orders: DataFrame, prices: DataFrame) -> DataFrame:
+def build_fact(
+    orders: DataFrame, prices: DataFrame, counted_prices: int | None = None
+) -> DataFrame:
     """The first valid row of each order, priced by the product dimension or its prices.
 
     Prices are looked up before the de-duplication: its shuffle by order lets Spark
     split a hot product in the join, which a report grouping by product would not.
+    `counted_prices` is the number of prices, if the caller has counted them.
     """
-    priced = with_amount(valid_orders(orders), prices)
+    priced = with_amount(valid_orders(orders), prices, counted_prices)
     return conform(
         keep_first(priced, "order_id").select(
             F.col("order_id").alias("OrderKey"),

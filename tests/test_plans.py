@@ -12,6 +12,7 @@ from edge_rows import row_set, rows
 from orderloom.model import Star
 from orderloom.operators.dedupe import keep_first
 from orderloom.operators.integrity import key_counts
+from orderloom.operators.lookup import BROADCAST_ROWS
 from orderloom.plans import reports
 from orderloom.plans.star import build_fact, with_amount
 from orderloom.schemas import MONEY, ORDER_DAY, POSITION
@@ -138,6 +139,17 @@ def test_hot_product_is_split_in_the_price_lookup(spark, no_broadcast, tmp_path)
     assert found.exceptAll(expected).count() == 0
 
 
+def test_counted_prices_are_broadcast_below_the_bound(spark, no_broadcast):
+    orders = skewed_orders(spark)
+    prices = spark.range(5000).select(
+        F.col("id").alias("ProductKey"), (F.col("id") % 9).cast(MONEY).alias("Price")
+    )
+    small, large = (build_fact(orders, prices, rows) for rows in (5000, BROADCAST_ROWS + 1))
+    assert "BroadcastHashJoin" in plan(small) and "SortMergeJoin" not in plan(small)
+    assert "SortMergeJoin" in plan(large) and "BroadcastHashJoin" not in plan(large)
+    assert small.exceptAll(large).count() == 0
+
+
 def test_hot_copies_leave_the_map_side_as_one_row(spark, no_broadcast):
     orders = skewed_orders(spark)
     kept = keep_first(orders, "order_id")
