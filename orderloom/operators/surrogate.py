@@ -15,15 +15,14 @@ def dense_keys(values: DataFrame, key: str) -> DataFrame:
     before. Parts are ranked apart from each other; only one count per part (a file
     split or key range that holds a first appearance) meets in a single task.
     """
-    parts = F.col(f"{POSITION}.part")
     in_part = Window.partitionBy("_part").orderBy(POSITION)
     earlier_parts = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = values.withColumn("_part", parts).withColumn(
+    ranked = values.withColumn("_part", F.col(f"{POSITION}.part")).withColumn(
         "_rank", F.row_number().over(in_part)
     )
     offsets = (
-        values.groupBy(parts.alias("_part"))
-        .agg(F.count(F.lit(1)).alias("_rows"))
+        ranked.groupBy("_part")
+        .agg(F.max("_rank").alias("_rows"))
         .select(
             "_part",
             F.coalesce(F.sum("_rows").over(earlier_parts), F.lit(0)).alias("_offset"),

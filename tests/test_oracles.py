@@ -7,25 +7,24 @@ import pytest
 import __spark_entry__ as contract
 from contract.compare import differences, oracle_connection
 
-FOLDERS = [f"/root/testdata/{sf}" for sf in ("sf0.001", "sf0.01")]
+FOLDER = "/root/testdata/sf0.01"
 
-pytestmark = pytest.mark.skipif(not os.path.exists(FOLDERS[0]), reason="no test tables here")
+pytestmark = pytest.mark.skipif(not os.path.exists(FOLDER), reason="no test tables here")
 
 
 @pytest.fixture(scope="module")
-def connections():
-    return {folder: oracle_connection(folder) for folder in FOLDERS}
+def connection():
+    return oracle_connection(FOLDER)
 
 
 def test_every_query_has_its_sql():
     assert set(contract.queries()) == set(contract.oracle_sql())
 
 
-@pytest.mark.parametrize("folder", FOLDERS)
 @pytest.mark.parametrize("name", list(contract.queries()))
-def test_query_equals_sql(spark, connections, name, folder):
-    result = contract.queries()[name](spark, folder)
-    assert differences(result, connections[folder], contract.oracle_sql()[name]) == []
+def test_query_equals_sql(spark, connection, name):
+    result = contract.queries()[name](spark, FOLDER)
+    assert differences(result, connection, contract.oracle_sql()[name]) == []
 
 
 def test_entry(spark):
