@@ -37,7 +37,6 @@ from orderloom.plans.star import (
 from orderloom.schemas import DEFAULT_RULES, DIMENSIONS, STAR_SCHEMAS, Rules
 from orderloom.sources.mart import (
     RUN_LOG,
-    current_run,
     read_issues,
     read_metrics,
     read_report,
@@ -90,13 +89,24 @@ def write_counted(rows: DataFrame, path: str, partition_by: str | None = None) -
     return seen.get["rows"]
 
 
-def delete_folder(spark: SparkSession, path: str) -> None:
-    """Delete a folder of this mart through Hadoop, wherever it is stored."""
+def _folder(spark: SparkSession, path: str):
+    """Hadoop's file system and path object of a folder, wherever it is stored."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    files, folder = _folder(spark, path)
     files.delete(folder, True)
 
 
+def run_ids(spark: SparkSession, root: str) -> list[str]:
+    """All runs with a folder under the root, published or not, oldest first."""
+    files, folder = _folder(spark, root)
+    names = [status.getPath().getName() for status in files.listStatus(folder)]
+    return sorted(name.removeprefix("run=") for name in names if name.startswith("run="))
+
+
 class _Run:
     """The tables of one run while it is being built."""
 
@@ -133,22 +143,19 @@ class _Run:
 
     def write_table(self, name: str, rows: DataFrame) -> DataFrame:
         self.table_rows[name] = write_counted(conform(rows, name), self.path(name))
-        return self.read_table(name)
+        return self.spark.read.schema(STAR_SCHEMAS[name]).parquet(self.path(name))
 
-    def write_fact_by_year(self, rows: DataFrame) -> DataFrame:
+    def write_fact_by_year(self, rows: DataFrame) -> None:
         """Partition the fact by year; the rebalance keeps files large and even."""
         yearly = conform(rows, "FactOrder").withColumn("order_year", F.year("OrderDate"))
         self.table_rows["FactOrder"] = write_counted(
             yearly.hint("rebalance", "order_year"), self.path("FactOrder"), "order_year"
         )
-        return self.read_table("FactOrder").drop("order_year")
 
-    def read_table(self, name: str) -> DataFrame:
-        return self.spark.read.schema(STAR_SCHEMAS[name]).parquet(self.path(name))
-
-    def write_metrics(self, metrics: DataFrame, part: str) -> DataFrame:
+    def write_metrics(self, metrics: list[DataFrame], part: str) -> DataFrame:
         """Metrics are one row each; the parts together are the run's metrics table."""
-        return self.write(metrics.coalesce(1), f"dq_metrics/part={part}")
+        merged = reduce(DataFrame.unionByName, metrics)
+        return self.write(merged.coalesce(1), f"dq_metrics/part={part}")
 
     def require_gates(self, metrics: DataFrame, names: Iterable[str]) -> None:
         """Raise if a table breaks its keys or lacks a required name."""
@@ -184,12 +191,6 @@ class _Run:
         return RunResult(self.run_id, self.root, self.source_rows, self.table_rows)
 
 
-def _union_tables(star: Star, rules: Rules) -> DataFrame:
-    return reduce(
-        DataFrame.unionByName, [table_metrics(star, name, rules) for name, _ in star.items()]
-    )
-
-
 def run_pipeline(
     spark: SparkSession,
     staged: Staged,
@@ -204,11 +205,23 @@ def run_pipeline(
     `fail_on` names checks that must pass; the gates always must. `fact_by_year`
     partitions the fact for date filters at the price of one more shuffle of it.
     """
-    unknown = set(fail_on) - set(CHECKS)
+    required = list(fail_on)
+    unknown = set(required) - set(CHECKS)
     if unknown:
         raise ValueError(f"unknown checks {sorted(unknown)}")
     run = _Run(spark, root)
-    source = run.stage(staged)
+    try:
+        build_tables(run, run.stage(staged), rules, required, fact_by_year)
+        return run.publish()
+    finally:
+        if not keep_staged:
+            delete_folder(spark, run.path("staged"))
+
+
+def build_tables(
+    run: _Run, source: Staged, rules: Rules, required: list[str], fact_by_year: bool
+) -> None:
+    """Write every table of a run, dimensions before the fact, and insist on the gates."""
     issues = run.write_issues(find_issues(source, rules))
     category = run.write_table("DimCategory", build_category(source.products))
     dimensions = Star(
@@ -217,40 +230,36 @@ def run_pipeline(
         DimProduct=run.write_table("DimProduct", build_product(source.products, category)),
         DimDate=run.write_table("DimDate", build_date(source.orders)),
     )
-    metrics = run.write_metrics(_union_tables(dimensions, rules), "dimensions")
-    run.require_gates(metrics, DIMENSIONS)
-    fact_plan = build_fact(
-        source.orders, dimensions.DimProduct, run.table_rows["DimProduct"]
+    metrics = run.write_metrics(
+        [table_metrics(dimensions, name, rules) for name in DIMENSIONS], "dimensions"
     )
+    run.require_gates(metrics, DIMENSIONS)
+    fact = build_fact(source.orders, dimensions.DimProduct, run.table_rows["DimProduct"])
     if fact_by_year:
-        fact = run.write_fact_by_year(fact_plan)
+        run.write_fact_by_year(fact)
     else:
-        fact = run.write_table("FactOrder", fact_plan)
-    star = Star(**dict(dimensions.items()), FactOrder=fact)
-    fact_metrics = table_metrics(star, "FactOrder", rules).unionByName(link_metrics(star))
-    metrics = metrics.unionByName(
-        run.write_metrics(
-            fact_metrics.unionByName(other_metrics(spark, star, issues)), "fact"
-        )
+        run.write_table("FactOrder", fact)
+    star = read_star(run.spark, run.root, run.run_id)
+    fact_metrics = run.write_metrics(
+        [
+            table_metrics(star, "FactOrder", rules),
+            link_metrics(star),
+            other_metrics(run.spark, star, issues),
+        ],
+        "fact",
     )
-    run.require_gates(metrics, ["FactOrder"])
-    report = run.write(report_of(metrics).coalesce(1), "dq_report")
-    run.require_checks(report, fail_on)
-    result = run.publish()
-    if not keep_staged:
-        delete_folder(spark, run.path("staged"))
-    return result
+    run.require_gates(fact_metrics, ["FactOrder"])
+    report = run.write(report_of(metrics.unionByName(fact_metrics)).coalesce(1), "dq_report")
+    run.require_checks(report, required)
 
 
 def expire_runs(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
-    """Delete the tables of all published runs but the last `keep`; return their ids."""
+    """Delete runs older than the last `keep` published ones; return their ids."""
     if keep < 1:
         raise ValueError("the current run must stay")
-    current_run(spark, root)
-    log = read_run_log(spark, root)
-    kept = log.select("run_id").distinct().orderBy(F.col("run_id").desc()).limit(keep)
-    oldest = kept.agg(F.min("run_id")).first()[0]
-    old = log.where(F.col("run_id") < oldest).select("run_id").distinct().collect()
-    for row in old:
-        delete_folder(spark, run_folder(root, row["run_id"]))
-    return sorted(row["run_id"] for row in old)
+    published = read_run_log(spark, root).select("run_id").distinct()
+    kept = published.orderBy(F.col("run_id").desc()).limit(keep).collect()
+    old = [run for run in run_ids(spark, root) if run < min(row["run_id"] for row in kept)]
+    for run in old:
+        delete_folder(spark, run_folder(root, run))
+    return old

@@ -63,6 +63,8 @@ def test_failed_gate_keeps_the_previous_run(spark, tmp_path):
     with pytest.raises(PublishBlocked, match="null FactOrder.OrderKey: 1"):
         run_pipeline(spark, staged(spark, tmp_path / "c", orders=keyless), root)
     assert current_run(spark, root) == good.run_id
+    assert not list((tmp_path / "mart").glob("run=*/staged"))
+    assert len(list((tmp_path / "mart").glob("run=*/dq_issues"))) == 3
     assert counts(read_star(spark, root)) == TABLE_ROWS
 
 
@@ -92,8 +94,11 @@ def test_fact_by_year_reads_the_same(spark, tmp_path):
 def test_expire_keeps_the_latest_runs(spark, tmp_path):
     root = str(tmp_path / "mart")
     source = staged(spark, tmp_path / "in")
+    with pytest.raises(PublishBlocked):
+        run_pipeline(spark, source, root, fail_on=(check for check in ["CK-19"]))
     runs = [run_pipeline(spark, source, root).run_id for _ in range(3)]
-    assert expire_runs(spark, root, keep=2) == runs[:1]
+    expired = expire_runs(spark, root, keep=2)
+    assert len(expired) == 2 and expired[1] == runs[0]
     folders = {path.name for path in (tmp_path / "mart").glob("run=*")}
     assert folders == {f"run={run}" for run in runs[1:]}
     assert run_folder(root, runs[0]).endswith(f"run={runs[0]}")
