@@ -2,14 +2,36 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from orderloom.session import scratch_folder
 
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def ship(spark: SparkSession) -> None:
+    """Hand this package to the executors' Python workers, once per session."""
+    name = "orderloom-package.zip"
+    context = spark.sparkContext
+    if any(path.endswith(name) for path in context._python_includes):
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(), name)
+    with zipfile.ZipFile(archive, "w") as bundle:
+        for folder, _, files in os.walk(package):
+            for file in files:
+                if file.endswith(".py"):
+                    path = os.path.join(folder, file)
+                    bundle.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+
+
 def staged(spark: SparkSession, rows: DataFrame) -> DataFrame:
     """The rows written once to the cluster's shared folder and read back.
 
@@ -21,6 +43,12 @@ def staged(spark: SparkSession, rows: DataFrame) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def scratch_uri(spark: SparkSession) -> str:
+    """A new folder in the cluster's shared folder, as a URI that Python in tasks can open."""
+    path = scratch_folder(spark)
+    return path if ":" in path.split("/")[0] else f"file://{path}"
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -34,6 +62,29 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def numbered(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """Rows of a staged table with a gapless number from 0 inside each key, in order of `place`.
+
+    `place` is monotonically_increasing_id() as the table was written: its high bits name
+    the split. Rows are numbered inside their split, and counts per split give the
+    offsets, so a key that holds most rows is numbered in as many pieces as splits.
+    """
+    split = rows.withColumn("split", F.shiftrightunsigned("place", 33))
+    before = Window.partitionBy(key).orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        split.groupBy(key, "split")
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .select(key, "split", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"))
+    )
+    inside = F.row_number().over(Window.partitionBy(key, "split").orderBy("place")) - 1
+    return (
+        split.withColumn("inside", inside)
+        .join(offsets, [key, "split"])
+        .withColumn(name, F.col("inside") + F.col("offset"))
+        .drop("inside", "offset", "split")
+    )
+
+
 def connected(spark: SparkSession, links: DataFrame) -> DataFrame:
     """Rows (node, root) for every node in links (a, b); root is the smallest reachable node.
 

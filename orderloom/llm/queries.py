@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import chat, mixing, sharding
-from orderloom.llm.common import table
+from orderloom.llm import chat, mixing, packing, sharding, token_files
+from orderloom.llm.common import scratch_uri, table
 
 SHARDS = 8
 
@@ -24,6 +24,16 @@ def op3_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return pairs.withColumns({c: chat.spans_text(F.col(c)) for c in ("chosen_mask", "rejected_mask")})
 
 
+def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(spark, table(spark, folder, "documents"))
+
+
+def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    target = scratch_uri(spark)
+    files = token_files.write_token_files(spark, table(spark, folder, "documents"), target)
+    return token_files.read_token_files(files, target)
+
+
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_digest(spark, table(spark, folder, "documents"))
 
@@ -31,6 +41,8 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op3_chat_formatting": op3_chat_formatting,
+    "op5_packing": op5_packing,
+    "op8_token_files": op8_token_files,
     "op9_mixing": op9_mixing,
 }
 

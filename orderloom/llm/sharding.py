@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from orderloom.llm.common import staged
+from orderloom.llm.common import numbered, staged
 
 # A key jumps about ln(shards) times. Any key that is not done after this many
 # draws goes on through the remaining draws, of which there are at most `shards`.
@@ -67,19 +66,7 @@ def shard_documents(
         grown.cast("int").alias("grown_shard"),
         F.monotonically_increasing_id().alias("place"),
     )
-    # Written first: the numbering below must see the same splits in both of its branches.
-    rows = staged(spark, digest).withColumn("split", F.shiftrightunsigned("place", 33))
-    before = Window.partitionBy("shard").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        rows.groupBy("shard", "split")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .select("shard", "split", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"))
-    )
-    inside = F.row_number().over(Window.partitionBy("shard", "split").orderBy("place")) - 1
-    return (
-        rows.withColumn("inside", inside)
-        .join(offsets, ["shard", "split"])
-        .select(
-            "doc_id", "size", "text_crc32", "shard", (F.col("inside") + F.col("offset")).alias("slot"), "grown_shard"
-        )
+    # Written first: the numbering must see the same splits wherever it reads them.
+    return numbered(staged(spark, digest), "shard", "slot").select(
+        "doc_id", "size", "text_crc32", "shard", "slot", "grown_shard"
     )
