@@ -10,7 +10,7 @@ import numpy as np
 # A blank before another white space character may belong to the same piece of the
 # tokenizer's pattern; any other blank always starts a new piece.
 _BLANK_RUN = re.compile(r" \s| $")
-_MEMO_ENTRIES = 400_000
+_MEMO_ENTRIES = 1_000_000
 _encoders: dict[str, Encoder] = {}
 
 
@@ -34,6 +34,7 @@ class Encoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
+        self._tokenizer.model._resize_cache(0)  # the memo below stands in for it
         self.size = size = self._tokenizer.get_vocab_size()
         blank = self._tokenizer.encode(" ", add_special_tokens=False).tokens[0]
         tokens = (self._tokenizer.id_to_token(i) or "" for i in range(size))
@@ -58,17 +59,33 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit integers."""
-        if len(self._memo) > _MEMO_ENTRIES:
-            self._memo.clear()
-        cut = [None if _BLANK_RUN.search(text) else text.split(" ") for text in texts]
         memo = self._memo
-        new = {part for parts in cut if parts for part in parts[1:] if part not in memo}
-        if new:
-            self._learn(list(new))
-        return [
-            self._whole(text) if parts is None else self._whole(parts[0]) + b"".join(map(memo.__getitem__, parts[1:]))
-            for text, parts in zip(texts, cut, strict=True)
-        ]
+        if len(memo) > _MEMO_ENTRIES:
+            memo.clear()
+        parts: list[str] = []
+        firsts, whole, ends = [], [], []
+        for text in texts:
+            if _BLANK_RUN.search(text):
+                firsts.append("")
+                whole.append(self._whole(text))
+            else:
+                head, *rest = text.split(" ")
+                firsts.append(head)
+                whole.append(b"")
+                parts += rest
+            ends.append(len(parts))
+        found = list(map(memo.get, parts))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        if missing:
+            self._learn(list({parts[i] for i in missing}))
+            for i in missing:
+                found[i] = memo[parts[i]]
+        heads = [e.ids for e in self._tokenizer.encode_batch_fast(firsts, add_special_tokens=False)]
+        out, begin = [], 0
+        for i, end in enumerate(ends):
+            out.append(whole[i] + np.array(heads[i], dtype="<u4").tobytes() + b"".join(found[begin:end]))
+            begin = end
+        return out
 
 
 def encoder(path: str) -> Encoder:
