@@ -107,7 +107,7 @@ def write_token_files(
     The ids of all documents of a file, each with the end id behind it, stand in
     sequence, `length` to a row; only the last row of a file is padded. Files in order of
     `part` hold the documents in order; rows without doc_id come first, equal doc_ids in
-    order of text. A null text is an empty one and has only the end id. Each task streams
+    order of the text's hash. A null text is an empty one and has only the end id. Each task streams
     its range of documents and holds one batch of sequences. `folder` is a URI that
     pyarrow.fs can write to and all executors share.
     """
@@ -132,8 +132,9 @@ def write_token_files(
                 row, schema=pa.schema([("part", pa.int32()), ("path", pa.string()), ("documents", pa.int64()), ("ids", pa.int64())])
             )
 
-    ordered = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).orderBy("doc_id", "text")
-    return staged(spark, ordered.mapInArrow(write, FILES))
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    # Not by the text itself: the sort samples its keys, which must stay short.
+    return staged(spark, rows.orderBy("doc_id", F.xxhash64("text")).mapInArrow(write, FILES))
 
 
 def read_token_files(files: DataFrame, folder: str) -> DataFrame:
