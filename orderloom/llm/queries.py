@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import chat, mixing, packing, sharding, token_files
+from orderloom.llm import chat, language, mixing, packing, sharding, token_files
 from orderloom.llm.common import scratch_uri, table
 
 SHARDS = 8
@@ -28,6 +28,10 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(spark, table(spark, folder, "documents"))
 
 
+def op7_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.language_digest(spark, table(spark, folder, "documents"))
+
+
 def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     target = scratch_uri(spark)
     files = token_files.write_token_files(spark, table(spark, folder, "documents"), target)
@@ -42,6 +46,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op3_chat_formatting": op3_chat_formatting,
     "op5_packing": op5_packing,
+    "op7_language": op7_language,
     "op8_token_files": op8_token_files,
     "op9_mixing": op9_mixing,
 }
