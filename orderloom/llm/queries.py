@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import chat, language, mixing, packing, sharding, token_files
+from orderloom.llm import chat, embeddings, language, mixing, packing, sharding, token_files
 from orderloom.llm.common import scratch_uri, table
 
 SHARDS = 8
@@ -42,6 +42,10 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_digest(spark, table(spark, folder, "documents"))
 
 
+def op10_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_vectors(spark, table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op3_chat_formatting": op3_chat_formatting,
@@ -49,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_language": op7_language,
     "op8_token_files": op8_token_files,
     "op9_mixing": op9_mixing,
+    "op10_embeddings": op10_embeddings,
 }
 
 OP3_SQL = """
