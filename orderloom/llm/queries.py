@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import chat, embeddings, language, mixing, packing, sharding, token_files
+from orderloom.llm import chat, embeddings, fingerprints, language, mixing, packing, sharding, token_files
 from orderloom.llm.common import scratch_uri, table
 
 SHARDS = 8
@@ -24,6 +24,10 @@ def op3_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return pairs.withColumns({c: chat.spans_text(F.col(c)) for c in ("chosen_mask", "rejected_mask")})
 
 
+def op4_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(spark, table(spark, folder, "documents"))
+
+
 def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(spark, table(spark, folder, "documents"))
 
@@ -49,6 +53,7 @@ def op10_embeddings(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op3_chat_formatting": op3_chat_formatting,
+    "op4_fingerprints": op4_fingerprints,
     "op5_packing": op5_packing,
     "op7_language": op7_language,
     "op8_token_files": op8_token_files,
