@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import chat, embeddings, fingerprints, language, mixing, packing, sharding, token_files
+from orderloom.llm import chat, embeddings, fingerprints, language, mixing, neardup, packing, sharding, token_files
 from orderloom.llm.common import scratch_uri, table
 
 SHARDS = 8
@@ -32,6 +32,10 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(spark, table(spark, folder, "documents"))
 
 
+def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_digest(spark, table(spark, folder, "documents"), width=2, percent=80)
+
+
 def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.language_digest(spark, table(spark, folder, "documents"))
 
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_chat_formatting": op3_chat_formatting,
     "op4_fingerprints": op4_fingerprints,
     "op5_packing": op5_packing,
+    "op6_near_duplicates": op6_near_duplicates,
     "op7_language": op7_language,
     "op8_token_files": op8_token_files,
     "op9_mixing": op9_mixing,
