@@ -28,8 +28,13 @@ from orderloom.llm.tokens import chunks
 TREES = 25
 #: A node up to this size is small: its pairs are compared.
 SMALL = 256
-#: Nodes that are still large at this depth are compared in cells of two blocks of SMALL.
+#: Nodes that are still large at this depth are compared in blocks of SMALL, however many.
 DEEPEST = 9
+#: A large node is done at once if its documents outside its largest component make at most so
+#: many pairs with all of its documents.
+AT_ONCE = 4_000_000
+#: Rounds in which only the nearest pair of each component is tested.
+NEAREST_ROUNDS = 4
 #: Up to so many document keys (16 MB) are broadcast to pick their texts; more are joined.
 BROADCAST_KEYS = 2_000_000
 
@@ -151,8 +156,8 @@ class _Join:
         )
         return staged(self._spark, parted.join(nodes, "node"))
 
-    def _confirm(self, pairs: DataFrame) -> None:
-        """Test pairs (a, b), a < b, on their full sets and join what is linked."""
+    def _confirm(self, pairs: DataFrame) -> bool:
+        """Test pairs (a, b), a < b, on their full sets and join what is linked; whether any is."""
         spark, width, percent = self._spark, self._width, self._percent
         pairs = pairs.distinct()
         if self._tested is not None:
@@ -161,7 +166,7 @@ class _Join:
         keys = pairs.select(F.explode(F.array("a", "b")).alias("place")).distinct()
         count = keys.count()
         if not count:
-            return
+            return False
         self._tested = pairs if self._tested is None else self._tested.unionByName(pairs)
         keys = F.broadcast(keys) if count <= BROADCAST_KEYS else keys
         texts = staged(spark, self._sets.select("place", F.col("row.text").cast("string").alias("text")).join(keys, "place"))
@@ -184,11 +189,12 @@ class _Join:
         full = pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b")
         links = staged(spark, full.mapInArrow(test, "a long, b long"))
         if links.isEmpty():
-            return
+            return False
         # Roots stand for the links so far.
         if self.roots is not None:
             links = links.unionByName(self.roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
         self.roots = connected(spark, links)
+        return True
 
     def _near(self, rows: DataFrame) -> DataFrame:
         """Pairs of one group (node, cell), of different components and near in their sketches."""
@@ -207,8 +213,28 @@ class _Join:
             if rest is not None and rest.num_rows:
                 yield _near_pairs(rest, most)
 
-        keyed = rows.select("node", "cell", "place", "part", "s1", "s2")
-        return keyed.repartition("node", "cell").sortWithinPartitions("node", "cell").mapInArrow(compare, "a long, b long")
+        keyed = rows.select("node", "cell", "place", "part", "s1", "s2", "query")
+        grouped = keyed.repartition("node", "cell").sortWithinPartitions("node", "cell")
+        return grouped.mapInArrow(compare, "a long, b long, apart int")
+
+    def _confirm_all(self, pairs: DataFrame) -> None:
+        """Test pairs (a, b, apart): in each round the nearest pair of every component, which
+        joins most of what belongs together, then all whose components are still two."""
+        pairs = staged(self._spark, pairs.distinct())
+        for _ in range(NEAREST_ROUNDS):
+            ends = F.explode(F.array(*(F.struct(F.col(f"part_{x}").alias("part"), "apart", "a", "b") for x in "ab")))
+            between = self._with_components(pairs).where("part_a <> part_b").select(ends.alias("end"))
+            nearest = between.groupBy("end.part").agg(F.min(F.struct("end.apart", "end.a", "end.b")).alias("best"))
+            if not self._confirm(nearest.select("best.a", "best.b")):
+                break
+        self._confirm(self._with_components(pairs).where("part_a <> part_b").select("a", "b"))
+
+    def _with_components(self, pairs: DataFrame) -> DataFrame:
+        for side in ("a", "b"):
+            pairs = self._with_component(pairs.withColumnRenamed(side, "place")).withColumnsRenamed(
+                {"place": side, "part": f"part_{side}"}
+            )
+        return pairs
 
     def run(self) -> DataFrame | None:
         """Rows (node, root) by place for every document that has a link, or None."""
@@ -223,23 +249,36 @@ class _Join:
             self._confirm(starred.where(near).select(F.col("pivot").alias("a"), F.col("place").alias("b")))
             rows = starred.where("n > 2").select("node", "place", "s1", "s2")
             left = self._undone(rows, 3)
-            whole = F.lit(0).cast("long")
-            small = left if depth >= DEEPEST else left.where(F.col("n") <= SMALL)
-            cells = small.withColumn("cell", whole) if depth < DEEPEST else _cells(small)
-            self._confirm(self._near(cells))
-            large = left.where(F.col("n") > SMALL).select("node", "place")
-            if depth >= DEEPEST or large.isEmpty():
+            small = left.where(F.col("n") <= SMALL).withColumns({"cell": F.lit(0).cast("long"), "query": F.lit(True)})
+            large = left.where(F.col("n") > SMALL)
+            if large.isEmpty():
+                self._confirm_all(self._near(small))
                 return self.roots
-            level = staged(self._spark, self._branch(large))
+            large = staged(self._spark, _with_queries(large))
+            done = F.lit(True) if depth >= DEEPEST else F.col("queries") * F.col("n") <= AT_ONCE
+            columns = ["node", "place", "part", "s1", "s2", "cell", "query"]
+            self._confirm_all(self._near(small.select(columns).unionByName(_cells(large.where(done)).select(columns))))
+            level = staged(self._spark, self._branch(large.where(~done)))
             depth += 1
 
 
+def _with_queries(rows: DataFrame) -> DataFrame:
+    """Rows with `query`, whether the document is outside its node's largest component, and
+    `queries`, how many of the node are."""
+    parts = rows.groupBy("node", "part").agg(F.count(F.lit(1)).alias("size"))
+    largest = parts.groupBy("node").agg(F.max("size").alias("size"), F.max_by("part", "size").alias("main"))
+    return rows.join(largest, "node").withColumns(
+        {"query": F.col("part") != F.col("main"), "queries": F.col("n") - F.col("size")}
+    )
+
+
 def _cells(rows: DataFrame) -> DataFrame:
-    """Rows once for each pair of blocks of their node that they are in."""
+    """Each row in the cell of its block of the node, and queries in all cells of the node, so
+    that every query meets every document and no task gets a whole large node."""
     blocks = F.ceil(F.col("n") / SMALL)
-    mine = F.pmod(F.xxhash64("place"), blocks)
-    pairs = F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda j: F.least(mine, j) * blocks + F.greatest(mine, j))
-    return rows.withColumn("cell", F.explode(pairs))
+    mine = F.array(F.pmod(F.xxhash64("place"), blocks))
+    cells = F.when(F.col("query"), F.sequence(F.lit(0).cast("long"), blocks - 1)).otherwise(mine)
+    return rows.withColumn("cell", F.explode(cells))
 
 
 def _group_key(rows: pa.Table) -> np.ndarray:
@@ -249,8 +288,11 @@ def _group_key(rows: pa.Table) -> np.ndarray:
 def _near_pairs(rows: pa.Table, most: int) -> pa.RecordBatch:
     group = _group_key(rows)
     place, part = rows.column("place").to_numpy(), rows.column("part").to_numpy()
-    s1, s2 = rows.column("s1").to_numpy(), rows.column("s2").to_numpy()
+    # Unsigned, since bits are counted in absolute values.
+    s1, s2 = (rows.column(name).to_numpy().view(np.uint64) for name in ("s1", "s2"))
+    query = rows.column("query").to_numpy(zero_copy_only=False)
     ones, twos = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+    distances = [np.zeros(0, dtype=np.int32)]
     left, step = np.arange(len(group)), 1
     while True:
         left = left[left + step < len(group)]
@@ -259,11 +301,13 @@ def _near_pairs(rows: pa.Table, most: int) -> pa.RecordBatch:
             break
         right = left + step
         apart = np.bitwise_count(s1[left] ^ s1[right]) + np.bitwise_count(s2[left] ^ s2[right])
-        near = (apart <= most) & (part[left] != part[right])
+        near = (apart <= most) & (part[left] != part[right]) & (query[left] | query[right])
         ones.append(np.minimum(place[left[near]], place[right[near]]))
         twos.append(np.maximum(place[left[near]], place[right[near]]))
+        distances.append(apart[near].astype(np.int32))
         step += 1
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (ones, twos)], ["a", "b"])
+    columns = [pa.array(np.concatenate(x)) for x in (ones, twos, distances)]
+    return pa.RecordBatch.from_arrays(columns, ["a", "b", "apart"])
 
 
 def near_groups(
