@@ -5,7 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -127,3 +130,28 @@ def _settled(spark: SparkSession, parents: DataFrame) -> DataFrame:
         if doubled.where("beyond IS NOT NULL").isEmpty():
             return doubled.select("node", "to")
         parents = doubled.select("node", F.coalesce("beyond", "to").alias("to"))
+
+
+#: Up to so many 64-bit keys (16 MB) are broadcast to pick their rows; more are joined.
+BROADCAST_KEYS = 2_000_000
+
+
+def picked(rows: DataFrame, keys: DataFrame, key: str, how: str = "left_semi") -> DataFrame:
+    """Rows whose key is among the distinct keys of a staged table, or is not ("left_anti")."""
+    few = keys.count() <= BROADCAST_KEYS
+    return rows.join(F.broadcast(keys) if few else keys, key, how)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Tables of whole groups of rows with equal keys, out of batches sorted by the key."""
+    rest: pa.Table | None = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rest = rows if rest is None else pa.concat_tables([rest, rows])
+        values = rest.column(key).to_numpy()
+        cuts = np.flatnonzero(values[1:] != values[:-1]) + 1
+        if len(cuts):
+            yield rest.slice(0, int(cuts[-1])).combine_chunks()
+            rest = rest.slice(int(cuts[-1]))
+    if rest is not None and rest.num_rows:
+        yield rest.combine_chunks()

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.llm.bytehash import mixed
-from orderloom.llm.common import connected, ship, staged
+from orderloom.llm.common import connected, picked, ship, staged
 from orderloom.llm.shingles import MINS, minwise, set_key, shingle_sets, sketches
 from orderloom.llm.tokens import chunks
 
@@ -35,8 +35,6 @@ DEEPEST = 9
 AT_ONCE = 4_000_000
 #: Rounds in which only the nearest pair of each component is tested.
 NEAREST_ROUNDS = 4
-#: Up to so many document keys (16 MB) are broadcast to pick their texts; more are joined.
-BROADCAST_KEYS = 2_000_000
 
 
 def _most_children(similarity: float) -> np.ndarray:
@@ -163,13 +161,12 @@ class _Join:
         if self._tested is not None:
             pairs = pairs.join(self._tested, ["a", "b"], "left_anti")
         pairs = staged(spark, pairs)
-        keys = pairs.select(F.explode(F.array("a", "b")).alias("place")).distinct()
-        count = keys.count()
-        if not count:
+        if pairs.isEmpty():
             return False
         self._tested = pairs if self._tested is None else self._tested.unionByName(pairs)
-        keys = F.broadcast(keys) if count <= BROADCAST_KEYS else keys
-        texts = staged(spark, self._sets.select("place", F.col("row.text").cast("string").alias("text")).join(keys, "place"))
+        keys = staged(spark, pairs.select(F.explode(F.array("a", "b")).alias("place")).distinct())
+        all_texts = self._sets.select("place", F.col("row.text").cast("string").alias("text"))
+        texts = staged(spark, picked(all_texts, keys, "place"))
         one = texts.select(F.col("place").alias("a"), F.col("text").alias("text_a"))
         two = texts.select(F.col("place").alias("b"), F.col("text").alias("text_b"))
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import chat, embeddings, fingerprints, language, mixing, neardup, packing, sharding, token_files
+from orderloom.llm import chat, embeddings, fingerprints, language, mixing, neardup, packing, repeats, sharding, token_files
 from orderloom.llm.common import scratch_uri, table
 
 SHARDS = 8
@@ -18,6 +18,10 @@ def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return rows.withColumn("law", F.lit("key"))
 
 
+def op2_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.repeats_digest(spark, table(spark, folder, "documents"))
+
+
 def op3_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     talks = chat.conversations(table(spark, folder, "conversations"))
     pairs = chat.format_preferences(chat.replaced_replies(talks))
@@ -56,6 +60,7 @@ def op10_embeddings(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op2_repeats": op2_repeats,
     "op3_chat_formatting": op3_chat_formatting,
     "op4_fingerprints": op4_fingerprints,
     "op5_packing": op5_packing,
