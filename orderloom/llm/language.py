@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -67,7 +68,7 @@ class Model:
 
     def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
         """For texts with letters: the language and the corrected share of n-grams it holds."""
-        if not self.languages:
+        if not self.languages or not texts:
             return [UNKNOWN] * len(texts), [0.0] * len(texts)
         grams, bounds = _grams(texts)
         first, *others = _slots(grams)
@@ -112,11 +113,9 @@ def learn(spark: SparkSession, labelled: DataFrame) -> Model:
 
     def grams_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for lang in sorted(set(langs)):
-                own = [t for t, of in zip(texts, langs, strict=True) if of == lang]
+            for lang in batch.column(0).unique().to_pylist():
                 seen = []
-                for some in chunks(own):
+                for some in chunks(batch.column(1).filter(pc.equal(batch.column(0), lang))):
                     grams, bounds = _grams(some)
                     seen += [np.unique(grams[a : b - NGRAM + 1]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
                 values, counts = np.unique(np.concatenate(seen), return_counts=True)
@@ -169,14 +168,14 @@ def identify(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
-            able = [i for i, text in enumerate(texts) if has_letters(text)]
-            at = 0
-            for some in chunks([texts[i] for i in able]):
-                for lang, score in zip(*shared.value.predict(some), strict=True):
-                    langs[able[at]], scores[able[at]] = lang, score
-                    at += 1
+            langs, scores = [], []
+            for texts in chunks(batch.column(1)):
+                able = [i for i, text in enumerate(texts) if has_letters(text)]
+                found = dict(zip(able, zip(*shared.value.predict([texts[i] for i in able]), strict=True), strict=True))
+                for i in range(len(texts)):
+                    lang, score = found.get(i, (UNKNOWN, 0.0))
+                    langs.append(lang)
+                    scores.append(score)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["row", "lang_pred", "score"]
             )

@@ -73,7 +73,7 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, ones, twos, mins = [], [], [], []
-            for texts in chunks(batch.column(1).to_pylist()):
+            for texts in chunks(batch.column(1)):
                 for hashes in shingle_sets(texts, width):
                     one, two = set_key(hashes)
                     sizes.append(len(hashes))
@@ -173,10 +173,8 @@ class _Join:
         def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 linked = []
-                ones, twos = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-                for begin in range(0, len(ones), 64):
-                    left = shingle_sets(ones[begin : begin + 64], width)
-                    right = shingle_sets(twos[begin : begin + 64], width)
+                for begin in range(0, batch.num_rows, 64):
+                    left, right = (shingle_sets(batch.column(i).slice(begin, 64).to_pylist(), width) for i in (2, 3))
                     for x, y in zip(left, right, strict=True):
                         both = len(np.intersect1d(x, y, assume_unique=True))
                         linked.append(100 * both >= percent * (len(x) + len(y) - both))

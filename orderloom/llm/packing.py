@@ -129,7 +129,7 @@ def cut_pieces(docs: DataFrame, vocabulary: str, end_id: int, window: int) -> Da
         for batch in batches:
             ids = batch.column(0).to_pylist()
             at = 0
-            for texts in chunks(batch.column(1).to_pylist()):
+            for texts in chunks(batch.column(1)):
                 rows = []
                 for data in encode(texts):
                     data += end

@@ -63,8 +63,9 @@ def _unpack(run: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return first, first + (run & 0xFF), first + ((run >> 8) & 0xFF)
 
 
-def _bytes_of(column: pa.Array) -> list[bytes]:
-    return [value or b"" for value in column.cast(pa.binary()).to_pylist()]
+def _bytes_of(column: pa.Array) -> Iterator[bytes]:
+    for value in column.cast(pa.binary()):
+        yield value.as_py() or b""
 
 
 def _all_runs(texts: DataFrame, window: int) -> DataFrame:
@@ -124,6 +125,18 @@ def _stretches(row: np.ndarray, start: np.ndarray, window: int) -> tuple[np.ndar
     return row[begin], start[begin], start[end] + window
 
 
+def _parts(tables: Iterator[pa.Table], rows: int) -> Iterator[pa.Table]:
+    """The tables in parts of whole groups by anchor, each of so many rows or of one group."""
+    for table in tables:
+        anchor = table.column("anchor").to_numpy()
+        ends = [*(np.flatnonzero(anchor[1:] != anchor[:-1]) + 1).tolist(), len(anchor)]
+        begin = 0
+        for end, following in zip(ends, [*ends[1:], np.inf], strict=True):
+            if following - begin > rows:
+                yield table.slice(begin, end - begin)
+                begin = end
+
+
 def repeated_stretches(spark: SparkSession, texts: DataFrame, window: int = WINDOW) -> DataFrame:
     """Rows (doc, start, stop) of bytes covered by strings of `window` bytes that start elsewhere too.
 
@@ -179,7 +192,7 @@ def repeated_stretches(spark: SparkSession, texts: DataFrame, window: int = WIND
     )
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in whole_groups(batches, "anchor"):
+        for rows in _parts(whole_groups(batches, "anchor"), 2000):
             doc, times = rows.column("doc").to_numpy(), rows.column("times").to_numpy()
             data = rows.column("piece").to_pylist()
             row, at = repeated_starts(rows.column("anchor").to_numpy(), rows.column("run").to_numpy(), data, window)
@@ -222,13 +235,17 @@ def _removed(data: bytes, start: np.ndarray, stop: np.ndarray) -> tuple[bytes, i
     return np.frombuffer(data, dtype=np.uint8)[~gone].tobytes(), int(gone.sum()), spans
 
 
-def without_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def without_repeats(
+    spark: SparkSession, docs: DataFrame, window: int = WINDOW, characters: bool = False
+) -> DataFrame:
     """Rows (row, n_bytes, n_removed, n_spans, kept): `kept` are the UTF-8 bytes that stay, null if all do.
 
     Each byte covered by a string of `window` bytes that also starts anywhere else, in the
     same text too, is removed; strings are judged on the input and never cross texts. A null
     text is an empty one. Repeated rows lose all that is covered, the first one too. An empty
-    table gives no rows; all columns stay in `row`.
+    table gives no rows; all columns stay in `row`. With `characters`, bytes of a character
+    that is removed in part go as well, and `kept` is valid UTF-8; the counts stay those of
+    the covered bytes.
     """
     ship(spark)
     rows = docs.select(
@@ -251,6 +268,8 @@ def without_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW)
             for i, data in enumerate(_bytes_of(batch.column(1))):
                 stretch = batch.column(2)[i].values
                 kept, removed, spans = _removed(data, stretch.field("start").to_numpy(), stretch.field("stop").to_numpy())
+                if characters:
+                    kept = kept.decode("utf-8", "ignore").encode("utf-8")
                 out.append((len(data), removed, spans, kept))
             sizes, removed, spans, kept = zip(*out, strict=True)
             yield pa.RecordBatch.from_arrays(
@@ -271,10 +290,7 @@ def repeats_digest(spark: SparkSession, docs: DataFrame, window: int = WINDOW) -
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The documents without their repeated bytes, columns as they came.
-
-    Parts of a character whose other bytes are removed go too.
-    """
-    kept = F.when(F.col("kept").isNull(), F.col("row.text")).otherwise(F.expr("decode(kept, 'UTF-8')"))
-    rows = without_repeats(spark, docs, window).withColumn("clean", kept)
+    """The documents without their repeated bytes, whole characters only, columns as they came."""
+    kept = F.when(F.col("kept").isNull(), F.col("row.text")).otherwise(F.col("kept").cast("string"))
+    rows = without_repeats(spark, docs, window, characters=True).withColumn("clean", kept)
     return rows.select(*(F.col("clean").alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns))

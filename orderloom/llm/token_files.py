@@ -122,7 +122,7 @@ def write_token_files(
         writer = None
         for batch in batches:
             ids, at = batch.column(0).to_pylist(), 0
-            for texts in chunks(batch.column(1).to_pylist()):
+            for texts in chunks(batch.column(1)):
                 writer = writer or _Writer(folder, task.partitionId(), task.taskAttemptId(), length, id_type)
                 writer.add(ids[at : at + len(texts)], [data + end for data in encode(texts)])
                 at += len(texts)

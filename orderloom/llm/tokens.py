@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 
 # A blank before another white space character may belong to the same piece of the
 # tokenizer's pattern; any other blank always starts a new piece.
@@ -95,14 +97,19 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def chunks(texts: list[str | None], most_chars: int = 1_000_000) -> list[list[str]]:
-    """The texts in order, null as empty, in lists of about so many characters."""
-    out: list[list[str]] = []
-    size = most_chars
-    for text in texts:
-        if size >= most_chars:
-            out.append([])
-            size = 0
-        out[-1].append(text or "")
-        size += len(text or "")
-    return out
+def chunks(texts: pa.Array, most_chars: int = 1_000_000) -> Iterator[list[str]]:
+    """The texts in order, null as empty, in lists of about so many characters.
+
+    Only a few hundred texts at a time are turned into Python strings.
+    """
+    out: list[str] = []
+    size = 0
+    for begin in range(0, len(texts), 256):
+        for text in texts.slice(begin, 256).to_pylist():
+            out.append(text or "")
+            size += len(out[-1])
+            if size >= most_chars:
+                yield out
+                out, size = [], 0
+    if out:
+        yield out
