@@ -28,8 +28,8 @@ from orderloom.llm.common import picked, ship, staged, text_or_empty, whole_grou
 WINDOW = 200
 ANCHOR = 48
 DIGIT = 50
-#: Anchors with more different runs than this are sorted by Spark, suffix by suffix.
-MOST_RUNS = 1024
+#: Anchors with more different runs than this (about 3 MB of text) are sorted by Spark, suffix by suffix.
+MOST_RUNS = 8192
 
 _LOW = np.uint64(0xFFFFFFFF)
 
@@ -145,7 +145,8 @@ def repeated_stretches(spark: SparkSession, texts: DataFrame, window: int = WIND
     """
     ship(spark)
     runs = staged(spark, _all_runs(texts, window))
-    often = runs.groupBy("anchor").count().where("count > 1").select("anchor")
+    # Written, so that the join has a plain exchange on either side and splits a hot anchor.
+    often = staged(spark, runs.groupBy("anchor").count().where("count > 1").select("anchor"))
     runs = staged(spark, runs.join(often, "anchor"))
     wholes = staged(
         spark,
