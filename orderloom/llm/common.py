@@ -155,3 +155,13 @@ def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Tab
             rest = rest.slice(int(cuts[-1]))
     if rest is not None and rest.num_rows:
         yield rest.combine_chunks()
+
+
+def lowest_reached(linked: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """The smallest label that each row of a symmetric matrix of links reaches."""
+    while True:
+        reached = np.where(linked, label[None, :], np.iinfo(np.int64).max).min(axis=1)
+        new = np.minimum(label, reached)
+        if (new == label).all():
+            return label
+        label = new

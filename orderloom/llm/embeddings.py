@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import connected, ship, staged
+from orderloom.llm.common import connected, lowest_reached, ship, staged
 
 #: Rotations are learned from at most about so many vectors; every vector is indexed.
 SAMPLE = 20_000
@@ -254,7 +254,7 @@ def _linked(
                 for t in range(table):
                     earlier |= codes[own, t][:, None] == codes[own, t][None, :]
                 links[own] = (linked & ~earlier) @ copies[own]
-                roots[own] = _lowest(linked, node[own])
+                roots[own] = lowest_reached(linked, node[own])
             some = (links > 0) | (roots != node)
             yield pa.RecordBatch.from_arrays([pa.array(x[some]) for x in (node, links, roots)], ["node", "links", "root"])
 
@@ -262,16 +262,6 @@ def _linked(
     return cells.mapInArrow(rerank, "node long, links long, root long")
 
 
-def _lowest(linked: np.ndarray, label: np.ndarray) -> np.ndarray:
-    """The smallest label that each row reaches by links."""
-    while True:
-        reached = np.where(linked, label[None, :], np.iinfo(np.int64).max).min(axis=1)
-        new = np.minimum(label, reached)
-        if (new == label).all():
-            return label
-        label = new
-
-
 def _most_different(bits: int, cosine: float) -> int:
     """Bits in which a pair at the cosine differs at most, six standard deviations above the mean."""
     chance = math.acos(cosine) / math.pi

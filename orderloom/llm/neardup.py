@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.llm.bytehash import mixed
-from orderloom.llm.common import connected, picked, ship, staged
+from orderloom.llm.common import connected, lowest_reached, picked, ship, staged, whole_groups
 from orderloom.llm.shingles import MINS, minwise, set_key, shingle_sets, sketches
 from orderloom.llm.tokens import chunks
 
@@ -33,8 +33,6 @@ DEEPEST = 9
 #: A large node is done at once if its documents outside its largest component make at most so
 #: many pairs with all of its documents.
 AT_ONCE = 4_000_000
-#: Rounds in which only the nearest pair of each component is tested.
-NEAREST_ROUNDS = 4
 
 
 def _most_children(similarity: float) -> np.ndarray:
@@ -99,8 +97,6 @@ class _Join:
         self._similarity = percent / 100
         chance = (1 - self._similarity) / 2
         self._most = math.ceil(MINS * chance + 4.5 * math.sqrt(MINS * chance * (1 - chance)))
-        self._links: DataFrame | None = None
-        self._tested: DataFrame | None = None
         self.roots: DataFrame | None = None
 
     def _branch(self, rows: DataFrame | None) -> DataFrame:
@@ -138,7 +134,8 @@ class _Join:
         """Rows of nodes with `least` documents or more in more than one component, with the
         node's size and its first document."""
         parted = self._with_component(rows)
-        nodes = (
+        nodes = staged(
+            self._spark,
             parted.groupBy("node")
             .agg(
                 F.count(F.lit(1)).alias("n"),
@@ -150,23 +147,29 @@ class _Join:
                 F.min_by("s2", "place").alias("p2"),
             )
             .where((F.col("n") >= least) & (F.col("lowest") < F.col("highest")))
-            .drop("lowest", "highest")
+            .drop("lowest", "highest"),
         )
         return staged(self._spark, parted.join(nodes, "node"))
 
-    def _confirm(self, pairs: DataFrame) -> bool:
-        """Test pairs (a, b), a < b, on their full sets and join what is linked; whether any is."""
+    def _texts(self, keys: DataFrame) -> DataFrame:
+        return picked(self._sets.select("place", F.col("row.text").cast("string").alias("text")), keys, "place")
+
+    def _join(self, links: DataFrame) -> None:
+        """Join components by staged links; the roots so far stand for the links so far."""
+        if links.isEmpty():
+            return
+        if self.roots is not None:
+            links = links.unionByName(self.roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+        self.roots = connected(self._spark, links)
+
+    def _confirm(self, pairs: DataFrame) -> None:
+        """Test pairs (a, b) on their full sets and join what is linked."""
         spark, width, percent = self._spark, self._width, self._percent
-        pairs = pairs.distinct()
-        if self._tested is not None:
-            pairs = pairs.join(self._tested, ["a", "b"], "left_anti")
-        pairs = staged(spark, pairs)
+        pairs = staged(spark, pairs.distinct())
         if pairs.isEmpty():
-            return False
-        self._tested = pairs if self._tested is None else self._tested.unionByName(pairs)
+            return
         keys = staged(spark, pairs.select(F.explode(F.array("a", "b")).alias("place")).distinct())
-        all_texts = self._sets.select("place", F.col("row.text").cast("string").alias("text"))
-        texts = staged(spark, picked(all_texts, keys, "place"))
+        texts = staged(spark, self._texts(keys))
         one = texts.select(F.col("place").alias("a"), F.col("text").alias("text_a"))
         two = texts.select(F.col("place").alias("b"), F.col("text").alias("text_b"))
 
@@ -182,54 +185,50 @@ class _Join:
                 yield pa.RecordBatch.from_arrays([batch.column(i).filter(keep) for i in range(2)], ["a", "b"])
 
         full = pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b")
-        links = staged(spark, full.mapInArrow(test, "a long, b long"))
-        if links.isEmpty():
-            return False
-        # Roots stand for the links so far.
-        if self.roots is not None:
-            links = links.unionByName(self.roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
-        self.roots = connected(spark, links)
-        return True
+        self._join(staged(spark, full.mapInArrow(test, "a long, b long")))
 
     def _near(self, rows: DataFrame) -> DataFrame:
-        """Pairs of one group (node, cell), of different components and near in their sketches."""
+        """Rows (cell, place) that are near, in their sketches, to a row of their group of
+        another component; `cell` now names the group (node, cell)."""
         most = self._most
 
         def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            rest: pa.Table | None = None
+            for table in whole_groups(batches, "cell"):
+                yield _near_rows(table, most)
+
+        keyed = rows.select(F.xxhash64("node", "cell").alias("cell"), "place", "part", "s1", "s2", "query")
+        return keyed.repartition("cell").sortWithinPartitions("cell").mapInArrow(compare, "cell long, place long")
+
+    def _confirm_cells(self, rows: DataFrame) -> None:
+        """Compare the documents of each group (node, cell) that are near others of another
+        component, on their full sets, and join what is linked. Only links leave the tasks."""
+        spark, width, percent = self._spark, self._width, self._percent
+        near = staged(spark, self._near(rows))
+        if near.isEmpty():
+            return
+        keys = staged(spark, near.select("place").distinct())
+
+        def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                rows = pa.Table.from_batches([batch])
-                rest = rows if rest is None else pa.concat_tables([rest, rows])
-                group = _group_key(rest)
-                cuts = np.flatnonzero(group[1:] != group[:-1]) + 1
-                if len(cuts):
-                    yield _near_pairs(rest.slice(0, int(cuts[-1])), most)
-                    rest = rest.slice(int(cuts[-1]))
-            if rest is not None and rest.num_rows:
-                yield _near_pairs(rest, most)
-
-        keyed = rows.select("node", "cell", "place", "part", "s1", "s2", "query")
-        grouped = keyed.repartition("node", "cell").sortWithinPartitions("node", "cell")
-        return grouped.mapInArrow(compare, "a long, b long, apart int")
-
-    def _confirm_all(self, pairs: DataFrame) -> None:
-        """Test pairs (a, b, apart): in each round the nearest pair of every component, which
-        joins most of what belongs together, then all whose components are still two."""
-        pairs = staged(self._spark, pairs.distinct())
-        for _ in range(NEAREST_ROUNDS):
-            ends = F.explode(F.array(*(F.struct(F.col(f"part_{x}").alias("part"), "apart", "a", "b") for x in "ab")))
-            between = self._with_components(pairs).where("part_a <> part_b").select(ends.alias("end"))
-            nearest = between.groupBy("end.part").agg(F.min(F.struct("end.apart", "end.a", "end.b")).alias("best"))
-            if not self._confirm(nearest.select("best.a", "best.b")):
-                break
-        self._confirm(self._with_components(pairs).where("part_a <> part_b").select("a", "b"))
-
-    def _with_components(self, pairs: DataFrame) -> DataFrame:
-        for side in ("a", "b"):
-            pairs = self._with_component(pairs.withColumnRenamed(side, "place")).withColumnsRenamed(
-                {"place": side, "part": f"part_{side}"}
-            )
-        return pairs
+                sets = [x.tobytes() for texts in chunks(batch.column(1)) for x in shingle_sets(texts, width)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["place", "members"])
+
+        sets = staged(spark, self._texts(keys).mapInArrow(hashes, "place long, members binary"))
+
+        def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for table in whole_groups(batches, "cell"):
+                cell, place, members = (table.column(name) for name in ("cell", "place", "members"))
+                cell, place = cell.to_numpy(), place.to_numpy()
+                bounds = [0, *(np.flatnonzero(cell[1:] != cell[:-1]) + 1).tolist(), len(cell)]
+                for begin, end in zip(bounds[:-1], bounds[1:], strict=True):
+                    own = place[begin:end]
+                    sets = [np.frombuffer(x, dtype=np.uint64) for x in members.slice(begin, end - begin).to_pylist()]
+                    root = lowest_reached(_alike(sets, percent), own)
+                    some = root != own
+                    yield pa.RecordBatch.from_arrays([pa.array(own[some]), pa.array(root[some])], ["a", "b"])
+
+        grouped = near.join(sets, "place").repartition("cell").sortWithinPartitions("cell")
+        self._join(staged(spark, grouped.select("cell", "place", "members").mapInArrow(link, "a long, b long")))
 
     def run(self) -> DataFrame | None:
         """Rows (node, root) by place for every document that has a link, or None."""
@@ -247,12 +246,12 @@ class _Join:
             small = left.where(F.col("n") <= SMALL).withColumns({"cell": F.lit(0).cast("long"), "query": F.lit(True)})
             large = left.where(F.col("n") > SMALL)
             if large.isEmpty():
-                self._confirm_all(self._near(small))
+                self._confirm_cells(small)
                 return self.roots
             large = staged(self._spark, _with_queries(large))
             done = F.lit(True) if depth >= DEEPEST else F.col("queries") * F.col("n") <= AT_ONCE
             columns = ["node", "place", "part", "s1", "s2", "cell", "query"]
-            self._confirm_all(self._near(small.select(columns).unionByName(_cells(large.where(done)).select(columns))))
+            self._confirm_cells(small.select(columns).unionByName(_cells(large.where(done)).select(columns)))
             level = staged(self._spark, self._branch(large.where(~done)))
             depth += 1
 
@@ -276,18 +275,12 @@ def _cells(rows: DataFrame) -> DataFrame:
     return rows.withColumn("cell", F.explode(cells))
 
 
-def _group_key(rows: pa.Table) -> np.ndarray:
-    return rows.column("node").to_numpy() ^ (rows.column("cell").to_numpy() * 0x9E3779B97F4A7C1)
-
-
-def _near_pairs(rows: pa.Table, most: int) -> pa.RecordBatch:
-    group = _group_key(rows)
-    place, part = rows.column("place").to_numpy(), rows.column("part").to_numpy()
+def _near_rows(rows: pa.Table, most: int) -> pa.RecordBatch:
+    group, place, part = (rows.column(name).to_numpy() for name in ("cell", "place", "part"))
     # Unsigned, since bits are counted in absolute values.
     s1, s2 = (rows.column(name).to_numpy().view(np.uint64) for name in ("s1", "s2"))
     query = rows.column("query").to_numpy(zero_copy_only=False)
-    ones, twos = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
-    distances = [np.zeros(0, dtype=np.int32)]
+    near = np.zeros(len(group), dtype=bool)
     left, step = np.arange(len(group)), 1
     while True:
         left = left[left + step < len(group)]
@@ -296,13 +289,29 @@ def _near_pairs(rows: pa.Table, most: int) -> pa.RecordBatch:
             break
         right = left + step
         apart = np.bitwise_count(s1[left] ^ s1[right]) + np.bitwise_count(s2[left] ^ s2[right])
-        near = (apart <= most) & (part[left] != part[right]) & (query[left] | query[right])
-        ones.append(np.minimum(place[left[near]], place[right[near]]))
-        twos.append(np.maximum(place[left[near]], place[right[near]]))
-        distances.append(apart[near].astype(np.int32))
+        found = left[(apart <= most) & (part[left] != part[right]) & (query[left] | query[right])]
+        near[found] = near[found + step] = True
         step += 1
-    columns = [pa.array(np.concatenate(x)) for x in (ones, twos, distances)]
-    return pa.RecordBatch.from_arrays(columns, ["a", "b", "apart"])
+    return pa.RecordBatch.from_arrays([pa.array(group[near]), pa.array(place[near])], ["cell", "place"])
+
+
+def _alike(sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which pairs of sets share enough: exact counts by products of incidence matrices, a slice
+    of the members at a time."""
+    size = np.array([len(x) for x in sets])
+    member = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    row = np.repeat(np.arange(len(sets)), size)
+    shared = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    order = np.argsort(member, kind="stable")
+    member, row = member[order], row[order]
+    for begin in range(0, int(member[-1]) + 1, 4096):
+        a, b = np.searchsorted(member, [begin, begin + 4096])
+        incidence = np.zeros((len(sets), 4096), dtype=np.float32)
+        incidence[row[a:b], member[a:b] - begin] = 1
+        shared += incidence @ incidence.T
+    alike = 100 * shared.astype(np.int64) >= percent * (size[:, None] + size[None, :] - shared.astype(np.int64))
+    np.fill_diagonal(alike, False)
+    return alike
 
 
 def near_groups(
