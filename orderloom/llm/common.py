@@ -19,7 +19,13 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def ship(spark: SparkSession) -> None:
-    """Hand this package to the executors' Python workers, once per session."""
+    """Hand this package to the executors' Python workers, once per session.
+
+    Texts are long, so Arrow batches of them are kept short unless the session says otherwise.
+    """
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(batch) == "10000":
+        spark.conf.set(batch, "1000")
     name = "orderloom-package.zip"
     context = spark.sparkContext
     if any(path.endswith(name) for path in context._python_includes):
