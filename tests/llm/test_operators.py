@@ -1,0 +1,262 @@
+"""The ten operators against brute force on small tables with awkward rows."""
+
+import hashlib
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from orderloom.llm import chat, embeddings, fingerprints, language, mixing, neardup, packing, repeats, sharding, token_files
+from orderloom.llm.common import connected, scratch_uri
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, shard string, row string"
+LONG = " ".join(f"word{i} tail{i % 7}" for i in range(9000))
+BASE = " ".join(f"shared{i}" for i in range(60))
+ROWS = [
+    (0, None, None, None, None, "x", "y"),
+    (1, "", "en", "a", 0, None, None),
+    (2, BASE, "en", "a", 1, None, None),
+    (3, BASE, "en", "b", 1, None, None),
+    (3, BASE, "en", "b", 1, None, None),
+    (4, BASE + " more", "en", None, 1, None, None),
+    (5, LONG, "en", "c", 1, None, None),
+    (6, "  a \t b  ", "xx", "c", 1, None, None),
+    (7, "123 ...", None, "c", 1, None, None),
+    (8, "éß漢字 <|endoftext|> x", "fr", "c", 1, None, None),
+    (None, "no id " + BASE, "en", "c", 1, None, None),
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(ROWS, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def brute_jump(key, shards):
+    seed = 42 if key is None else xxhash.xxh64_intdigest(int(key).to_bytes(8, "little", signed=True), 42)
+    bucket = target = draw = 0
+    while target < shards:
+        bucket = target
+        value = xxhash.xxh64_intdigest(draw.to_bytes(4, "little"), seed)
+        target = int((bucket + 1) * (2.0**31 / float((value >> 33) + 1)))
+        draw += 1
+    return bucket
+
+
+def test_sharding(spark, docs, none):
+    rows = sharding.shard_documents(spark, docs, 8).collect()
+    assert len(rows) == len(ROWS)
+    for row in rows:
+        assert row.shard == brute_jump(row.doc_id, 8)
+        assert row.grown_shard == brute_jump(row.doc_id, 9)
+        assert row.grown_shard in (row.shard, 8)
+    for shard in {r.shard for r in rows}:
+        assert sorted(r.slot for r in rows if r.shard == shard) == list(range(sum(r.shard == shard for r in rows)))
+    assert {(r.doc_id, r.size, r.text_crc32) for r in rows} == {
+        (r[0], len((r[1] or "").encode()) + 1, zlib.crc32((r[1] or "").encode())) for r in ROWS
+    }
+    assert sharding.shard_documents(spark, none, 8).count() == 0
+
+
+def brute_repeats(texts, window):
+    count = Counter(t[i : i + window] for t in texts for i in range(len(t) - window + 1))
+    out = []
+    for text in texts:
+        gone = [False] * len(text)
+        for i in range(len(text) - window + 1):
+            if count[text[i : i + window]] > 1:
+                gone[i : i + window] = [True] * window
+        spans = sum(g and (i == 0 or not gone[i - 1]) for i, g in enumerate(gone))
+        kept = bytes(b for b, g in zip(text, gone, strict=True) if not g)
+        out.append((len(text), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+@pytest.mark.parametrize("most", [1, 8192])
+def test_repeats(spark, docs, none, most, monkeypatch):
+    monkeypatch.setattr(repeats, "MOST_RUNS", most)
+    extra = [(100 + i, "x" * 30 * i + BASE[i * 9 :] + "é" * 120 + "aaa" * 90 * (i % 2), None, None, None, None, None) for i in range(12)]
+    table = docs.unionByName(spark.createDataFrame(extra, SCHEMA))
+    rows = repeats.repeats_digest(spark, table).collect()
+    texts = [(r[0], (r[1] or "").encode()) for r in ROWS + extra]
+    expected = Counter((key, *x) for (key, _), x in zip(texts, brute_repeats([t for _, t in texts], 200), strict=True))
+    assert Counter(tuple(r) for r in rows) == expected
+    assert repeats.repeats_digest(spark, none).count() == 0
+
+
+def test_chat(spark):
+    turns = [(1, 0, "user", "hi"), (1, 1, "assistant", "yo"), (2, 0, "user", None), (2, 1, "assistant", "no"), (None, 0, "user", "x"), (3, 0, None, "")]
+    table = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    rows = chat.format_preferences(chat.replaced_replies(chat.conversations(table))).collect()
+    assert [(r.pair_id, r.shared_turns, r.prompt, r.chosen, r.rejected) for r in rows] == [
+        (1, 1, "<|user|>\nhi\n", "<|assistant|>\nyo\n", "<|assistant|>\nno\n")
+    ]
+    assert [tuple(x) for x in rows[0].chosen_mask] == [(14, 3)]
+    assert chat.conversations(table.limit(0)).count() == 0
+
+
+def test_fingerprints(spark, docs, none):
+    rows = fingerprints.fingerprint_documents(spark, docs).collect()
+    assert len(rows) == len(ROWS)
+    ordered = sorted(((r[0], r[1] or "") for r in ROWS if r[0] is not None), key=lambda r: r[0])
+    edited = Counter()
+    for (key, text), (_, following) in zip(ordered, ordered[1:] + ordered[:1], strict=True):
+        quarter = len(text) // 4
+        edited[key, hashlib.sha256((text[: len(text) - quarter] + following[:quarter]).encode()).hexdigest()] += 1
+    assert Counter((r.doc_id, r.edited_sha256) for r in rows if r.doc_id is not None) == edited
+    by_id = {r.doc_id: r for r in rows}
+    assert by_id[2].fingerprint == by_id[3].fingerprint and by_id[2].near_next == 1.0
+    assert by_id[0].fingerprint == "" and by_id[0].near_edited == 1.0
+    assert fingerprints.fingerprint_documents(spark, none).count() == 0
+
+
+def test_packing(spark, docs, none):
+    rows = packing.pack_documents(spark, docs).collect()
+    sequences = {}
+    for r in rows:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for pieces in sequences.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= packing.WINDOW
+    assert sum(r.length for r in rows) == sum(r.doc_tokens for r in rows if r.start == 0)
+    assert Counter(r.doc_id for r in rows if r.start == 0) == Counter(r[0] for r in ROWS)
+    assert packing.pack_documents(spark, none).count() == 0
+
+
+def test_packing_plan_uses_every_piece_once():
+    counts = np.random.default_rng(1).integers(0, 50, 65)
+    counts[0] = 0
+    used = Counter()
+    for combination, times in packing.pack_histogram(counts):
+        assert sum(combination) <= 64 and times > 0
+        for n in combination:
+            used[n] += times
+    assert all(used[n] == counts[n] for n in range(1, 65))
+
+
+def words(text):
+    low = (text or "").translate({c: c + 32 for c in range(65, 91)})
+    return [w for w in __import__("re").findall(r"[^\x20\x09-\x0D]+", low)]
+
+
+def brute_components(items, linked):
+    root = {i: i for i, _ in items}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for x, (i, a) in enumerate(items):
+        for j, b in items[:x]:
+            if linked(a, b):
+                one, two = sorted((find(i), find(j)))
+                root[two] = one
+    return {i: find(i) for i in root}
+
+
+@pytest.mark.parametrize("width", [2, 5])
+def test_near_duplicates(spark, none, width):
+    random = np.random.default_rng(5)
+    base = [f"w{i}" for i in random.integers(0, 400, 120)]
+    texts = [None, "", "One", "one", "a b"]
+    for i in range(40):
+        copy = list(base)
+        for j in random.integers(0, 120, i % 5):
+            copy[j] = f"new{random.integers(0, 99999)}"
+        texts.append(" ".join(copy))
+    texts += [" ".join(f"u{i}x{j}" for j in range(50)) for i in range(10)] + texts[6:9]
+    table = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+
+    def shingles(text):
+        w = words(text)
+        return {tuple(w[i : i + width]) for i in range(len(w) - width + 1)} if len(w) >= width else {tuple(w)} if w else set()
+
+    sets = [(i, shingles(t)) for i, t in enumerate(texts)]
+    expected = brute_components(sets, lambda a, b: a and b and 100 * len(a & b) >= 80 * len(a | b))
+    rows = neardup.near_digest(spark, table, width).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in rows} == {
+        i: (len(s), expected[i], expected[i] == i) for i, s in sets
+    }
+    kept = neardup.drop_near_copies(spark, table, width)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(expected.values()))
+    assert neardup.near_digest(spark, none, width).count() == 0
+
+
+def test_language(spark, docs, none):
+    train = [(i, ("the house and the garden " if i % 2 else "das haus und der garten ") * 3, "en" if i % 2 else "de") for i in range(60)]
+    table = spark.createDataFrame(train, "doc_id long, text string, lang string")
+    model = language.learn(spark, table)
+    found = {r.row.doc_id: (r.lang_pred, r.score) for r in language.identify(spark, docs, model).collect()}
+    assert found[0][0] == found[1][0] == found[7][0] == "und" and found[2][0] in ("en", "de")
+    right = language.identify(spark, table, model).where(F.col("row.lang") == F.col("lang_pred")).count()
+    assert right == 60
+    assert language.language_digest(spark, none).count() == 0
+    assert {r.doc_id for r in language.drop_unknown(spark, docs).collect()} == {2, 3, 4, 5, 6, 8, None}
+
+
+def test_token_files(spark, docs, none):
+    target = scratch_uri(spark)
+    rows = token_files.read_token_files(token_files.write_token_files(spark, docs, target), target).collect()
+    assert len(rows) == len(ROWS)
+    at = 0
+    for r in sorted(rows, key=lambda r: r.start):
+        assert r.start == at
+        at += r.n_tokens
+    from tokenizers import Tokenizer
+
+    from orderloom.llm.tokens import default_vocabulary
+
+    plain = Tokenizer.from_file(default_vocabulary())
+    plain.encode_special_tokens = True
+    expected = Counter()
+    for row in ROWS:
+        ids = np.array([*plain.encode(row[1] or "", add_special_tokens=False).ids, 2], dtype="<u4")
+        expected[row[0], len(ids), zlib.crc32(ids.tobytes())] += 1
+    assert Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in rows) == expected
+    empty = scratch_uri(spark)
+    assert token_files.read_token_files(token_files.write_token_files(spark, none, empty), empty).count() == 0
+
+
+def test_mixing(spark, docs, none):
+    rows = mixing.mix_digest(spark, docs).collect()
+    assert len(rows) == len(ROWS)
+    assert math.isclose(sum({(r.source_size, r.target) for r in rows} and {r.target for r in rows}), sum(r.size for r in rows))
+    assert all(r.taken <= 3 * r.size for r in rows)
+    assert mixing.mix_sources(spark, docs).columns == docs.columns
+    assert mixing.mix_digest(spark, none).count() == 0
+
+
+def test_embeddings(spark):
+    random = np.random.default_rng(0)
+    base = random.normal(size=(150, 16))
+    near = base[:60] + random.normal(size=(60, 16)) * 0.08
+    vectors = [x.tolist() for x in (*base, *near, *base[:5], *base[:5] * 3)]
+    vectors += [None, [], [0.0] * 16, [float("nan")] * 16, [float("inf")] + [1.0] * 15, [None] + [1.0] * 15, [1.0, 2.0]]
+    table = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    rows = {r.vec_id: r for r in embeddings.near_vectors(spark, table).collect()}
+    unit = np.array(vectors[:220]) / np.linalg.norm(np.array(vectors[:220]), axis=1, keepdims=True)
+    linked = unit @ unit.T >= 0.95
+    np.fill_diagonal(linked, False)
+    found = sum(rows[i].n_links for i in range(220))
+    assert 0.9 * linked.sum() <= found <= linked.sum()
+    assert all(rows[i].n_links <= linked[i].sum() for i in range(220))
+    assert all(rows[i].n_links == 0 and rows[i].kept for i in range(220, 227))
+    assert embeddings.near_vectors(spark, table.limit(0)).count() == 0
+
+
+def test_connected_follows_long_chains(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(50)] + [(100, 99)], "a long, b long")
+    assert {r.node: r.root for r in connected(spark, links).collect()} == {i: 0 for i in range(51)} | {99: 99, 100: 99}
