@@ -9,22 +9,18 @@ from pyspark.sql import functions as F
 
 from orderloom.functions.text import strip
 
-NANOS_PER_DAY = 86_400_000_000_000
+# An ISO date with a time of day, with or without fraction and zone.
+ISO_WITH_TIME = r"^(\d{4}-\d{1,2}-\d{1,2})[T ]\d{1,2}:\d{2}(:\d{2}([.,]\d+)?)? ?(Z|UTC|[+-]\d{2}:?\d{2})?$"
 
 
 def parse_date(text: Column, formats: Sequence[str]) -> Column:
     """Text to date by the first format that fits; null where none does.
 
-    A date is valid if its nanoseconds since 1970 fit in 64 bits (1677-09-22 to
-    2262-04-11), so a date dimension never exceeds 213,503 rows. The overflow of
-    the product tells, with one use of the parsed date: a filter would evaluate a
-    range test's copies each time.
+    The time of day of an ISO timestamp is dropped first: the day is the one that is
+    written, whatever its zone.
     """
-    trimmed = strip(text)
-    day = F.coalesce(*[F.try_to_date(trimmed, fmt) for fmt in formats])
-    nanos = F.try_multiply(F.unix_date(day).cast("bigint"), F.lit(NANOS_PER_DAY))
-    days = F.call_function("div", nanos, F.lit(NANOS_PER_DAY))
-    return F.date_from_unix_date(days.cast("int"))
+    day = F.regexp_replace(strip(text), ISO_WITH_TIME, "$1")
+    return F.coalesce(*[F.try_to_date(day, fmt) for fmt in formats])
 
 
 def date_key(day: Column) -> Column:

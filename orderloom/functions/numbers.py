@@ -30,9 +30,9 @@ def to_typed(text: Column, dtype: T.DataType) -> Column:
 
 
 def line_amount(matched: Column, price: Column, quantity: Column) -> Column:
-    """Price times quantity: 0 for an unknown product, null for a missing price."""
+    """Price times quantity: 0 for an unknown product, null for a missing price or an overflow."""
     unit = F.when(matched, price).otherwise(F.lit(0))
-    return (unit * quantity).cast(AMOUNT)
+    return F.try_multiply(unit, quantity).try_cast(AMOUNT)
 
 
 def rounded(total: Column, digits: int = 2) -> Column:

@@ -22,17 +22,20 @@ def left_lookup(
     table: DataFrame,
     table_key: str,
     counted_rows: int | None = None,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Add the table's columns and `_matched`: true on a hit, null like them on a miss.
 
-    `counted_rows` is the table's size if known; a small one spares the large side
-    a shuffle. Pass it for tables of a few fixed-width columns only.
+    `counted_rows` is the table's size if known; one up to `broadcast_rows` spares the
+    large side a shuffle, unless the session forbids broadcasts. Pass it for tables of a
+    few fixed-width columns only.
     """
     side = table.select(
         F.col(table_key).alias("_lookup"),
         *[name for name in table.columns if name != table_key],
         F.lit(True).alias(MATCHED),
     )
-    if counted_rows is not None and counted_rows <= BROADCAST_ROWS:
+    allowed = not rows.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").startswith("-")
+    if allowed and counted_rows is not None and counted_rows <= broadcast_rows:
         side = F.broadcast(side)
     return rows.join(side, key == F.col("_lookup"), "left").drop("_lookup")

@@ -16,9 +16,9 @@ from orderloom.schemas import ORDER_DAY, POSITION, STAR_SCHEMAS
 
 
 def conform(rows: DataFrame, table: str) -> DataFrame:
-    """Exactly the table's columns, in its order and types."""
+    """Exactly the table's columns, in its order and types; null where a value does not fit."""
     return rows.select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in STAR_SCHEMAS[table]]
+        *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in STAR_SCHEMAS[table]]
     )
 
 
