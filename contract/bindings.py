@@ -15,7 +15,7 @@ from orderloom.operators.dedupe import distinct_values, first_appearance, keep_f
 from orderloom.operators.integrity import duplicate_keys, orphan_keys
 from orderloom.plans import reports
 from orderloom.plans.checks import gates_of, null_links_of, summarize
-from orderloom.plans.issues import find_issues
+from orderloom.plans.issues import find_issues, order_rules, source_issues
 from orderloom.plans.job import RunResult, run_pipeline
 from orderloom.plans.star import (
     build_category,
@@ -26,9 +26,9 @@ from orderloom.plans.star import (
     run_sql,
     valid_orders,
 )
-from orderloom.schemas import CUSTOMERS, ORDER_DAY, POSITION
+from orderloom.schemas import CUSTOMERS, ORDER_DAY, ORDERS, POSITION, UNREAD_DATE
 from orderloom.session import scratch_folder
-from orderloom.sources.csv_files import read_csv
+from orderloom.sources.csv_files import read_csv, read_orders
 from orderloom.sources.mart import read_run_log, read_star
 from orderloom.sources.trade_tables import (
     TRADE_RULES,
@@ -84,6 +84,26 @@ def csv_roundtrip_customers(spark: SparkSession, folder: str) -> DataFrame:
     return read_csv(spark, path, CUSTOMERS).select(*CUSTOMERS.column_names)
 
 
+def csv_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Issues of orders that went through CSV with quantities that are no whole numbers."""
+    path = scratch_folder(spark)
+    key = F.col("order_id")
+    quantity = (
+        F.when(key % 7 == 0, F.lit("many"))
+        .when(key % 11 == 0, F.lit("2.5"))
+        .otherwise(F.col("quantity").cast("string"))
+    )
+    dated = F.coalesce(iso_text(F.col(ORDER_DAY)), F.col(UNREAD_DATE))
+    (
+        stage_orders(spark, folder)
+        .withColumns({"quantity": quantity, "order_date": dated})
+        .select(*ORDERS.column_names)
+        .write.option("header", True)
+        .csv(path)
+    )
+    return source_issues(read_orders(spark, path, TRADE_RULES), ORDERS, order_rules(TRADE_RULES))
+
+
 def source_row_counts(spark: SparkSession, folder: str) -> DataFrame:
     counts = [
         rows.agg(F.count(F.lit(1)).alias("row_count")).select(
@@ -316,6 +336,7 @@ def duplicate_order_keys(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "csv_roundtrip_customers": csv_roundtrip_customers,
+    "csv_rejects": csv_rejects,
     "source_row_counts": source_row_counts,
     "star_publish_counts": star_publish_counts,
     "sql_text_report": sql_text_report,

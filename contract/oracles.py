@@ -73,25 +73,25 @@ CTES = {
     "issues": """
         SELECT 'customers' AS entity, customer_id AS key, 'DQ-1' AS rule,
                'CUSTOMER ERROR' AS category,
-               'Missing email: ' || first_name || ' ' || last_name AS message
+               'No email address for customer ' || first_name || ' ' || last_name AS message
         FROM st_customers WHERE email IS NULL OR trim(email) = ''
         UNION ALL
         SELECT 'products', product_id, 'DQ-2', 'PRODUCT ERROR',
-               'Invalid price for ProductKey ' || product_id || ': ' ||
+               'Price of product ' || product_id || ' is not positive: ' ||
                CASE WHEN price IS NULL THEN 'nan' ELSE '0' END
         FROM st_products WHERE price IS NULL OR price <= 0
         UNION ALL
         SELECT 'products', product_id, 'DQ-3', 'PRODUCT ERROR',
-               'Negative/missing stock for ProductKey ' || product_id
+               'No stock, or less than none, of product ' || product_id
         FROM st_products WHERE stock IS NULL OR stock < 0
         UNION ALL
         SELECT 'orders', order_id, 'DQ-4', 'ORDER ERROR',
-               'Invalid order_date for OrderKey ' || order_id
+               'Date of order ' || order_id || ' is not readable: ' || order_date
         FROM st_orders WHERE try_strptime(order_date, '%Y-%m-%d') IS NULL
         UNION ALL
         SELECT 'orders', order_id, 'DQ-5', 'ORDER ERROR',
-               'Unexpected payment type ''' || coalesce(payment_type, 'nan') ||
-               ''' on OrderKey ' || order_id
+               'Payment type of order ' || order_id || ' is not allowed: ' ||
+               coalesce(payment_type, 'nan')
         FROM st_orders
         WHERE payment_type IS NULL
            OR payment_type NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '5-LOW')""",
@@ -230,6 +230,13 @@ def _gates() -> str:
 
 _BODIES = {
     "csv_roundtrip_customers": "SELECT * FROM st_customers",
+    "csv_rejects": """
+        SELECT * FROM issues WHERE entity = 'orders'
+        UNION ALL
+        SELECT 'orders', order_id, 'DQ-6', 'ORDER ERROR',
+               'Cells that do not fit their type: quantity ''' ||
+               CASE WHEN order_id % 7 = 0 THEN 'many' ELSE '2.5' END || ''''
+        FROM st_orders WHERE order_id % 7 = 0 OR order_id % 11 = 0""",
     "source_row_counts": " UNION ALL ".join(
         f"SELECT '{name}' AS source, count(*) AS row_count FROM st_{name}"
         for name in ("customers", "products", "orders")

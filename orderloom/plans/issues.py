@@ -20,11 +20,14 @@ from orderloom.functions.predicates import (
 from orderloom.functions.text import full_name, shown, shown_decimal, strip
 from orderloom.model import Staged
 from orderloom.schemas import (
+    CORRUPT,
     CUSTOMERS,
     DEFAULT_RULES,
     ORDER_DAY,
     ORDERS,
     PRODUCTS,
+    REJECTED,
+    UNREAD_DATE,
     Rules,
     SourceSchema,
 )
@@ -46,7 +49,7 @@ def customer_rules() -> list[RowRule]:
         (
             "DQ-1",
             is_blank(F.col("email")),
-            F.concat(F.lit("Missing email: "), shown(name)),
+            F.concat(F.lit("No email address for customer "), shown(name)),
         )
     ]
 
@@ -58,16 +61,16 @@ def product_rules() -> list[RowRule]:
             "DQ-2",
             not_positive(F.col("price")),
             F.concat(
-                F.lit("Invalid price for ProductKey "),
+                F.lit("Price of product "),
                 key,
-                F.lit(": "),
+                F.lit(" is not positive: "),
                 shown_decimal(F.col("price")),
             ),
         ),
         (
             "DQ-3",
             negative_or_null(F.col("stock")),
-            F.concat(F.lit("Negative/missing stock for ProductKey "), key),
+            F.concat(F.lit("No stock, or less than none, of product "), key),
         ),
     ]
 
@@ -79,23 +82,41 @@ def order_rules(rules: Rules) -> list[RowRule]:
         (
             "DQ-4",
             F.col(ORDER_DAY).isNull(),
-            F.concat(F.lit("Invalid order_date for OrderKey "), key),
+            F.concat(
+                F.lit("Date of order "), key, F.lit(" is not readable: "), shown(F.col(UNREAD_DATE))
+            ),
         ),
         (
             "DQ-5",
             not_listed_or_null(strip(payment), rules.payments),
             F.concat(
-                F.lit("Unexpected payment type '"),
-                shown(payment),
-                F.lit("' on OrderKey "),
+                F.lit("Payment type of order "),
                 key,
+                F.lit(" is not allowed: "),
+                shown(payment),
             ),
         ),
     ]
 
 
+def reading_rules(rows: DataFrame) -> list[RowRule]:
+    """Rules on how a row was read, for sources that keep track of it."""
+    found: list[RowRule] = []
+    if REJECTED in rows.columns:
+        cell = F.transform(
+            REJECTED, lambda x: F.concat(x["column"], F.lit(" '"), x["text"], F.lit("'"))
+        )
+        listed = F.concat(F.lit("Cells that do not fit their type: "), F.array_join(cell, ", "))
+        found.append(("DQ-6", F.size(REJECTED) > 0, listed))
+    if CORRUPT in rows.columns:
+        line = F.concat(F.lit("Wrong number of fields: "), CORRUPT)
+        found.append(("DQ-7", F.col(CORRUPT).isNotNull(), line))
+    return found
+
+
 def source_issues(rows: DataFrame, source: SourceSchema, row_rules: list[RowRule]) -> DataFrame:
     """All violations in one source, by a single pass over its rows."""
+    row_rules = [*row_rules, *reading_rules(rows)]
     hits = F.array_compact(
         F.array(
             *[

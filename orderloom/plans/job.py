@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from orderloom.model import Staged, Star
 from orderloom.plans.checks import (
     CHECKS,
+    FILLED_CHECKS,
     gates_of,
     link_metrics,
     other_metrics,
@@ -47,6 +48,10 @@ from orderloom.sources.mart import (
 )
 
 
+# Empty file in the folder of a run that is over, published or not.
+ENDED = "_ended"
+
+
 class PublishBlocked(Exception):
     """A gate or a required check failed; the mart still shows the previous run."""
 
@@ -100,10 +105,11 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     files.delete(folder, True)
 
 
-def run_ids(spark: SparkSession, root: str) -> list[str]:
-    """All runs with a folder under the root, published or not, oldest first."""
+def ended_runs(spark: SparkSession, root: str) -> list[str]:
+    """All runs under the root that have ended, published or not, oldest first."""
     files, folder = _folder(spark, root)
-    names = [status.getPath().getName() for status in files.listStatus(folder)]
+    runs = [status.getPath() for status in files.listStatus(folder)]
+    names = [run.getName() for run in runs if files.exists(run.suffix(f"/{ENDED}"))]
     return sorted(name.removeprefix("run=") for name in names if name.startswith("run="))
 
 
@@ -173,6 +179,11 @@ class _Run:
         if found:
             raise PublishBlocked(f"run {self.run_id} not published ({found})")
 
+    def end(self) -> None:
+        """Mark the run as over, so that it may expire."""
+        files, mark = _folder(self.spark, self.path(ENDED))
+        files.create(mark, True).close()
+
     def publish(self) -> RunResult:
         """Append the run to the log in one commit; from then on readers see it."""
         entries = [
@@ -199,13 +210,15 @@ def run_pipeline(
     fail_on: Iterable[str] = (),
     fact_by_year: bool = False,
     keep_staged: bool = False,
+    allow_empty: bool = False,
 ) -> RunResult:
     """Build and publish a full new version of the mart under `root`.
 
-    `fail_on` names checks that must pass; the gates always must. `fact_by_year`
+    `fail_on` names checks that must pass; the gates always must, and so must the
+    checks that no table is empty, unless `allow_empty` says otherwise. `fact_by_year`
     partitions the fact for date filters at the price of one more shuffle of it.
     """
-    required = list(fail_on)
+    required = [*fail_on, *(() if allow_empty else FILLED_CHECKS)]
     unknown = set(required) - set(CHECKS)
     if unknown:
         raise ValueError(f"unknown checks {sorted(unknown)}")
@@ -216,6 +229,7 @@ def run_pipeline(
     finally:
         if not keep_staged:
             delete_folder(spark, run.path("staged"))
+        run.end()
 
 
 def build_tables(
@@ -254,12 +268,15 @@ def build_tables(
 
 
 def expire_runs(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
-    """Delete runs older than the last `keep` published ones; return their ids."""
+    """Delete runs older than the last `keep` published ones; return their ids.
+
+    A run that has not ended stays, however long ago it started.
+    """
     if keep < 1:
         raise ValueError("the current run must stay")
-    published = read_run_log(spark, root).select("run_id").distinct()
-    kept = published.orderBy(F.col("run_id").desc()).limit(keep).collect()
-    old = [run for run in run_ids(spark, root) if run < min(row["run_id"] for row in kept)]
+    published = read_run_log(spark, root).groupBy("run_id").agg(F.max("published_at").alias("at"))
+    last = published.orderBy(F.col("at").desc(), F.col("run_id").desc()).limit(keep).collect()
+    old = [run for run in ended_runs(spark, root) if run < min(row["run_id"] for row in last)]
     for run in old:
         delete_folder(spark, run_folder(root, run))
     return old

@@ -16,6 +16,12 @@ POSITION = "_pos"
 # Parsed date of a staged order, null where its text is no valid date.
 ORDER_DAY = "order_day"
 
+# What a source may add to its staged rows: the text of a date that could not be read, the
+# cells whose text did not fit their type, and a line with a wrong number of fields.
+UNREAD_DATE = "_unread_date"
+REJECTED = "_rejected"
+CORRUPT = "_corrupt_record"
+
 
 @dataclass(frozen=True)
 class SourceSchema:

@@ -15,19 +15,19 @@ from orderloom.functions.numbers import to_typed
 from orderloom.functions.text import null_if_token
 from orderloom.model import Staged
 from orderloom.schemas import (
+    CORRUPT,
     CUSTOMERS,
     DEFAULT_RULES,
     ORDER_DAY,
     ORDERS,
     POSITION,
     PRODUCTS,
+    REJECTED,
+    UNREAD_DATE,
     Rules,
     SourceSchema,
 )
 
-CORRUPT = "_corrupt_record"
-REJECTED = "_rejected"
-
 
 def file_position() -> Column:
     """Place of a row in its source: file and split first, then the row in it.
@@ -75,7 +75,7 @@ def read_text_table(spark: SparkSession, path: str, multiline: bool = False) ->
 def read_csv(
     spark: SparkSession, path: str, schema: SourceSchema, multiline: bool = False
 ) -> DataFrame:
-    """A typed source table; `_rejected` names the cells whose text did not fit."""
+    """A typed source table; `_rejected` has column and text of the cells that did not fit."""
     raw = read_text_table(spark, path, multiline)
     missing = [name for name in schema.column_names if name not in raw.columns]
     if missing:
@@ -85,7 +85,10 @@ def read_csv(
     rejected = F.array_compact(
         F.array(
             *[
-                F.when(cells[name].isNotNull() & typed[name].isNull(), F.lit(name))
+                F.when(
+                    cells[name].isNotNull() & typed[name].isNull(),
+                    F.struct(F.lit(name).alias("column"), cells[name].alias("text")),
+                )
                 for name in schema.column_names
             ]
         )
@@ -103,6 +106,19 @@ def bad_lines(table: DataFrame) -> DataFrame:
     return table.where((F.size(REJECTED) > 0) | F.col(CORRUPT).isNotNull())
 
 
+def read_orders(
+    spark: SparkSession, path: str, rules: Rules = DEFAULT_RULES, multiline: bool = False
+) -> DataFrame:
+    """Staged orders: the day in place of the date's text, which stays where no format fits."""
+    day = parse_date(F.col("order_date"), rules.date_formats)
+    unread = F.when(day.isNull(), F.col("order_date"))
+    return (
+        read_csv(spark, path, ORDERS, multiline)
+        .withColumns({ORDER_DAY: day, UNREAD_DATE: unread})
+        .drop("order_date")
+    )
+
+
 def read_csv_sources(
     spark: SparkSession,
     customers: str,
@@ -111,14 +127,12 @@ def read_csv_sources(
     rules: Rules = DEFAULT_RULES,
     multiline: bool = False,
 ) -> Staged:
-    """The three source files, or folders of files, as staged tables."""
-
-    def table(path: str, schema: SourceSchema) -> DataFrame:
-        return read_csv(spark, path, schema, multiline).drop(REJECTED, CORRUPT)
+    """The three source files, or folders of files, as staged tables.
 
-    day = parse_date(F.col("order_date"), rules.date_formats)
+    Rejected cells and broken lines stay with their rows, for the issues to report.
+    """
     return Staged(
-        customers=table(customers, CUSTOMERS),
-        products=table(products, PRODUCTS),
-        orders=table(orders, ORDERS).withColumn(ORDER_DAY, day).drop("order_date"),
+        customers=read_csv(spark, customers, CUSTOMERS, multiline),
+        products=read_csv(spark, products, PRODUCTS, multiline),
+        orders=read_orders(spark, orders, rules, multiline),
     )

@@ -43,8 +43,9 @@ def read_run_log(spark: SparkSession, root: str) -> DataFrame:
 
 
 def current_run(spark: SparkSession, root: str) -> str:
-    """The run published last; run ids sort by time."""
-    latest = read_run_log(spark, root).agg(F.max("run_id").alias("run_id")).first()
+    """The run published last, whichever started first; ties go to the larger run id."""
+    last = F.max(F.struct("published_at", "run_id")).getField("run_id").alias("run_id")
+    latest = read_run_log(spark, root).agg(last).first()
     if latest is None or latest["run_id"] is None:
         raise MartNotBuilt(f"no published mart under {root}: run the pipeline first")
     return latest["run_id"]

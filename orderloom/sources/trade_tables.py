@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from orderloom.functions.dates import iso_text, parse_date
 from orderloom.model import Staged
-from orderloom.schemas import MONEY, ORDER_DAY, POSITION, Rules
+from orderloom.schemas import MONEY, ORDER_DAY, POSITION, UNREAD_DATE, Rules
 
 # A range of the position's coarse half spans 2^16 keys.
 RANGE_BITS = 16
@@ -95,10 +95,12 @@ def stage_orders(spark: SparkSession, folder: str) -> DataFrame:
     date_text = F.when(key % 97 == 0, F.lit("not-a-date")).otherwise(
         iso_text(F.col("o_orderdate").cast("date"))
     )
+    day = parse_date(date_text, TRADE_RULES.date_formats)
     heads = _read(spark, folder, "orders").select(
         "o_orderkey",
         F.col("o_custkey").alias("customer_id"),
-        parse_date(date_text, TRADE_RULES.date_formats).alias(ORDER_DAY),
+        day.alias(ORDER_DAY),
+        F.when(day.isNull(), date_text).alias(UNREAD_DATE),
         F.when(key % 89 != 0, F.col("o_orderpriority")).alias("payment_type"),
         F.col("o_orderstatus").alias("status"),
     )
@@ -108,6 +110,7 @@ def stage_orders(spark: SparkSession, folder: str) -> DataFrame:
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").cast("bigint").alias("quantity"),
         ORDER_DAY,
+        UNREAD_DATE,
         "payment_type",
         "status",
         iso_text(F.col("l_shipdate").cast("date")).alias("updated_at"),

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from edge_rows import CUSTOMERS, ORDERS, row_set, rows, write_sources
 from orderloom import __main__ as cli
+from orderloom.plans import job
 from orderloom.plans.checks import check_report
 from orderloom.plans.job import PublishBlocked, expire_runs, run_pipeline
 from orderloom.plans.reports import monthly_order_trend, product_sales
@@ -80,6 +81,46 @@ def test_required_checks(spark, tmp_path):
     assert run_pipeline(spark, source, root, fail_on=["CK-1", "CK-14"]).table_rows == TABLE_ROWS
 
 
+def test_empty_tables_are_not_published(spark, tmp_path):
+    root = str(tmp_path / "mart")
+    good = run_pipeline(spark, staged(spark, tmp_path / "a"), root)
+    undated = staged(spark, tmp_path / "b", orders=ORDERS.splitlines()[0] + "\n10,1,1,2,soon,UPI,Shipped,\n")
+    with pytest.raises(PublishBlocked, match="CK-6"):
+        run_pipeline(spark, undated, root)
+    assert current_run(spark, root) == good.run_id
+    allowed = run_pipeline(spark, undated, root, allow_empty=True)
+    assert allowed.table_rows["FactOrder"] == 0
+    assert current_run(spark, root) == allowed.run_id
+
+
+def test_broken_lines_and_rejected_cells_are_reported(spark, tmp_path):
+    dirty = ORDERS + "20,1,1,2.5,2021-01-05,UPI,Shipped,x\n21,1,1,1,2021-01-06,UPI,Shipped,x,EXTRA,FIELDS\n"
+    result = run_pipeline(spark, staged(spark, tmp_path / "in", orders=dirty), str(tmp_path / "mart"))
+    found = result.issues(spark).where("rule IN ('DQ-6', 'DQ-7')").select("rule", "key", "message")
+    assert row_set(found) == [
+        ("DQ-6", 20, "Cells that do not fit their type: quantity '2.5'"),
+        ("DQ-7", 21, "Wrong number of fields: 21,1,1,1,2021-01-06,UPI,Shipped,x,EXTRA,FIELDS"),
+    ]
+    logged = result.report(spark).where("check = 'CK-19'").select("violations")
+    assert rows(logged) == [(12,)]
+
+
+def test_the_run_published_last_is_current(spark, tmp_path, monkeypatch):
+    """A run that started earlier and took longer; one that has not ended stays."""
+    root = str(tmp_path / "mart")
+    source = staged(spark, tmp_path / "in")
+    for name in ("b", "c", "a"):
+        monkeypatch.setattr(job, "new_run_id", lambda name=name: name)
+        run_pipeline(spark, source, root)
+    assert current_run(spark, root) == "a"
+    (tmp_path / "mart" / "run=0" / "staged").mkdir(parents=True)
+    assert expire_runs(spark, root, keep=1) == []
+    monkeypatch.undo()
+    run_pipeline(spark, source, root)
+    assert expire_runs(spark, root, keep=1) == ["a", "b", "c"]
+    assert (tmp_path / "mart" / "run=0").exists()
+
+
 def test_fact_by_year_reads_the_same(spark, tmp_path):
     root = str(tmp_path / "mart")
     source = staged(spark, tmp_path / "in")

@@ -97,16 +97,16 @@ def test_issues(staged):
     found = row_set(find_issues(staged).select("rule", "key", "category", "message"))
     assert found == sorted(
         [
-            ("DQ-1", 2, "CUSTOMER ERROR", "Missing email: Bo Ray"),
-            ("DQ-1", 3, "CUSTOMER ERROR", "Missing email: Cy Fox"),
-            ("DQ-2", 2, "PRODUCT ERROR", "Invalid price for ProductKey 2: nan"),
-            ("DQ-2", 3, "PRODUCT ERROR", "Invalid price for ProductKey 3: 0"),
-            ("DQ-3", 3, "PRODUCT ERROR", "Negative/missing stock for ProductKey 3"),
-            ("DQ-3", 4, "PRODUCT ERROR", "Negative/missing stock for ProductKey 4"),
-            ("DQ-4", 13, "ORDER ERROR", "Invalid order_date for OrderKey 13"),
-            ("DQ-4", 15, "ORDER ERROR", "Invalid order_date for OrderKey 15"),
-            ("DQ-5", 11, "ORDER ERROR", "Unexpected payment type 'Cheque' on OrderKey 11"),
-            ("DQ-5", 13, "ORDER ERROR", "Unexpected payment type 'nan' on OrderKey 13"),
+            ("DQ-1", 2, "CUSTOMER ERROR", "No email address for customer Bo Ray"),
+            ("DQ-1", 3, "CUSTOMER ERROR", "No email address for customer Cy Fox"),
+            ("DQ-2", 2, "PRODUCT ERROR", "Price of product 2 is not positive: nan"),
+            ("DQ-2", 3, "PRODUCT ERROR", "Price of product 3 is not positive: 0"),
+            ("DQ-3", 3, "PRODUCT ERROR", "No stock, or less than none, of product 3"),
+            ("DQ-3", 4, "PRODUCT ERROR", "No stock, or less than none, of product 4"),
+            ("DQ-4", 13, "ORDER ERROR", "Date of order 13 is not readable: bad-date"),
+            ("DQ-4", 15, "ORDER ERROR", "Date of order 15 is not readable: 2021-13-01"),
+            ("DQ-5", 11, "ORDER ERROR", "Payment type of order 11 is not allowed: Cheque"),
+            ("DQ-5", 13, "ORDER ERROR", "Payment type of order 13 is not allowed: nan"),
         ],
         key=repr,
     )
