@@ -188,8 +188,10 @@ class _Join:
         self._join(staged(spark, full.mapInArrow(test, "a long, b long")))
 
     def _near(self, rows: DataFrame) -> DataFrame:
-        """Rows (cell, place) that are near, in their sketches, to a row of their group of
-        another component; `cell` now names the group (node, cell)."""
+        """Rows (cell, low, place) that are near, in their sketches, to a row of their group of
+        another component. `cell` now names the documents of a group that chains of such nearness
+        hold together, by a hash of them, so what many trees bring together occurs once; `low` is
+        one of them."""
         most = self._most
 
         def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,15 +199,23 @@ class _Join:
                 yield _near_rows(table, most)
 
         keyed = rows.select(F.xxhash64("node", "cell").alias("cell"), "place", "part", "s1", "s2", "query")
-        return keyed.repartition("cell").sortWithinPartitions("cell").mapInArrow(compare, "cell long, place long")
+        return keyed.repartition("cell").sortWithinPartitions("cell").mapInArrow(compare, "cell long, low long, place long").distinct()
 
     def _confirm_cells(self, rows: DataFrame) -> None:
-        """Compare the documents of each group (node, cell) that are near others of another
-        component, on their full sets, and join what is linked. Only links leave the tasks."""
+        """Compare the documents of each group that are near others of another component, on
+        their full sets, and join what is linked. Only links leave the tasks.
+
+        Documents that chains of nearness hold together in any groups are compared at once,
+        each set shipped once, if they are at most SMALL; in larger chains, group by group."""
         spark, width, percent = self._spark, self._width, self._percent
         near = staged(spark, self._near(rows))
         if near.isEmpty():
             return
+        chains = connected(spark, near.select(F.col("low").alias("a"), F.col("place").alias("b")))
+        short = chains.groupBy("root").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= SMALL).select("root", F.lit(True).alias("short"))
+        chained = chains.join(short, "root", "left").select(F.col("node").alias("place"), "root", "short")
+        group = F.when(F.col("short"), F.col("root")).otherwise(F.col("cell")).alias("cell")
+        near = staged(spark, near.select("cell", "place").join(chained, "place").select(group, "place").distinct())
         keys = staged(spark, near.select("place").distinct())
 
         def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,7 +290,7 @@ def _near_rows(rows: pa.Table, most: int) -> pa.RecordBatch:
     # Unsigned, since bits are counted in absolute values.
     s1, s2 = (rows.column(name).to_numpy().view(np.uint64) for name in ("s1", "s2"))
     query = rows.column("query").to_numpy(zero_copy_only=False)
-    near = np.zeros(len(group), dtype=bool)
+    lefts, rights = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
     left, step = np.arange(len(group)), 1
     while True:
         left = left[left + step < len(group)]
@@ -290,9 +300,31 @@ def _near_rows(rows: pa.Table, most: int) -> pa.RecordBatch:
         right = left + step
         apart = np.bitwise_count(s1[left] ^ s1[right]) + np.bitwise_count(s2[left] ^ s2[right])
         found = left[(apart <= most) & (part[left] != part[right]) & (query[left] | query[right])]
-        near[found] = near[found + step] = True
+        lefts.append(found)
+        rights.append(found + step)
         step += 1
-    return pa.RecordBatch.from_arrays([pa.array(group[near]), pa.array(place[near])], ["cell", "place"])
+    left, right = np.concatenate(lefts), np.concatenate(rights)
+    lowest = _lowest_linked(len(group), left, right)
+    near = np.unique(np.concatenate([left, right]))
+    names = np.zeros(len(group), dtype=np.uint64)
+    np.add.at(names, lowest[near], mixed(place[near].astype(np.uint64)))
+    name, low = names[lowest[near]].view(np.int64), place[lowest[near]]
+    return pa.RecordBatch.from_arrays([pa.array(name), pa.array(low), pa.array(place[near])], ["cell", "low", "place"])
+
+
+def _lowest_linked(count: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The lowest row that each of `count` rows reaches by pairs (left, right) of rows."""
+    lowest = np.arange(count)
+    while len(left):
+        low = np.minimum(lowest[left], lowest[right])
+        apart = lowest[left] != lowest[right]
+        if not apart.any():
+            break
+        # The row a label names takes the lower label too, so that chains shrink by doubling.
+        for rows in (left, right, lowest[left], lowest[right]):
+            np.minimum.at(lowest, rows, low)
+        lowest = lowest[lowest]
+    return lowest
 
 
 def _alike(sets: list[np.ndarray], percent: int) -> np.ndarray:
