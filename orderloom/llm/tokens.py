@@ -13,6 +13,8 @@ import pyarrow as pa
 # tokenizer's pattern; any other blank always starts a new piece.
 _BLANK_RUN = re.compile(r" \s| $")
 _MEMO_ENTRIES = 1_000_000
+#: Parts the tokenizer gets in one string, short so that its tables of positions stay in the caches.
+PARTS_AT_ONCE = 200
 _encoders: dict[str, Encoder] = {}
 
 
@@ -49,8 +51,8 @@ class Encoder:
 
     def _learn(self, parts: list[str]) -> None:
         """Remember the ids of each part with a blank before it."""
-        for begin in range(0, len(parts), 20_000):
-            some = parts[begin : begin + 20_000]
+        for begin in range(0, len(parts), PARTS_AT_ONCE):
+            some = parts[begin : begin + PARTS_AT_ONCE]
             ids = np.frombuffer(self._whole(" " + " ".join(some)), dtype="<u4")
             cuts = np.flatnonzero(self._starts[ids])
             if len(cuts) != len(some):
