@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -243,11 +244,12 @@ class _Join:
     def run(self) -> DataFrame | None:
         """Rows (node, root) by place for every document that has a link, or None."""
         level = staged(self._spark, self._branch(None))
-        depth = 2
+        depth, leaves = 2, []
+        columns = ["node", "place", "s1", "s2", "cell", "query"]
         while True:
             starred = self._undone(level, 2)
             if starred.isEmpty():
-                return self.roots
+                break
             apart = F.bit_count(F.col("s1").bitwiseXOR(F.col("p1"))) + F.bit_count(F.col("s2").bitwiseXOR(F.col("p2")))
             near = (F.col("part") != F.col("pivot_part")) & (apart <= self._most)
             self._confirm(starred.where(near).select(F.col("pivot").alias("a"), F.col("place").alias("b")))
@@ -255,15 +257,18 @@ class _Join:
             left = self._undone(rows, 3)
             small = left.where(F.col("n") <= SMALL).withColumns({"cell": F.lit(0).cast("long"), "query": F.lit(True)})
             large = left.where(F.col("n") > SMALL)
+            leaves.append(small.select(columns))
             if large.isEmpty():
-                self._confirm_cells(small)
-                return self.roots
+                break
             large = staged(self._spark, _with_queries(large))
             done = F.lit(True) if depth >= DEEPEST else F.col("queries") * F.col("n") <= AT_ONCE
-            columns = ["node", "place", "part", "s1", "s2", "cell", "query"]
-            self._confirm_cells(small.select(columns).unionByName(_cells(large.where(done)).select(columns)))
+            leaves.append(_cells(large.where(done)).select(columns))
             level = staged(self._spark, self._branch(large.where(~done)))
             depth += 1
+        if leaves:
+            # All levels at once, by the components that the stars of all levels have made.
+            self._confirm_cells(self._with_component(reduce(DataFrame.unionByName, leaves)))
+        return self.roots
 
 
 def _with_queries(rows: DataFrame) -> DataFrame:
