@@ -131,6 +131,11 @@ class _Join:
         roots = self.roots.select(F.col("node").alias("place"), F.col("root").alias("part"))
         return rows.join(roots, "place", "left").withColumn("part", F.coalesce("part", "place"))
 
+    def _shared(self, rows: DataFrame) -> DataFrame:
+        """Rows of nodes with more than one document. Most nodes have one; only a count of each is shuffled."""
+        nodes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("node")
+        return staged(self._spark, picked(rows, staged(self._spark, nodes), "node"))
+
     def _undone(self, rows: DataFrame, least: int) -> DataFrame:
         """Rows of nodes with `least` documents or more in more than one component, with the
         node's size and its first document."""
@@ -247,7 +252,7 @@ class _Join:
         depth, leaves = 2, []
         columns = ["node", "place", "s1", "s2", "cell", "query"]
         while True:
-            starred = self._undone(level, 2)
+            starred = self._undone(self._shared(level), 2)
             if starred.isEmpty():
                 break
             apart = F.bit_count(F.col("s1").bitwiseXOR(F.col("p1"))) + F.bit_count(F.col("s2").bitwiseXOR(F.col("p2")))
@@ -263,7 +268,10 @@ class _Join:
             large = staged(self._spark, _with_queries(large))
             done = F.lit(True) if depth >= DEEPEST else F.col("queries") * F.col("n") <= AT_ONCE
             leaves.append(_cells(large.where(done)).select(columns))
-            level = staged(self._spark, self._branch(large.where(~done)))
+            branching = large.where(~done)
+            if branching.isEmpty():
+                break
+            level = staged(self._spark, self._branch(branching))
             depth += 1
         if leaves:
             # All levels at once, by the components that the stars of all levels have made.
@@ -368,9 +376,8 @@ def near_groups(
     sets = staged(spark, _sets(docs, width))
     full = sets.where("n_shingles > 0")
     classes = full.groupBy("set_a", "set_b", "n_shingles").agg(F.min("place").alias("first"))
-    firsts = staged(
-        spark, full.select("place", "mins").join(classes.select(F.col("first").alias("place")), "place")
-    )
+    keys = staged(spark, classes.select(F.col("first").alias("place")))
+    firsts = staged(spark, picked(full.select("place", "mins"), keys, "place"))
     roots = _Join(spark, sets, firsts, width, percent).run()
     rows = sets.select("place", "set_a", "set_b", "n_shingles", F.col("row.doc_id").alias("doc_id"))
     member = rows.join(classes, ["set_a", "set_b", "n_shingles"], "left").withColumn("first", F.coalesce("first", "place"))
