@@ -21,8 +21,14 @@ RECALL = 0.995
 #: blocks, and every pair of blocks is a group of its own.
 BLOCK = 512
 ITQ_ROUNDS = 30
-#: Bits of the code that candidates are compared by before their vectors are fetched.
+#: Bits of the sketch that candidates are compared by before their vectors are fetched.
 SKETCH_BITS = 128
+#: Buckets are made larger, down to one of all vectors, where the recall would take more tables.
+MOST_TABLES = 64
+#: The share of the probe pairs, those at the widest angles, that must meet with the recall.
+WIDEST = 0.1
+#: Vectors of the sample that probe pairs are made of; a fifth of them look for links in it.
+PROBED = 5000
 
 
 def learned_rotations(sample: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -37,7 +43,7 @@ def learned_rotations(sample: np.ndarray, count: int) -> tuple[np.ndarray, np.nd
     _, axes = np.linalg.eigh(centred.T @ centred + 1e-9 * np.eye(dimension))
     projected = centred @ axes
     random = np.random.default_rng(dimension)
-    out = []
+    out = [np.zeros((dimension, 0))]
     for _ in range(count):
         rotation, _ = np.linalg.qr(random.normal(size=(dimension, dimension)))
         for _ in range(ITQ_ROUNDS):
@@ -48,15 +54,84 @@ def learned_rotations(sample: np.ndarray, count: int) -> tuple[np.ndarray, np.nd
     return mean, np.concatenate(out, axis=1)
 
 
-def table_shape(vectors: int, cosine: float, recall: float = RECALL) -> tuple[int, int]:
-    """Bits per table and number of tables for so many vectors.
+def random_rotations(dimension: int, bits: int, seed: int) -> np.ndarray:
+    """At least so many directions, one random rotation after another, side by side."""
+    random = np.random.default_rng([dimension, seed])
+    turns = [np.linalg.qr(random.normal(size=(dimension, dimension)))[0] for _ in range(-(-bits // dimension))]
+    return np.concatenate(turns, axis=1)
 
-    A table has about as many buckets as there are vectors. Two vectors at an angle agree
-    in a bit with a chance of 1 - angle / pi, in a table with that to the number of bits.
+
+def probe_pairs(sample: np.ndarray, mean: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of unit vectors at the cosine or above, and the chance that each agrees in a bit of
+    its code.
+
+    PROBED vectors of the sample are paired with one towards another of the sample and one in
+    a random direction, both at the cosine; as many pairs at most are links inside the sample.
+    Codes are signs of the centred vectors, whose angle is wider the nearer a pair is to the
+    mean; of made and of found pairs the WIDEST share is given.
+    """
+    random = np.random.default_rng(len(sample))
+    sample = sample[random.permutation(len(sample))]
+    some = sample[:PROBED]
+    one = np.concatenate([some, some])
+    aside = np.concatenate([np.roll(sample, 1, axis=0)[:PROBED], random.normal(size=some.shape)])
+    aside = aside - (aside * one).sum(axis=1, keepdims=True) * one
+    length = np.linalg.norm(aside, axis=1, keepdims=True)
+    # A vector that has no other direction is paired with itself.
+    other = np.where(length > 1e-9, cosine * one + math.sqrt(1 - cosine**2) * aside / np.maximum(length, 1e-9), one)
+    at, partner = np.nonzero(np.triu(sample[: PROBED // 5] @ sample.T >= cosine, 1))
+    found = random.permutation(len(at))[:PROBED]
+    at, partner = at[found], partner[found]
+    made = len(one)
+    one, other = np.concatenate([one, sample[at]]), np.concatenate([other, sample[partner]])
+    a, b = one - mean, other - mean
+    lengths = np.linalg.norm(a, axis=1) * np.linalg.norm(b, axis=1)
+    centred = np.where(lengths > 0, (a * b).sum(axis=1) / np.where(lengths > 0, lengths, 1), -1)
+    agree = 1 - np.arccos(np.clip(centred, -1, 1)) / math.pi
+    kinds = (np.arange(made), np.arange(made, len(agree)))
+    widest = np.concatenate([x[np.argsort(agree[x], kind="stable")[: math.ceil(WIDEST * len(x))]] for x in kinds])
+    return one[widest], other[widest], agree[widest]
+
+
+def table_shape(vectors: int, agree: np.ndarray, recall: float = RECALL) -> tuple[int, int]:
+    """Bits per table and number of tables for so many vectors, by the chances that pairs
+    at the least cosine agree in a bit.
+
+    A table has about as many buckets as there are vectors, or fewer where that takes more
+    than MOST_TABLES tables; at 0 bits the one table has one bucket and finds every pair.
     """
     bits = min(30, max(8, math.ceil(math.log2(max(vectors, 2)))))
-    agree = (1 - math.acos(cosine) / math.pi) ** bits
-    return bits, math.ceil(math.log(1 - recall) / math.log(1 - agree))
+    while bits:
+        apart = 1 - agree**bits
+        for tables in range(1, MOST_TABLES + 1):
+            if 1 - (apart**tables).mean() >= recall:
+                return bits, tables
+        bits -= 1
+    return 0, 1
+
+
+def measured_recall(one: np.ndarray, other: np.ndarray, mean: np.ndarray, rotations: np.ndarray, bits: int, tables: int) -> float:
+    """The share of pairs whose codes agree in some table."""
+    same = _codes(one, mean, rotations, bits, tables) == _codes(other, mean, rotations, bits, tables)
+    return float(same.any(axis=1).mean())
+
+
+def learned_tables(sample: np.ndarray, vectors: int, cosine: float, recall: float = RECALL) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """Mean, rotations, bits per table and tables that find probe pairs with the recall.
+
+    Learned rotations of few dimensions are much alike; where the measured recall falls
+    short for that, tables of random rotations are added until it is reached.
+    """
+    dimension = sample.shape[1]
+    one, other, agree = probe_pairs(sample, sample.mean(axis=0), cosine)
+    bits, tables = table_shape(vectors, agree, recall)
+    mean, rotations = learned_rotations(sample, -(-bits * tables // dimension))
+    rotations = rotations[:, : bits * tables]
+    while measured_recall(one, other, mean, rotations, bits, tables) < recall:
+        more = -(-tables // 8)
+        extra = random_rotations(dimension, bits * more, tables)[:, : bits * more]
+        rotations, tables = np.concatenate([rotations, extra], axis=1), tables + more
+    return mean, rotations, bits, tables
 
 
 def _unit(values: pa.Array, dimension: int) -> np.ndarray:
@@ -182,33 +257,42 @@ def _linked(
 ) -> DataFrame:
     """Rows (node, links, root) of classes of one dimension: links counted in one cell of one
     table, root the smallest node that it reaches there."""
-    bits, tables = table_shape(count, least, recall)
     chosen = classes.where(F.pmod(F.xxhash64("node", F.lit(1)), F.lit(2**20)) < math.ceil(min(1.0, SAMPLE / count) * 2**20))
     sample = _unit(chosen.select("embedding").toArrow().column(0).combine_chunks(), dimension)
     if not len(sample):
         sample = np.eye(dimension)
-    mean, rotations = learned_rotations(sample, -(-bits * tables // dimension))
-    shared = spark.sparkContext.broadcast((mean, rotations))
+    mean, rotations, bits, tables = learned_tables(sample, count, least, recall)
+    # Sketches are of the vectors as they are, so their bits differ by the plain angle.
+    turned = random_rotations(dimension, SKETCH_BITS, 0)[:, :SKETCH_BITS]
+    shared = spark.sparkContext.broadcast((mean, rotations, turned))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            codes = _codes(_unit(batch.column(1), dimension), *shared.value, bits, tables)
+            mean, rotations, turned = shared.value
+            units = _unit(batch.column(1), dimension)
+            codes = _codes(units, mean, rotations, bits, tables)
+            s1, s2 = np.packbits(units @ turned >= 0, axis=1).view(np.int64).T
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.FixedSizeListArray.from_arrays(pa.array(codes.astype(np.int32).ravel()), tables).cast(pa.list_(pa.int32()))],
-                ["node", "codes"],
+                [
+                    batch.column(0),
+                    pa.FixedSizeListArray.from_arrays(pa.array(codes.astype(np.int32).ravel()), tables).cast(pa.list_(pa.int32())),
+                    pa.array(s1.copy()),
+                    pa.array(s2.copy()),
+                ],
+                ["node", "codes", "s1", "s2"],
             )
 
-    coded = staged(spark, classes.select("node", "embedding").mapInArrow(encode, "node long, codes array<int>"))
+    coded = staged(spark, classes.select("node", "embedding").mapInArrow(encode, "node long, codes array<int>, s1 long, s2 long"))
     at = F.posexplode("codes").alias("table", "code")
-    sketched = min(tables, -(-SKETCH_BITS // bits))
-    bucketed = coded.select("node", F.slice("codes", 1, sketched).alias("codes"), at).withColumn("bucket", F.col("table").cast("long") * 2**bits + F.col("code"))
+    bucketed = coded.select("node", "s1", "s2", at).withColumn("bucket", F.col("table").cast("long") * 2**bits + F.col("code"))
 
     def near_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows (bucket, node) that have a partner in their cell whose codes are near."""
-        most = _most_different(bits * sketched, least)
+        """Rows (bucket, node) that have a partner in their cell whose sketches are near."""
+        most = _most_different(SKETCH_BITS, least)
         for rows in _groups(batches):
             key, node = _key(rows), rows.column("node").to_numpy()
-            codes = rows.column("codes").combine_chunks().flatten().to_numpy().reshape(-1, sketched)
+            # Unsigned, since bits are counted in absolute values.
+            s1, s2 = (rows.column(name).to_numpy().view(np.uint64) for name in ("s1", "s2"))
             near = np.zeros(len(key), dtype=bool)
             left = np.arange(len(key))
             step = 1
@@ -217,15 +301,15 @@ def _linked(
                 left = left[key[left] == key[left + step]]
                 if not len(left):
                     break
-                apart = np.bitwise_count(codes[left] ^ codes[left + step]).sum(axis=1)
+                apart = np.bitwise_count(s1[left] ^ s1[left + step]) + np.bitwise_count(s2[left] ^ s2[left + step])
                 pair = left[apart <= most]
                 near[pair] = near[pair + step] = True
                 step += 1
             yield pa.RecordBatch.from_arrays([pa.array(rows.column("bucket").to_numpy()[near]), pa.array(node[near])], ["bucket", "node"])
 
-    candidates = in_blocks(spark, bucketed.select("node", "codes", "bucket")).drop("block", "blocks")
+    candidates = in_blocks(spark, bucketed.select("node", "s1", "s2", "bucket")).drop("block", "blocks")
     flagged = staged(spark, candidates.mapInArrow(near_codes, "bucket long, node long").distinct())
-    full = flagged.join(classes.select("node", "copies", "embedding"), "node").join(coded, "node")
+    full = flagged.join(classes.select("node", "copies", "embedding"), "node").join(coded.select("node", "codes"), "node")
 
     def rerank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Exact cosines in each cell. A pair counts in the first table in which it agrees, and

@@ -257,6 +257,35 @@ def test_embeddings(spark):
     assert embeddings.near_vectors(spark, table.limit(0)).count() == 0
 
 
+def test_embeddings_far_from_zero(spark):
+    random = np.random.default_rng(2)
+    base = random.normal(size=(400, 32)) + 2.4
+    near = base + random.normal(size=(400, 32)) * 0.5
+    close = base.mean(axis=0) + random.normal(size=(40, 32)) * 0.5
+    table = np.concatenate([base, near, close])
+    unit = table / np.linalg.norm(table, axis=1, keepdims=True)
+    assert 0.9 < np.linalg.norm(unit.mean(axis=0)) < 0.95
+    linked = unit @ unit.T >= 0.95
+    np.fill_diagonal(linked, False)
+    rows = embeddings.near_vectors(spark, spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(table)], "vec_id long, embedding array<double>"))
+    found = sum(r.n_links for r in rows.collect())
+    assert 0.99 * linked.sum() <= found <= linked.sum()
+    two = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 0.2])], "vec_id long, embedding array<double>")
+    assert {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_vectors(spark, two).collect()} == {0: (1, 0), 1: (1, 0)}
+
+
+@pytest.mark.parametrize("shift", [0.0, 0.13, 0.3])
+@pytest.mark.parametrize("dimension", [2, 64])
+def test_embedding_tables_reach_their_recall(shift, dimension):
+    random = np.random.default_rng(3)
+    sample = random.normal(size=(3000, dimension)) / math.sqrt(dimension) + shift
+    sample /= np.linalg.norm(sample, axis=1, keepdims=True)
+    mean, rotations, bits, tables = embeddings.learned_tables(sample, 50_000, 0.95)
+    one, other, _ = embeddings.probe_pairs(sample, mean, 0.95)
+    assert (one * other).sum(axis=1).min() >= 0.95 - 1e-9
+    assert embeddings.measured_recall(one, other, mean, rotations, bits, tables) >= embeddings.RECALL
+
+
 def test_connected_follows_long_chains(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(50)] + [(100, 99)], "a long, b long")
     assert {r.node: r.root for r in connected(spark, links).collect()} == {i: 0 for i in range(51)} | {99: 99, 100: 99}
