@@ -193,11 +193,27 @@ def language_digest(spark: SparkSession, docs: DataFrame) -> DataFrame:
     )
 
 
+def with_letters(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The documents whose text has letters, their columns as they came."""
+    ship(spark)
+
+    def letters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            able = [has_letters(text) for texts in chunks(batch.column(1)) for text in texts]
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(able, pa.bool_()))], ["row"])
+
+    rows = docs.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(letters, f"row {rows.schema['row'].dataType.simpleString()}").select("row.*")
+
+
 def drop_unknown(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The documents whose text has letters, their columns as they came.
 
     The model is learned from the rows that carry a `lang`; what it rejects are documents of
-    no language at all, so that a clean document is never lost to a low score.
+    no language at all, so that a clean document is never lost to a low score. Where no row
+    can be learned from, letters alone decide.
     """
     model = learn(spark, docs)
+    if not model.languages:
+        return with_letters(spark, docs)
     return identify(spark, docs, model).where(F.col("lang_pred") != UNKNOWN).select("row.*")

@@ -207,6 +207,14 @@ def test_language(spark, docs, none):
     assert {r.doc_id for r in language.drop_unknown(spark, docs).collect()} == {2, 3, 4, 5, 6, 8, None}
 
 
+@pytest.mark.parametrize("missing", ["lang", "doc_id"])
+def test_unlabelled_documents_stay(spark, docs, missing):
+    bare = docs.withColumn(missing, F.lit(None).cast(docs.schema[missing].dataType))
+    rows = language.drop_unknown(spark, bare)
+    assert rows.columns == docs.columns
+    assert Counter(r.text for r in rows.collect()) == Counter(r[1] for r in ROWS if r[1] not in (None, "", "123 ..."))
+
+
 def test_token_files(spark, docs, none):
     target = scratch_uri(spark)
     rows = token_files.read_token_files(token_files.write_token_files(spark, docs, target), target).collect()
