@@ -252,7 +252,8 @@ def without_repeats(
     rows = docs.select(
         F.struct("*").alias("row"), F.xxhash64("doc_id", "text").alias("doc"), text_or_empty().alias("text")
     )
-    stretches = repeated_stretches(spark, rows.select("doc", "text"), window)
+    # Repeated rows share a `doc`: their equal stretches count once.
+    stretches = repeated_stretches(spark, rows.select("doc", "text"), window).dropDuplicates(["doc", "start", "stop"])
     gathered = staged(
         spark, stretches.groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("stretches"))
     )

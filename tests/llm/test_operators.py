@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from orderloom.llm import chat, embeddings, fingerprints, language, mixing, neardup, packing, repeats, sharding, token_files
-from orderloom.llm.common import connected, scratch_uri
+from orderloom.llm.common import connected, scratch_uri, staged
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, shard string, row string"
 LONG = " ".join(f"word{i} tail{i % 7}" for i in range(9000))
@@ -93,6 +93,24 @@ def test_repeats(spark, docs, none, most, monkeypatch):
     assert repeats.repeats_digest(spark, none).count() == 0
 
 
+def test_repeats_of_one_row(spark, monkeypatch):
+    gathered = []
+
+    def recorded(session, rows):
+        out = staged(session, rows)
+        if "stretches" in out.columns:
+            gathered.append(out)
+        return out
+
+    monkeypatch.setattr(repeats, "staged", recorded)
+    table = spark.createDataFrame([(None, BASE)] * 300 + [(1, BASE[:300])] * 3, "doc_id long, text string")
+    rows = repeats.repeats_digest(spark, table).collect()
+    gone = hashlib.sha256(b"").hexdigest()
+    assert Counter(tuple(r) for r in rows) == {(None, len(BASE), len(BASE), 1, gone): 300, (1, 300, 300, 1, gone): 3}
+    for row in gathered[0].collect():
+        assert len(row.stretches) == len({(s.start, s.stop) for s in row.stretches}) < 40
+
+
 def test_chat(spark):
     turns = [(1, 0, "user", "hi"), (1, 1, "assistant", "yo"), (2, 0, "user", None), (2, 1, "assistant", "no"), (None, 0, "user", "x"), (3, 0, None, "")]
     table = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
