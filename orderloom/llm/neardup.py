@@ -29,8 +29,10 @@ from orderloom.llm.tokens import chunks
 TREES = 25
 #: A node up to this size is small: its pairs are compared.
 SMALL = 256
-#: Nodes that are still large at this depth are compared in blocks of SMALL, however many.
+#: Nodes that are still large at this depth are compared in pairs of blocks, however many.
 DEEPEST = 9
+#: Documents of a block: no cell of a large node has more than two blocks.
+BLOCK = 512
 #: A large node is done at once if its documents outside its largest component make at most so
 #: many pairs with all of its documents.
 AT_ONCE = 4_000_000
@@ -204,7 +206,7 @@ class _Join:
             for table in whole_groups(batches, "cell"):
                 yield _near_rows(table, most)
 
-        keyed = rows.select(F.xxhash64("node", "cell").alias("cell"), "place", "part", "s1", "s2", "query")
+        keyed = rows.select(F.xxhash64("node", "cell").alias("cell"), "place", "part", "s1", "s2", "query", "block")
         return keyed.repartition("cell").sortWithinPartitions("cell").mapInArrow(compare, "cell long, low long, place long").distinct()
 
     def _confirm_cells(self, rows: DataFrame) -> None:
@@ -250,7 +252,7 @@ class _Join:
         """Rows (node, root) by place for every document that has a link, or None."""
         level = staged(self._spark, self._branch(None))
         depth, leaves = 2, []
-        columns = ["node", "place", "s1", "s2", "cell", "query"]
+        columns = ["node", "place", "s1", "s2", "cell", "query", "block"]
         while True:
             starred = self._undone(self._shared(level), 2)
             if starred.isEmpty():
@@ -260,7 +262,7 @@ class _Join:
             self._confirm(starred.where(near).select(F.col("pivot").alias("a"), F.col("place").alias("b")))
             rows = starred.where("n > 2").select("node", "place", "s1", "s2")
             left = self._undone(rows, 3)
-            small = left.where(F.col("n") <= SMALL).withColumns({"cell": F.lit(0).cast("long"), "query": F.lit(True)})
+            small = left.where(F.col("n") <= SMALL).withColumns({"cell": F.lit(0).cast("long"), "query": F.lit(True), "block": F.col("place")})
             large = left.where(F.col("n") > SMALL)
             leaves.append(small.select(columns))
             if large.isEmpty():
@@ -290,19 +292,31 @@ def _with_queries(rows: DataFrame) -> DataFrame:
 
 
 def _cells(rows: DataFrame) -> DataFrame:
-    """Each row in the cell of its block of the node, and queries in all cells of the node, so
-    that every query meets every document and no task gets a whole large node."""
-    blocks = F.ceil(F.col("n") / SMALL)
-    mine = F.array(F.pmod(F.xxhash64("place"), blocks))
-    cells = F.when(F.col("query"), F.sequence(F.lit(0).cast("long"), blocks - 1)).otherwise(mine)
-    return rows.withColumn("cell", F.explode(cells))
+    """Each row once for each cell of its node that it is in, with its `block` there.
+
+    Queries are in blocks 0 to q - 1 of the node, the other documents in blocks from q on.
+    Cell (i, j), i <= j, i < q, brings blocks i and j together, so that every query meets every
+    document and no task gets more than two blocks of a large node. Rows of one `block` are
+    not compared in a cell; in cell (i, i) each row is a block of its own, named by its place.
+    """
+    of_queries = F.ceil(F.col("queries") / BLOCK)
+    blocks = of_queries + F.ceil((F.col("n") - F.col("queries")) / BLOCK)
+    hashed = F.xxhash64("place")
+    mine = F.when(F.col("query"), F.pmod(hashed, of_queries)).otherwise(of_queries + F.pmod(hashed, blocks - of_queries))
+    others = F.sequence(F.lit(0).cast("long"), F.when(F.col("query"), blocks).otherwise(of_queries) - 1)
+    cell = F.struct(
+        (F.least("mine", "other") * F.col("blocks") + F.greatest("mine", "other")).alias("cell"),
+        F.when(F.col("mine") == F.col("other"), F.col("place")).otherwise(F.col("mine")).alias("block"),
+    )
+    cut = rows.withColumns({"mine": mine, "blocks": blocks, "other": F.explode(others)})
+    return cut.select(*rows.columns, cell.alias("at")).select(*rows.columns, "at.cell", "at.block")
 
 
 def _near_rows(rows: pa.Table, most: int) -> pa.RecordBatch:
     group, place, part = (rows.column(name).to_numpy() for name in ("cell", "place", "part"))
     # Unsigned, since bits are counted in absolute values.
     s1, s2 = (rows.column(name).to_numpy().view(np.uint64) for name in ("s1", "s2"))
-    query = rows.column("query").to_numpy(zero_copy_only=False)
+    query, block = rows.column("query").to_numpy(zero_copy_only=False), rows.column("block").to_numpy()
     lefts, rights = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
     left, step = np.arange(len(group)), 1
     while True:
@@ -312,7 +326,8 @@ def _near_rows(rows: pa.Table, most: int) -> pa.RecordBatch:
             break
         right = left + step
         apart = np.bitwise_count(s1[left] ^ s1[right]) + np.bitwise_count(s2[left] ^ s2[right])
-        found = left[(apart <= most) & (part[left] != part[right]) & (query[left] | query[right])]
+        wanted = (part[left] != part[right]) & (query[left] | query[right]) & (block[left] != block[right])
+        found = left[(apart <= most) & wanted]
         lefts.append(found)
         rights.append(found + step)
         step += 1

@@ -213,6 +213,35 @@ def test_near_duplicates(spark, none, width):
     assert neardup.near_digest(spark, none, width).count() == 0
 
 
+@pytest.mark.parametrize("size", [1, 3, 60, 399])
+def test_cells_of_large_nodes(spark, size, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", 20)
+    rows = [(7, p, 400, 400 - size, p >= size) for p in range(400)]
+    cells = neardup._cells(spark.createDataFrame(rows, "node long, place long, n long, queries long, query boolean"))
+    groups = {}
+    for r in cells.collect():
+        groups.setdefault(r.cell, []).append((r.place, r.block))
+    assert max(map(len, groups.values())) < 4 * 20
+    met = Counter(
+        (a, b) for own in groups.values() for a, x in own for b, y in own if a < b and x != y and (a >= size or b >= size)
+    )
+    assert met == {(a, b): 1 for b in range(size, 400) for a in range(b)}
+
+
+def test_near_duplicates_in_large_nodes(spark, monkeypatch):
+    for name, value in (("SMALL", 8), ("BLOCK", 8), ("DEEPEST", 2)):
+        monkeypatch.setattr(neardup, name, value)
+    random = np.random.default_rng(8)
+    slots = random.random((90, 60)) < 0.1
+    texts = [" ".join(f"d{i}x{j}" if new else f"s{j}" for j, new in enumerate(row)) for i, row in enumerate(slots)]
+    texts += [texts[i] + " more" for i in range(0, 90, 3)]
+    sets = [(i, set(zip(words(t), words(t)[1:]))) for i, t in enumerate(texts)]
+    expected = brute_components(sets, lambda a, b: 100 * len(a & b) >= 80 * len(a | b))
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in neardup.near_digest(spark, table).collect()} == expected
+    assert len(set(expected.values())) > 20
+
+
 def test_language(spark, docs, none):
     train = [(i, ("the house and the garden " if i % 2 else "das haus und der garten ") * 3, "en" if i % 2 else "de") for i in range(60)]
     table = spark.createDataFrame(train, "doc_id long, text string, lang string")
