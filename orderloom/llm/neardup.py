@@ -214,13 +214,13 @@ class _Join:
         their full sets, and join what is linked. Only links leave the tasks.
 
         Documents that chains of nearness hold together in any groups are compared at once,
-        each set shipped once, if they are at most SMALL; in larger chains, group by group."""
+        each set shipped once, if they are no more than two blocks; in larger chains, group by group."""
         spark, width, percent = self._spark, self._width, self._percent
         near = staged(spark, self._near(rows))
         if near.isEmpty():
             return
         chains = connected(spark, near.select(F.col("low").alias("a"), F.col("place").alias("b")))
-        short = chains.groupBy("root").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= SMALL).select("root", F.lit(True).alias("short"))
+        short = chains.groupBy("root").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= 2 * BLOCK).select("root", F.lit(True).alias("short"))
         chained = chains.join(short, "root", "left").select(F.col("node").alias("place"), "root", "short")
         group = F.when(F.col("short"), F.col("root")).otherwise(F.col("cell")).alias("cell")
         near = staged(spark, near.select("cell", "place").join(chained, "place").select(group, "place").distinct())
