@@ -1,13 +1,14 @@
 """Metrics over a built star, and the checks, gates and tallies read from them.
 
-A metric counts violations. All row conditions on one table share one pass over
-the columns they need; key metrics shuffle a count per key, once for each key.
+A metric counts violations. All row conditions on one table share one pass: a run counts
+them while it writes the table, a report on a finished star reads the columns they need. Key
+metrics shuffle a count per key, once for each key.
 Checks and gates that ask the same question share its metric.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -104,21 +105,41 @@ def _row_conditions(name: str, rules: Rules) -> dict[str, Column]:
     }
 
 
+def row_counts(name: str, rules: Rules = DEFAULT_RULES) -> list[Column]:
+    """Aggregates that count a table's violating rows, one per metric, for any pass over it."""
+    conditions = _row_conditions(name, rules)
+    return [F.count_if(condition).alias(metric) for metric, condition in conditions.items()]
+
+
+def counted_metrics(name: str, counts: Mapping[str, int]) -> dict[str, int]:
+    """The metrics of a table out of what a pass over it counted, its `rows` among it."""
+    broken = {metric: count for metric, count in counts.items() if metric != "rows"}
+    return {f"empty {name}": int(counts["rows"] == 0), **broken}
+
+
+def listed_metrics(spark: SparkSession, counts: Mapping[str, int]) -> DataFrame:
+    """(metric, violations) of counts that are known already."""
+    rows = [F.struct(F.lit(m), F.lit(n).cast("bigint")) for m, n in counts.items()]
+    return spark.range(1).select(F.inline(F.array(*rows)).alias("metric", "violations"))
+
+
+def copies_metrics(star: Star, name: str) -> DataFrame:
+    """(metric, violations) of the columns that must be unique; reads those columns only."""
+    table = star.table(name)
+    return _union(
+        _labelled(duplicate_key_count(table, column), f"copies {name}.{column}")
+        for column in _unique_columns(name)
+    )
+
+
 def table_metrics(star: Star, name: str, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """(metric, violations) of one table by itself."""
-    table = star.table(name)
     empty = (F.count(F.lit(1)) == 0).cast("bigint").alias(f"empty {name}")
-    broken = [
-        F.count_if(condition).alias(metric)
-        for metric, condition in _row_conditions(name, rules).items()
-    ]
-    one_pass = table.agg(empty, *broken)
+    one_pass = star.table(name).agg(empty, *row_counts(name, rules))
     quoted = [f"`{metric}`" for metric in one_pass.columns]
-    copies = [
-        _labelled(duplicate_key_count(table, column), f"copies {name}.{column}")
-        for column in _unique_columns(name)
-    ]
-    return _union([one_pass.unpivot([], quoted, "metric", "violations"), *copies])
+    return one_pass.unpivot([], quoted, "metric", "violations").unionByName(
+        copies_metrics(star, name)
+    )
 
 
 def link_metrics(star: Star) -> DataFrame:

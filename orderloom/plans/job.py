@@ -13,20 +13,25 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from orderloom import files
 from orderloom.model import Staged, Star
 from orderloom.plans.checks import (
     CHECKS,
     FILLED_CHECKS,
+    copies_metrics,
+    counted_metrics,
     gates_of,
     link_metrics,
+    listed_metrics,
     other_metrics,
     report_of,
-    table_metrics,
+    row_counts,
 )
 from orderloom.plans.issues import find_issues
+from orderloom.plans.lease import LEASE_SECONDS, Lease, reclaimable
 from orderloom.plans.star import (
     build_category,
     build_customer,
@@ -37,18 +42,20 @@ from orderloom.plans.star import (
 )
 from orderloom.schemas import DEFAULT_RULES, DIMENSIONS, STAR_SCHEMAS, Rules
 from orderloom.sources.mart import (
+    COMMITS,
     RUN_LOG,
+    commit_path,
+    read_commits,
     read_issues,
     read_metrics,
     read_report,
-    read_run_log,
     read_star,
     run_folder,
     table_path,
+    unbuilt,
 )
 
-
-# Empty file in the folder of a run that is over, published or not.
+# File in the folder of a run that is over, published or not: the last commit by then.
 ENDED = "_ended"
 
 
@@ -62,6 +69,7 @@ class RunResult:
 
     run_id: str
     root: str
+    sequence: int
     source_rows: dict[str, int]
     table_rows: dict[str, int]
 
@@ -84,44 +92,39 @@ def new_run_id() -> str:
     return f"{now:%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
 
 
-def write_counted(rows: DataFrame, path: str, partition_by: str | None = None) -> int:
-    """Write a table and return its row count, observed during the write itself."""
+def write_observed(
+    rows: DataFrame, path: str, metrics: Iterable[Column] = (), partition_by: str | None = None
+) -> dict[str, int]:
+    """Write a table and return its `rows` and further counts, observed during the write itself."""
     seen = Observation()
-    writer = rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+    writer = rows.observe(seen, F.count(F.lit(1)).alias("rows"), *metrics).write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
-    return seen.get["rows"]
-
-
-def _folder(spark: SparkSession, path: str):
-    """Hadoop's file system and path object of a folder, wherever it is stored."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
-
+    return seen.get
 
-def delete_folder(spark: SparkSession, path: str) -> None:
-    files, folder = _folder(spark, path)
-    files.delete(folder, True)
 
-
-def ended_runs(spark: SparkSession, root: str) -> list[str]:
-    """All runs under the root that have ended, published or not, oldest first."""
-    files, folder = _folder(spark, root)
-    runs = [status.getPath() for status in files.listStatus(folder)]
-    names = [run.getName() for run in runs if files.exists(run.suffix(f"/{ENDED}"))]
-    return sorted(name.removeprefix("run=") for name in names if name.startswith("run="))
+def claim_commit(spark: SparkSession, root: str, run_id: str) -> int:
+    """Publish a run under the next free number, which only one run can get."""
+    taken = [int(name) for name in files.names(spark, f"{root.rstrip('/')}/{COMMITS}")]
+    sequence = max(taken, default=0) + 1
+    while not files.create_text(spark, commit_path(root, sequence), run_id):
+        sequence += 1
+    return sequence
 
 
 class _Run:
     """The tables of one run while it is being built."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, rules: Rules, lease_seconds: float):
         self.spark = spark
         self.root = root
+        self.rules = rules
         self.run_id = new_run_id()
+        self.lease = Lease(spark, run_folder(root, self.run_id), lease_seconds)
         self.source_rows: dict[str, int] = {}
         self.table_rows: dict[str, int] = {}
+        self.observed: dict[str, dict[str, int]] = {}
 
     def path(self, name: str) -> str:
         return table_path(self.root, self.run_id, name)
@@ -129,7 +132,7 @@ class _Run:
     def stage(self, staged: Staged) -> Staged:
         """Write the sources once as columnar tables; all later steps read those."""
         for name, rows in staged.items():
-            self.source_rows[name] = write_counted(rows, self.path(f"staged/{name}"))
+            self.source_rows[name] = write_observed(rows, self.path(f"staged/{name}"))["rows"]
         return Staged(
             **{
                 name: self.spark.read.schema(rows.schema).parquet(self.path(f"staged/{name}"))
@@ -148,14 +151,23 @@ class _Run:
         return self.spark.read.schema(rows.schema).parquet(self.path(name))
 
     def write_table(self, name: str, rows: DataFrame) -> DataFrame:
-        self.table_rows[name] = write_counted(conform(rows, name), self.path(name))
+        self._observe(name, conform(rows, name))
         return self.spark.read.schema(STAR_SCHEMAS[name]).parquet(self.path(name))
 
     def write_fact_by_year(self, rows: DataFrame) -> None:
         """Partition the fact by year; the rebalance keeps files large and even."""
         yearly = conform(rows, "FactOrder").withColumn("order_year", F.year("OrderDate"))
-        self.table_rows["FactOrder"] = write_counted(
-            yearly.hint("rebalance", "order_year"), self.path("FactOrder"), "order_year"
+        self._observe("FactOrder", yearly.hint("rebalance", "order_year"), "order_year")
+
+    def _observe(self, name: str, rows: DataFrame, partition_by: str | None = None) -> None:
+        """Write a table; its row conditions are counted on the way, so no check reads it for them."""
+        seen = write_observed(rows, self.path(name), row_counts(name, self.rules), partition_by)
+        self.table_rows[name] = seen["rows"]
+        self.observed[name] = counted_metrics(name, seen)
+
+    def row_metrics(self, names: Iterable[str]) -> DataFrame:
+        return listed_metrics(
+            self.spark, {m: n for name in names for m, n in self.observed[name].items()}
         )
 
     def write_metrics(self, metrics: list[DataFrame], part: str) -> DataFrame:
@@ -180,12 +192,13 @@ class _Run:
             raise PublishBlocked(f"run {self.run_id} not published ({found})")
 
     def end(self) -> None:
-        """Mark the run as over, so that it may expire."""
-        files, mark = _folder(self.spark, self.path(ENDED))
-        files.create(mark, True).close()
+        """Mark the run as over, at the place in the sequence that was reached by then."""
+        taken = files.names(self.spark, f"{self.root.rstrip('/')}/{COMMITS}")
+        files.write_text(self.spark, self.path(ENDED), str(int(taken[-1]) if taken else 0))
+        self.lease.release()
 
     def publish(self) -> RunResult:
-        """Append the run to the log in one commit; from then on readers see it."""
+        """Log the run's row counts, then commit it; from then on readers see it."""
         entries = [
             F.struct(F.lit(kind), F.lit(name), F.lit(rows).cast("bigint"))
             for kind, counts in (("source", self.source_rows), ("table", self.table_rows))
@@ -199,7 +212,10 @@ class _Run:
             "*",
             F.current_timestamp().alias("published_at"),
         ).write.mode("append").parquet(f"{self.root.rstrip('/')}/{RUN_LOG}")
-        return RunResult(self.run_id, self.root, self.source_rows, self.table_rows)
+        if not self.lease.held():
+            raise PublishBlocked(f"run {self.run_id} not published (its lease has lapsed)")
+        sequence = claim_commit(self.spark, self.root, self.run_id)
+        return RunResult(self.run_id, self.root, sequence, self.source_rows, self.table_rows)
 
 
 def run_pipeline(
@@ -211,32 +227,32 @@ def run_pipeline(
     fact_by_year: bool = False,
     keep_staged: bool = False,
     allow_empty: bool = False,
+    lease_seconds: float = LEASE_SECONDS,
 ) -> RunResult:
     """Build and publish a full new version of the mart under `root`.
 
     `fail_on` names checks that must pass; the gates always must, and so must the
     checks that no table is empty, unless `allow_empty` says otherwise. `fact_by_year`
-    partitions the fact for date filters at the price of one more shuffle of it.
+    partitions the fact for date filters at the price of one more shuffle of it. A driver
+    that dies leaves a folder that `expire_runs` reclaims once its lease has lapsed.
     """
     required = [*fail_on, *(() if allow_empty else FILLED_CHECKS)]
     unknown = set(required) - set(CHECKS)
     if unknown:
         raise ValueError(f"unknown checks {sorted(unknown)}")
-    run = _Run(spark, root)
+    run = _Run(spark, root, rules, lease_seconds)
     try:
-        build_tables(run, run.stage(staged), rules, required, fact_by_year)
+        build_tables(run, run.stage(staged), required, fact_by_year)
         return run.publish()
     finally:
         if not keep_staged:
-            delete_folder(spark, run.path("staged"))
+            files.delete(spark, run.path("staged"))
         run.end()
 
 
-def build_tables(
-    run: _Run, source: Staged, rules: Rules, required: list[str], fact_by_year: bool
-) -> None:
+def build_tables(run: _Run, source: Staged, required: list[str], fact_by_year: bool) -> None:
     """Write every table of a run, dimensions before the fact, and insist on the gates."""
-    issues = run.write_issues(find_issues(source, rules))
+    issues = run.write_issues(find_issues(source, run.rules))
     category = run.write_table("DimCategory", build_category(source.products))
     dimensions = Star(
         DimCategory=category,
@@ -245,7 +261,8 @@ def build_tables(
         DimDate=run.write_table("DimDate", build_date(source.orders)),
     )
     metrics = run.write_metrics(
-        [table_metrics(dimensions, name, rules) for name in DIMENSIONS], "dimensions"
+        [run.row_metrics(DIMENSIONS), *(copies_metrics(dimensions, name) for name in DIMENSIONS)],
+        "dimensions",
     )
     run.require_gates(metrics, DIMENSIONS)
     fact = build_fact(source.orders, dimensions.DimProduct, run.table_rows["DimProduct"])
@@ -256,7 +273,8 @@ def build_tables(
     star = read_star(run.spark, run.root, run.run_id)
     fact_metrics = run.write_metrics(
         [
-            table_metrics(star, "FactOrder", rules),
+            run.row_metrics(["FactOrder"]),
+            copies_metrics(star, "FactOrder"),
             link_metrics(star),
             other_metrics(run.spark, star, issues),
         ],
@@ -268,15 +286,30 @@ def build_tables(
 
 
 def expire_runs(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
-    """Delete runs older than the last `keep` published ones; return their ids.
+    """Delete what the last `keep` published runs have replaced; return the runs' ids.
 
-    A run that has not ended stays, however long ago it started.
+    Gone are ended runs that were published, or given up, before the oldest run that is kept
+    was published, and runs that have not ended but whose lease lapsed long ago. A run that
+    holds its lease stays, and so does a folder without lease or mark.
     """
     if keep < 1:
         raise ValueError("the current run must stay")
-    published = read_run_log(spark, root).groupBy("run_id").agg(F.max("published_at").alias("at"))
-    last = published.orderBy(F.col("at").desc(), F.col("run_id").desc()).limit(keep).collect()
-    old = [run for run in ended_runs(spark, root) if run < min(row["run_id"] for row in last)]
-    for run in old:
-        delete_folder(spark, run_folder(root, run))
-    return old
+    sequence = {row["run_id"]: row["sequence"] for row in read_commits(spark, root).collect()}
+    kept = sorted(sequence, key=sequence.get)[-keep:]
+    if not kept:
+        raise unbuilt(root)
+    oldest = sequence[kept[0]]
+    old: list[tuple[int, str]] = []
+    for run in (n.removeprefix("run=") for n in files.names(spark, root) if n.startswith("run=")):
+        folder = run_folder(root, run)
+        if run in kept:
+            continue
+        if files.exists(spark, f"{folder}/{ENDED}"):
+            at = sequence.get(run, int(files.read_text(spark, f"{folder}/{ENDED}")))
+            if at < oldest:
+                old.append((at, run))
+        elif reclaimable(spark, folder):
+            old.append((oldest, run))
+    for _, run in sorted(old):
+        files.delete(spark, run_folder(root, run))
+    return [run for _, run in sorted(old)]

@@ -1,4 +1,4 @@
-"""Reading a published mart: the log of runs tells which run is current."""
+"""Reading a published mart: the sequence of commits tells which run is current."""
 
 from __future__ import annotations
 
@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 from orderloom.model import Star
 from orderloom.schemas import STAR_SCHEMAS
 
+# One small file per published run, named by its number and holding its id.
+COMMITS = "commits"
 RUN_LOG = "run_log"
 RUN_LOG_SCHEMA = T.StructType(
     [
@@ -34,21 +36,44 @@ def table_path(root: str, run_id: str, name: str) -> str:
     return f"{run_folder(root, run_id)}/{name}"
 
 
+def unbuilt(root: str) -> MartNotBuilt:
+    return MartNotBuilt(f"no published mart under {root}: run the pipeline first")
+
+
+def commit_path(root: str, sequence: int) -> str:
+    return f"{root.rstrip('/')}/{COMMITS}/{sequence:012d}"
+
+
+def read_commits(spark: SparkSession, root: str) -> DataFrame:
+    """(sequence, run_id) of every published run; numbers rise in the order of publication."""
+    try:
+        files = spark.read.schema("run_id string").text(
+            f"{root.rstrip('/')}/{COMMITS}", wholetext=True
+        )
+    except AnalysisException as missing:
+        raise unbuilt(root) from missing
+    # A number that was claimed by a driver that died has an empty file.
+    return files.select(
+        F.col("_metadata.file_name").cast("bigint").alias("sequence"), "run_id"
+    ).where("run_id <> ''")
+
+
 def read_run_log(spark: SparkSession, root: str) -> DataFrame:
-    """One row per run and table that was published, with its row count."""
+    """One row per run and table that was published, with its row count and sequence."""
     try:
-        return spark.read.schema(RUN_LOG_SCHEMA).parquet(f"{root.rstrip('/')}/{RUN_LOG}")
+        log = spark.read.schema(RUN_LOG_SCHEMA).parquet(f"{root.rstrip('/')}/{RUN_LOG}")
     except AnalysisException as missing:
-        raise MartNotBuilt(f"no published mart under {root}: run the pipeline first") from missing
+        raise unbuilt(root) from missing
+    return log.join(read_commits(spark, root), "run_id")
 
 
 def current_run(spark: SparkSession, root: str) -> str:
-    """The run published last, whichever started first; ties go to the larger run id."""
-    last = F.max(F.struct("published_at", "run_id")).getField("run_id").alias("run_id")
-    latest = read_run_log(spark, root).agg(last).first()
-    if latest is None or latest["run_id"] is None:
-        raise MartNotBuilt(f"no published mart under {root}: run the pipeline first")
-    return latest["run_id"]
+    """The run published last, whichever started first."""
+    last = F.max_by("run_id", "sequence").alias("run_id")
+    latest = read_commits(spark, root).agg(last).first()["run_id"]
+    if latest is None:
+        raise unbuilt(root)
+    return latest
 
 
 def read_run_table(spark: SparkSession, root: str, run_id: str, name: str) -> DataFrame:

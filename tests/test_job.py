@@ -1,3 +1,6 @@
+import os
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,12 +8,14 @@ from edge_rows import CUSTOMERS, ORDERS, row_set, rows, write_sources
 from orderloom import __main__ as cli
 from orderloom.plans import job
 from orderloom.plans.checks import check_report
-from orderloom.plans.job import PublishBlocked, expire_runs, run_pipeline
+from orderloom.plans.job import PublishBlocked, claim_commit, expire_runs, run_pipeline
+from orderloom.plans.lease import LEASE_SECONDS, Lease, reclaimable
 from orderloom.plans.reports import monthly_order_trend, product_sales
 from orderloom.sources.csv_files import read_csv_sources
 from orderloom.sources.mart import (
     MartNotBuilt,
     current_run,
+    read_commits,
     read_issues,
     read_report,
     read_run_log,
@@ -106,21 +111,106 @@ def test_broken_lines_and_rejected_cells_are_reported(spark, tmp_path):
 
 
 def test_the_run_published_last_is_current(spark, tmp_path, monkeypatch):
-    """A run that started earlier and took longer; one that has not ended stays."""
+    """The sequence of commits decides, not the ids; a folder that holds no lease or mark stays."""
     root = str(tmp_path / "mart")
     source = staged(spark, tmp_path / "in")
     for name in ("b", "c", "a"):
         monkeypatch.setattr(job, "new_run_id", lambda name=name: name)
         run_pipeline(spark, source, root)
     assert current_run(spark, root) == "a"
+    assert row_set(read_commits(spark, root)) == [(1, "b"), (2, "c"), (3, "a")]
     (tmp_path / "mart" / "run=0" / "staged").mkdir(parents=True)
-    assert expire_runs(spark, root, keep=1) == []
+    assert expire_runs(spark, root, keep=2) == ["b"]
+    assert expire_runs(spark, root, keep=1) == ["c"]
     monkeypatch.undo()
     run_pipeline(spark, source, root)
-    assert expire_runs(spark, root, keep=1) == ["a", "b", "c"]
+    assert expire_runs(spark, root, keep=1) == ["a"]
     assert (tmp_path / "mart" / "run=0").exists()
 
 
+@pytest.mark.parametrize("first", ["inner", "outer"])
+def test_runs_that_overlap(spark, tmp_path, monkeypatch, first):
+    """A run inside another's time is published before it, or is the one that is published last."""
+    root = str(tmp_path / "mart")
+    source = staged(spark, tmp_path / "in")
+    publish = job._Run.publish
+    inner = []
+
+    def overlapped(run):
+        monkeypatch.setattr(job._Run, "publish", publish)
+        if first == "outer":
+            result = publish(run)
+        inner.append(run_pipeline(spark, source, root))
+        # The outer run has not ended, so its folder is safe whatever its place.
+        assert run.run_id not in expire_runs(spark, root, keep=1)
+        return result if first == "outer" else publish(run)
+
+    monkeypatch.setattr(job._Run, "publish", overlapped)
+    outer = run_pipeline(spark, source, root)
+    order = [inner[0], outer] if first == "inner" else [outer, inner[0]]
+    assert [run.sequence for run in order] == [1, 2]
+    assert current_run(spark, root) == order[1].run_id
+    assert expire_runs(spark, root, keep=1) == [order[0].run_id]
+    assert counts(read_star(spark, root)) == TABLE_ROWS
+
+
+def test_one_number_goes_to_one_run(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "mart")
+    assert claim_commit(spark, root, "x") == 1
+    # Another driver that saw the same numbers, and one that died before it wrote its name.
+    monkeypatch.setattr(job.files, "names", lambda spark, folder: [])
+    assert claim_commit(spark, root, "y") == 2
+    monkeypatch.undo()
+    (tmp_path / "mart" / "commits" / f"{3:012d}").write_text("")
+    assert claim_commit(spark, root, "z") == 4
+    assert current_run(spark, root) == "z"
+    assert row_set(read_commits(spark, root)) == [(1, "x"), (2, "y"), (4, "z")]
+
+
+def test_a_dead_run_is_reclaimed_when_its_lease_has_lapsed(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "mart")
+    source = staged(spark, tmp_path / "in")
+
+    def dies(run, *_):
+        run.lease._over.set()  # the driver is gone: nothing renews the lease, nothing marks the end
+        monkeypatch.setattr(run, "end", lambda: None)
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(job, "build_tables", dies)
+    for name in ("old", "fresh"):
+        monkeypatch.setattr(job, "new_run_id", lambda name=name: name)
+        with pytest.raises(KeyboardInterrupt):
+            run_pipeline(spark, source, root, keep_staged=True)
+    monkeypatch.undo()
+    current = run_pipeline(spark, source, root)
+    assert expire_runs(spark, root, keep=1) == []
+    lease = tmp_path / "mart" / "run=old" / "_lease"
+    os.utime(lease, (0, lease.stat().st_mtime - 2.1 * LEASE_SECONDS))
+    assert expire_runs(spark, root, keep=1) == ["old"]
+    assert {p.name for p in (tmp_path / "mart").glob("run=*")} == {"run=fresh", f"run={current.run_id}"}
+
+
+def test_a_lease_is_renewed_and_a_run_without_it_is_not_published(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "mart")
+    source = staged(spark, tmp_path / "in")
+    lease = Lease(spark, str(tmp_path / "leased"), 0.8)
+    time.sleep(2)
+    assert lease.held()
+    lease.release()
+    assert not lease.held() and not reclaimable(spark, str(tmp_path / "leased"))
+    publish = job._Run.publish
+
+    def stalled(run):
+        os.utime(tmp_path / "mart" / f"run={run.run_id}" / "_lease", (0, 0))
+        return publish(run)
+
+    monkeypatch.setattr(job._Run, "publish", stalled)
+    with pytest.raises(PublishBlocked, match="lease"):
+        run_pipeline(spark, source, root)
+    with pytest.raises(MartNotBuilt):
+        current_run(spark, root)
+
+
 def test_fact_by_year_reads_the_same(spark, tmp_path):
     root = str(tmp_path / "mart")
     source = staged(spark, tmp_path / "in")

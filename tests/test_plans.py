@@ -14,9 +14,11 @@ from orderloom.operators.dedupe import keep_first
 from orderloom.operators.integrity import key_counts
 from orderloom.operators.lookup import BROADCAST_ROWS
 from orderloom.plans import reports
+from orderloom.plans.checks import all_metrics
+from orderloom.plans.job import _Run
 from orderloom.plans.star import build_fact, with_amount
-from orderloom.schemas import MONEY, ORDER_DAY, POSITION
-from orderloom.sources.trade_tables import stage_trade
+from orderloom.schemas import MONEY, ORDER_DAY, POSITION, STAR_SCHEMAS
+from orderloom.sources.trade_tables import TRADE_RULES, stage_trade
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -140,10 +142,14 @@ def test_hot_product_is_split_in_the_price_lookup(spark, no_broadcast, tmp_path)
 
 
 def test_counted_prices_are_broadcast_below_the_bound(spark, no_broadcast):
+    """A session without broadcasts is obeyed; otherwise the count decides, not Spark's estimate."""
     orders = skewed_orders(spark)
     prices = spark.range(5000).select(
         F.col("id").alias("ProductKey"), (F.col("id") % 9).cast(MONEY).alias("Price")
     )
+    obeyed = build_fact(orders, prices, 5000)
+    assert "BroadcastHashJoin" not in plan(obeyed) and "SortMergeJoin" in plan(obeyed)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
     small, large = (build_fact(orders, prices, rows) for rows in (5000, BROADCAST_ROWS + 1))
     assert "BroadcastHashJoin" in plan(small) and "SortMergeJoin" not in plan(small)
     assert "SortMergeJoin" in plan(large) and "BroadcastHashJoin" not in plan(large)
@@ -166,3 +172,22 @@ def test_partitioning_does_not_change_reports(spark, mart):
             moved = Star(**{name: table.repartition(parts) for name, table in mart.items()})
             assert rows(report(moved)) == expected
     assert row_set(mart.DimCategory)[0][0] == 1
+
+
+def test_a_run_reads_the_fact_for_its_keys_alone(spark, tmp_path, monkeypatch):
+    """Row conditions are counted while the fact is written, so only key columns are read again."""
+    plans = []
+    write_metrics = _Run.write_metrics
+
+    def noted(run, metrics, part):
+        plans.extend(plan(frame) for frame in metrics)
+        return write_metrics(run, metrics, part)
+
+    monkeypatch.setattr(_Run, "write_metrics", noted)
+    result = trade_run(spark, FOLDER, str(tmp_path / "mart"))
+    read = {c.split(":")[0] for text in plans for schema in read_schemas(text) for c in schema.split(",")}
+    assert read - {""} <= {key for star in STAR_SCHEMAS.values() for key in star.names if key.endswith("Key")} | {"CategoryName"}
+    assert "OrderKey" in read
+    star = result.star(spark)
+    counted = {r["metric"]: r["violations"] for r in result.metrics(spark).collect()}
+    assert counted == {r["metric"]: r["violations"] for r in all_metrics(spark, star, result.issues(spark), TRADE_RULES).collect()}
