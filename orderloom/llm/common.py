@@ -138,6 +138,18 @@ def _settled(spark: SparkSession, parents: DataFrame) -> DataFrame:
         parents = doubled.select("node", F.coalesce("beyond", "to").alias("to"))
 
 
+def contracted(links: DataFrame) -> DataFrame:
+    """Links (a, b) that connect what links (hub, node) connect, about one per node.
+
+    A node keeps the link to its smallest hub, and each of its other hubs is linked with that
+    one. Where hubs recur, as the smallest of a group does, few distinct links are left of the
+    many that groups of the same nodes make. A node must not have more links than one task holds.
+    """
+    least = F.min("hub").over(Window.partitionBy("node"))
+    pairs = F.array(*(F.struct(F.col("least").alias("a"), F.col(c).alias("b")) for c in ("node", "hub")))
+    return links.withColumn("least", least).select(F.inline(pairs)).where("a <> b").distinct()
+
+
 #: Up to so many 64-bit keys (16 MB) are broadcast to pick their rows; more are joined.
 BROADCAST_KEYS = 2_000_000
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.llm.bytehash import mixed
-from orderloom.llm.common import connected, lowest_reached, picked, ship, staged, whole_groups
+from orderloom.llm.common import connected, contracted, lowest_reached, picked, ship, staged, whole_groups
 from orderloom.llm.shingles import MINS, minwise, set_key, shingle_sets, sketches
 from orderloom.llm.tokens import chunks
 
@@ -199,7 +199,7 @@ class _Join:
         """Rows (cell, low, place) that are near, in their sketches, to a row of their group of
         another component. `cell` now names the documents of a group that chains of such nearness
         hold together, by a hash of them, so what many trees bring together occurs once; `low` is
-        one of them."""
+        the smallest of them, which many groups share."""
         most = self._most
 
         def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,7 +219,7 @@ class _Join:
         near = staged(spark, self._near(rows))
         if near.isEmpty():
             return
-        chains = connected(spark, near.select(F.col("low").alias("a"), F.col("place").alias("b")))
+        chains = connected(spark, contracted(near.select(F.col("low").alias("hub"), F.col("place").alias("node"))))
         short = chains.groupBy("root").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= 2 * BLOCK).select("root", F.lit(True).alias("short"))
         chained = chains.join(short, "root", "left").select(F.col("node").alias("place"), "root", "short")
         group = F.when(F.col("short"), F.col("root")).otherwise(F.col("cell")).alias("cell")
@@ -243,10 +243,11 @@ class _Join:
                     sets = [np.frombuffer(x, dtype=np.uint64) for x in members.slice(begin, end - begin).to_pylist()]
                     root = lowest_reached(_alike(sets, percent), own)
                     some = root != own
-                    yield pa.RecordBatch.from_arrays([pa.array(own[some]), pa.array(root[some])], ["a", "b"])
+                    yield pa.RecordBatch.from_arrays([pa.array(root[some]), pa.array(own[some])], ["hub", "node"])
 
         grouped = near.join(sets, "place").repartition("cell").sortWithinPartitions("cell")
-        self._join(staged(spark, grouped.select("cell", "place", "members").mapInArrow(link, "a long, b long")))
+        found = grouped.select("cell", "place", "members").mapInArrow(link, "hub long, node long")
+        self._join(staged(spark, contracted(found)))
 
     def run(self) -> DataFrame | None:
         """Rows (node, root) by place for every document that has a link, or None."""
@@ -336,7 +337,9 @@ def _near_rows(rows: pa.Table, most: int) -> pa.RecordBatch:
     near = np.unique(np.concatenate([left, right]))
     names = np.zeros(len(group), dtype=np.uint64)
     np.add.at(names, lowest[near], mixed(place[near].astype(np.uint64)))
-    name, low = names[lowest[near]].view(np.int64), place[lowest[near]]
+    smallest = np.full(len(group), np.iinfo(np.int64).max)
+    np.minimum.at(smallest, lowest[near], place[near])
+    name, low = names[lowest[near]].view(np.int64), smallest[lowest[near]]
     return pa.RecordBatch.from_arrays([pa.array(name), pa.array(low), pa.array(place[near])], ["cell", "low", "place"])
 
 
@@ -402,12 +405,12 @@ def near_groups(
     else:
         member = member.withColumn("root", F.col("first"))
     member = staged(spark, member.select("place", "doc_id", "n_shingles", "root"))
-    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "place")).alias("best")
-    named = (
-        member.join(member.groupBy("root").agg(best), "root")
-        .withColumn("component_id", F.col("best.doc_id"))
-        .withColumn("keeper", F.col("place") == F.col("best.place"))
+    # Plain minima, first per doc_id, so that a large group leaves each map task as few rows.
+    first = member.groupBy("root", "doc_id").agg(F.min("place").alias("place"))
+    best = first.groupBy("root").agg(
+        F.min("doc_id").alias("component_id"), F.coalesce(F.min_by("place", "doc_id"), F.min("place")).alias("best")
     )
+    named = member.join(best, "root").withColumn("keeper", F.col("place") == F.col("best"))
     return named.select("place", "doc_id", "n_shingles", "component_id", "keeper"), sets.select("place", "row")
 
 
