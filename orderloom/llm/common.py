@@ -143,11 +143,14 @@ def contracted(links: DataFrame) -> DataFrame:
 
     A node keeps the link to its smallest hub, and each of its other hubs is linked with that
     one. Where hubs recur, as the smallest of a group does, few distinct links are left of the
-    many that groups of the same nodes make. A node must not have more links than one task holds.
+    many that groups of the same nodes make. The links should be staged, as they are read twice,
+    and a node must not have more of them than one task holds.
     """
-    least = F.min("hub").over(Window.partitionBy("node"))
-    pairs = F.array(*(F.struct(F.col("least").alias("a"), F.col(c).alias("b")) for c in ("node", "hub")))
-    return links.withColumn("least", least).select(F.inline(pairs)).where("a <> b").distinct()
+    least = F.min("hub").alias("least")
+    own = links.groupBy("node").agg(least).select(F.col("least").alias("a"), F.col("node").alias("b"))
+    beside = links.withColumn("least", F.min("hub").over(Window.partitionBy("node")))
+    others = beside.where("hub <> least").select(F.col("least").alias("a"), F.col("hub").alias("b"))
+    return own.unionByName(others).where("a <> b").distinct()
 
 
 #: Up to so many 64-bit keys (16 MB) are broadcast to pick their rows; more are joined.

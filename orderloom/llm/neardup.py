@@ -192,7 +192,8 @@ class _Join:
                 keep = pa.array(linked, pa.bool_())
                 yield pa.RecordBatch.from_arrays([batch.column(i).filter(keep) for i in range(2)], ["a", "b"])
 
-        full = pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b")
+        # Texts are not broadcast, however few: the driver never holds them, and plans are alike at every size.
+        full = pairs.join(one.hint("merge"), "a").join(two.hint("merge"), "b").select("a", "b", "text_a", "text_b")
         self._join(staged(spark, full.mapInArrow(test, "a long, b long")))
 
     def _near(self, rows: DataFrame) -> DataFrame:
@@ -245,8 +246,8 @@ class _Join:
                     some = root != own
                     yield pa.RecordBatch.from_arrays([pa.array(root[some]), pa.array(own[some])], ["hub", "node"])
 
-        grouped = near.join(sets, "place").repartition("cell").sortWithinPartitions("cell")
-        found = grouped.select("cell", "place", "members").mapInArrow(link, "hub long, node long")
+        grouped = near.join(sets.hint("merge"), "place").repartition("cell").sortWithinPartitions("cell")
+        found = staged(spark, grouped.select("cell", "place", "members").mapInArrow(link, "hub long, node long").distinct())
         self._join(staged(spark, contracted(found)))
 
     def run(self) -> DataFrame | None:
