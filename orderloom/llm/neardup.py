@@ -33,6 +33,9 @@ SMALL = 256
 DEEPEST = 9
 #: Documents of a block: no cell of a large node has more than two blocks.
 BLOCK = 512
+#: Chains of near documents up to so many blocks are compared in pairs of blocks: then a set is
+#: shipped once per block. In longer chains, once per group of the trees, which is about 60 times.
+MOST_BLOCKS = 16
 #: A large node is done at once if its documents outside its largest component make at most so
 #: many pairs with all of its documents.
 AT_ONCE = 4_000_000
@@ -124,14 +127,14 @@ class _Join:
 
         source = self._firsts.select("place", "mins")
         if rows is not None:
-            source = source.join(rows.select("node", "place"), "place").select("place", "mins", "node")
+            source = source.join(rows.select("node", "place").hint("merge"), "place").select("place", "mins", "node")
         return source.mapInArrow(branch, "node long, place long, s1 long, s2 long")
 
     def _with_component(self, rows: DataFrame) -> DataFrame:
         if self.roots is None:
             return rows.withColumn("part", F.col("place"))
         roots = self.roots.select(F.col("node").alias("place"), F.col("root").alias("part"))
-        return rows.join(roots, "place", "left").withColumn("part", F.coalesce("part", "place"))
+        return rows.join(roots.hint("merge"), "place", "left").withColumn("part", F.coalesce("part", "place"))
 
     def _shared(self, rows: DataFrame) -> DataFrame:
         """Rows of nodes with more than one document. Most nodes have one; only a count of each is shuffled."""
@@ -157,7 +160,8 @@ class _Join:
             .where((F.col("n") >= least) & (F.col("lowest") < F.col("highest")))
             .drop("lowest", "highest"),
         )
-        return staged(self._spark, parted.join(nodes, "node"))
+        # Sides that grow with the documents are merged at every size, as they are on a cluster.
+        return staged(self._spark, parted.join(nodes.hint("merge"), "node"))
 
     def _texts(self, keys: DataFrame) -> DataFrame:
         return picked(self._sets.select("place", F.col("row.text").cast("string").alias("text")), keys, "place")
@@ -214,17 +218,18 @@ class _Join:
         """Compare the documents of each group that are near others of another component, on
         their full sets, and join what is linked. Only links leave the tasks.
 
-        Documents that chains of nearness hold together in any groups are compared at once,
-        each set shipped once, if they are no more than two blocks; in larger chains, group by group."""
+        Documents that chains of nearness hold together in any groups are compared in pairs of
+        blocks of the chain; in chains of more than MOST_BLOCKS, group by group."""
         spark, width, percent = self._spark, self._width, self._percent
         near = staged(spark, self._near(rows))
         if near.isEmpty():
             return
         chains = connected(spark, contracted(near.select(F.col("low").alias("hub"), F.col("place").alias("node"))))
-        short = chains.groupBy("root").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= 2 * BLOCK).select("root", F.lit(True).alias("short"))
-        chained = chains.join(short, "root", "left").select(F.col("node").alias("place"), "root", "short")
-        group = F.when(F.col("short"), F.col("root")).otherwise(F.col("cell")).alias("cell")
-        near = staged(spark, near.select("cell", "place").join(chained, "place").select(group, "place").distinct())
+        blocks = chains.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+        chained = staged(spark, chains.withColumnRenamed("node", "place").join(blocks, "root"))
+        short = _chain_cells(chained.where(F.col("blocks") <= MOST_BLOCKS))
+        long = chained.where(F.col("blocks") > MOST_BLOCKS).select("place")
+        near = staged(spark, short.unionByName(near.select("cell", "place").join(long, "place", "left_semi").distinct()))
         keys = staged(spark, near.select("place").distinct())
 
         def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,7 +293,7 @@ def _with_queries(rows: DataFrame) -> DataFrame:
     `queries`, how many of the node are."""
     parts = rows.groupBy("node", "part").agg(F.count(F.lit(1)).alias("size"))
     largest = parts.groupBy("node").agg(F.max("size").alias("size"), F.max_by("part", "size").alias("main"))
-    return rows.join(largest, "node").withColumns(
+    return rows.join(largest.hint("merge"), "node").withColumns(
         {"query": F.col("part") != F.col("main"), "queries": F.col("n") - F.col("size")}
     )
 
@@ -314,6 +319,15 @@ def _cells(rows: DataFrame) -> DataFrame:
     return cut.select(*rows.columns, cell.alias("at")).select(*rows.columns, "at.cell", "at.block")
 
 
+def _chain_cells(rows: DataFrame) -> DataFrame:
+    """Rows (cell, place): each document of a chain once for each block of it, so that every two
+    blocks meet in a cell."""
+    mine = F.pmod(F.xxhash64("place"), F.col("blocks"))
+    cell = F.xxhash64("root", F.least("mine", "other"), F.greatest("mine", "other"))
+    others = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    return rows.withColumns({"mine": mine, "other": others}).select(cell.alias("cell"), "place")
+
+
 def _near_rows(rows: pa.Table, most: int) -> pa.RecordBatch:
     group, place, part = (rows.column(name).to_numpy() for name in ("cell", "place", "part"))
     # Unsigned, since bits are counted in absolute values.
@@ -361,14 +375,16 @@ def _lowest_linked(count: int, left: np.ndarray, right: np.ndarray) -> np.ndarra
 
 def _alike(sets: list[np.ndarray], percent: int) -> np.ndarray:
     """Which pairs of sets share enough: exact counts by products of incidence matrices, a slice
-    of the members at a time."""
+    of the members at a time. Members of one set alone, most of them, are shared by no pair."""
     size = np.array([len(x) for x in sets])
-    member = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    _, member, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     row = np.repeat(np.arange(len(sets)), size)
+    common = times[member] > 1
+    member, row = (np.cumsum(times > 1) - 1)[member[common]], row[common]
     shared = np.zeros((len(sets), len(sets)), dtype=np.float32)
     order = np.argsort(member, kind="stable")
     member, row = member[order], row[order]
-    for begin in range(0, int(member[-1]) + 1, 4096):
+    for begin in range(0, int(member[-1]) + 1 if len(member) else 0, 4096):
         a, b = np.searchsorted(member, [begin, begin + 4096])
         incidence = np.zeros((len(sets), 4096), dtype=np.float32)
         incidence[row[a:b], member[a:b] - begin] = 1
@@ -399,9 +415,9 @@ def near_groups(
     firsts = staged(spark, picked(full.select("place", "mins"), keys, "place"))
     roots = _Join(spark, sets, firsts, width, percent).run()
     rows = sets.select("place", "set_a", "set_b", "n_shingles", F.col("row.doc_id").alias("doc_id"))
-    member = rows.join(classes, ["set_a", "set_b", "n_shingles"], "left").withColumn("first", F.coalesce("first", "place"))
+    member = rows.join(classes.hint("merge"), ["set_a", "set_b", "n_shingles"], "left").withColumn("first", F.coalesce("first", "place"))
     if roots is not None:
-        member = member.join(roots.withColumnRenamed("node", "first"), "first", "left")
+        member = member.join(roots.withColumnRenamed("node", "first").hint("merge"), "first", "left")
         member = member.withColumn("root", F.coalesce("root", "first"))
     else:
         member = member.withColumn("root", F.col("first"))
@@ -411,7 +427,7 @@ def near_groups(
     best = first.groupBy("root").agg(
         F.min("doc_id").alias("component_id"), F.coalesce(F.min_by("place", "doc_id"), F.min("place")).alias("best")
     )
-    named = member.join(best, "root").withColumn("keeper", F.col("place") == F.col("best"))
+    named = member.join(best.hint("merge"), "root").withColumn("keeper", F.col("place") == F.col("best"))
     return named.select("place", "doc_id", "n_shingles", "component_id", "keeper"), sets.select("place", "row")
 
 

@@ -228,8 +228,21 @@ def test_cells_of_large_nodes(spark, size, monkeypatch):
     assert met == {(a, b): 1 for b in range(size, 400) for a in range(b)}
 
 
-def test_near_duplicates_in_large_nodes(spark, monkeypatch):
-    for name, value in (("SMALL", 8), ("BLOCK", 8), ("DEEPEST", 2)):
+def test_blocks_of_a_chain_meet(spark):
+    rows = [(root, place, blocks) for root, n, blocks in ((1, 90, 4), (2, 5, 1)) for place in range(100 * root, 100 * root + n)]
+    cells = neardup._chain_cells(spark.createDataFrame(rows, "root long, place long, blocks long")).collect()
+    assert Counter(r.place for r in cells) == {place: blocks for _, place, blocks in rows}
+    groups = {}
+    for r in cells:
+        groups.setdefault(r.cell, set()).add(r.place)
+    met = {(a, b) for own in groups.values() for a in own for b in own}
+    assert met == {(a, b) for r, a, _ in rows for s, b, _ in rows if r == s}
+    assert max(map(len, groups.values())) < 75
+
+
+@pytest.mark.parametrize("most", [16, 3])
+def test_near_duplicates_in_large_nodes(spark, monkeypatch, most):
+    for name, value in (("SMALL", 8), ("BLOCK", 8), ("DEEPEST", 2), ("MOST_BLOCKS", most)):
         monkeypatch.setattr(neardup, name, value)
     random = np.random.default_rng(8)
     slots = random.random((90, 60)) < 0.1
