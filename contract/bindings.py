@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from orderloom.operators.dedupe import distinct_values, first_appearance, keep_f
 from orderloom.operators.integrity import duplicate_keys, orphan_keys
 from orderloom.plans import reports
 from orderloom.plans.checks import gates_of, null_links_of, summarize
-from orderloom.plans.issues import find_issues, order_rules, source_issues
+from orderloom.plans.issues import find_issues, issue_changes, order_rules, source_issues
 from orderloom.plans.job import RunResult, run_pipeline
 from orderloom.plans.star import (
     build_category,
@@ -26,7 +27,7 @@ from orderloom.plans.star import (
     run_sql,
     valid_orders,
 )
-from orderloom.schemas import CUSTOMERS, ORDER_DAY, ORDERS, POSITION, UNREAD_DATE
+from orderloom.schemas import CUSTOMERS, ORDER_DAY, ORDERS, POSITION, PRODUCTS, UNREAD_DATE
 from orderloom.session import scratch_folder
 from orderloom.sources.csv_files import read_csv, read_orders
 from orderloom.sources.mart import read_run_log, read_star
@@ -104,14 +105,55 @@ def csv_rejects(spark: SparkSession, folder: str) -> DataFrame:
     return source_issues(read_orders(spark, path, TRADE_RULES), ORDERS, order_rules(TRADE_RULES))
 
 
+def csv_padded_header(spark: SparkSession, folder: str) -> DataFrame:
+    """Products that went through CSV under column names with blanks around them."""
+    path = scratch_folder(spark)
+    rows = stage_products(spark, folder).drop(POSITION)
+    (
+        rows.toDF(*[f" {name}  " if i % 2 else f"{name}\t" for i, name in enumerate(rows.columns)])
+        .write.option("header", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
+    return with_double(read_csv(spark, path, PRODUCTS).select(*PRODUCTS.column_names), "price")
+
+
+def csv_elected_dates(spark: SparkSession, folder: str) -> DataFrame:
+    """Days of orders whose file writes them month first, with some written otherwise."""
+    path = scratch_folder(spark)
+    day, key = F.col(ORDER_DAY), F.col("order_id")
+    text = F.when(key % 13 == 0, iso_text(day)).otherwise(F.date_format(day, "MM/dd/yyyy"))
+    written = stage_orders(spark, folder).where(day.isNotNull()).withColumn("order_date", text)
+    (
+        written.select(*ORDERS.column_names)
+        .repartitionByRange(8, key % 13 == 0, "order_id")
+        .sortWithinPartitions(key % 13 == 0, "order_id")
+        .write.option("header", True)
+        .csv(path)
+    )
+    return read_orders(spark, path).select(
+        "order_id", iso_text(day).alias("day"), F.col(UNREAD_DATE).alias("unread")
+    )
+
+
 def source_row_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Counted rows of each source beside the number that a run observed as it staged them."""
+    root = scratch_folder(spark)
+    run = trade_run(spark, folder, root)
     counts = [
         rows.agg(F.count(F.lit(1)).alias("row_count")).select(
             F.lit(name).alias("source"), "row_count"
         )
         for name, rows in stage_trade(spark, folder).items()
     ]
-    return counts[0].union(counts[1]).union(counts[2])
+    logged = read_run_log(spark, root).where(
+        (F.col("run_id") == run.run_id) & (F.col("kind") == "source")
+    )
+    observed = logged.select(
+        F.col("table_name").alias("source"), F.col("row_count").alias("observed_rows")
+    )
+    return counts[0].union(counts[1]).union(counts[2]).join(observed, "source")
 
 
 def star_publish_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -227,7 +269,7 @@ def dedupe_orders(spark: SparkSession, folder: str) -> DataFrame:
 def distinct_categories(spark: SparkSession, folder: str) -> DataFrame:
     rows = stage_products(spark, folder).withColumn("category_name", strip(F.col("category_name")))
     return first_appearance(rows, "category_name").select(
-        "category_name", F.col(f"{POSITION}.row.p_partkey").alias("first_product")
+        "category_name", F.col(f"{POSITION}.row").alias("first_product")
     )
 
 
@@ -256,6 +298,12 @@ def _report(report: Callable[[Star], DataFrame]) -> Query:
     return query
 
 
+def stored_reports(spark: SparkSession, folder: str) -> DataFrame:
+    """All six stored reports with their ranks, from one pass over the fact of a published mart."""
+    star = reports.summed_star(trade_run(spark, folder).star(spark))
+    return reports.stored_reports(star)
+
+
 def dashboard_feeds(spark: SparkSession, folder: str) -> DataFrame:
     """The four feeds over a published mart, stacked under their names."""
     feeds = [
@@ -281,6 +329,23 @@ def dq_issues(spark: SparkSession, folder: str) -> DataFrame:
     return find_issues(stage_trade(spark, folder), TRADE_RULES)
 
 
+def dq_issue_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """What changed in the issues of two runs into one mart: the first had fewer payment types
+    allowed and knew more e-mail addresses."""
+    root = scratch_folder(spark)
+    later = stage_trade(spark, folder)
+    known = F.when(F.col("customer_id") % 3 == 0, F.lit("known@example.com"))
+    earlier = replace(
+        later, customers=later.customers.withColumn("email", F.coalesce(known, "email"))
+    )
+    strict = replace(TRADE_RULES, payments=TRADE_RULES.payments[1:])
+    runs = [
+        run_pipeline(spark, source, root, rules)
+        for source, rules in ((earlier, strict), (later, TRADE_RULES))
+    ]
+    return issue_changes(*(run.issues(spark) for run in runs))
+
+
 def dq_report(spark: SparkSession, folder: str) -> DataFrame:
     return trade_run(spark, folder).report(spark)
 
@@ -337,6 +402,8 @@ def duplicate_order_keys(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "csv_roundtrip_customers": csv_roundtrip_customers,
     "csv_rejects": csv_rejects,
+    "csv_padded_header": csv_padded_header,
+    "csv_elected_dates": csv_elected_dates,
     "source_row_counts": source_row_counts,
     "star_publish_counts": star_publish_counts,
     "sql_text_report": sql_text_report,
@@ -367,8 +434,10 @@ QUERIES: dict[str, Query] = {
     "status_share": _report(reports.status_distribution),
     "quarterly_revenue": _report(reports.quarterly_revenue),
     "headline_insights": headline_insights,
+    "stored_reports": stored_reports,
     "dashboard_feeds": dashboard_feeds,
     "dq_issues": dq_issues,
+    "dq_issue_changes": dq_issue_changes,
     "dq_report": dq_report,
     "dq_summary": dq_summary,
     "dq_gates": dq_gates,

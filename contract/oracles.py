@@ -237,8 +237,13 @@ _BODIES = {
                'Cells that do not fit their type: quantity ''' ||
                CASE WHEN order_id % 7 = 0 THEN 'many' ELSE '2.5' END || ''''
         FROM st_orders WHERE order_id % 7 = 0 OR order_id % 11 = 0""",
+    "csv_padded_header": "SELECT * REPLACE (CAST(price AS DOUBLE) AS price) FROM st_products",
+    "csv_elected_dates": """
+        SELECT order_id, CASE WHEN order_id % 13 <> 0 THEN order_date END AS day,
+               CASE WHEN order_id % 13 = 0 THEN order_date END AS unread
+        FROM st_orders WHERE try_strptime(order_date, '%Y-%m-%d') IS NOT NULL""",
     "source_row_counts": " UNION ALL ".join(
-        f"SELECT '{name}' AS source, count(*) AS row_count FROM st_{name}"
+        f"SELECT '{name}' AS source, count(*) AS row_count, count(*) AS observed_rows FROM st_{name}"
         for name in ("customers", "products", "orders")
     ),
     "star_publish_counts": " UNION ALL ".join(
@@ -338,7 +343,47 @@ _BODIES = {
         UNION ALL SELECT 'orders by month', printf('%04d-%02d', Year, Month), CAST(orders AS BIGINT)
             FROM by_month
         UNION ALL SELECT 'units by category', CategoryName, CAST(units AS BIGINT) FROM by_category""",
+    "stored_reports": """
+        SELECT 'top_customers_by_orders' AS report,
+               CAST(row_number() OVER (ORDER BY orders DESC, FullName) AS INTEGER) AS rank,
+               FullName AS label, CAST(NULL AS VARCHAR) AS detail, CAST(orders AS BIGINT) AS orders,
+               CAST(NULL AS BIGINT) AS units, CAST(NULL AS DOUBLE) AS revenue
+        FROM by_customer QUALIFY rank <= 5
+        UNION ALL
+        SELECT 'order_distribution_by_city', row_number() OVER (ORDER BY orders DESC, City),
+               City, NULL, orders, NULL, NULL FROM by_city
+        UNION ALL
+        SELECT 'monthly_order_trend', row_number() OVER (ORDER BY Year, Month), MonthName,
+               CAST(Year AS VARCHAR), orders, units, round(revenue, 2) FROM by_month
+        UNION ALL
+        SELECT 'sales_by_category', row_number() OVER (ORDER BY round(revenue, 2) DESC, CategoryName),
+               CategoryName, NULL, NULL, units, round(revenue, 2) FROM by_category
+        UNION ALL
+        SELECT 'payment_method_breakdown',
+               row_number() OVER (ORDER BY orders DESC, PaymentType NULLS FIRST),
+               PaymentType, NULL, orders, NULL, round(revenue, 2) FROM by_payment
+        UNION ALL
+        SELECT * FROM (
+            SELECT 'top_products_by_quantity',
+                   row_number() OVER (ORDER BY units DESC, ProductName, CategoryName) AS nth,
+                   ProductName, CategoryName, NULL, units, round(revenue, 2) FROM by_product)
+        WHERE nth <= 5""",
     "dq_issues": "SELECT * FROM issues",
+    "dq_issue_changes": """
+        SELECT *, CASE WHEN before = 0 THEN 'new' WHEN after = 0 THEN 'gone' ELSE 'kept' END AS change
+        FROM (
+            SELECT entity, rule, key, count(*) FILTER (run = 1) AS before,
+                   count(*) FILTER (run = 2) AS after
+            FROM (
+                SELECT entity, rule, key, 1 AS run FROM issues
+                WHERE NOT (rule = 'DQ-1' AND key % 3 = 0) AND rule <> 'DQ-5'
+                UNION ALL
+                SELECT 'orders', 'DQ-5', order_id, 1 FROM st_orders
+                WHERE payment_type IS NULL OR payment_type NOT IN ('2-HIGH', '3-MEDIUM', '5-LOW')
+                UNION ALL
+                SELECT entity, rule, key, 2 FROM issues
+            ) both_runs
+            GROUP BY ALL) counted""",
     "dq_report": """
         SELECT "check", name, CAST(violations AS BIGINT) AS violations, violations = 0 AS passed
         FROM checks""",

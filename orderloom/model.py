@@ -38,6 +38,10 @@ class Star:
             found = self._tables[name] = found()
         return found
 
+    def pairs(self) -> list[tuple[str, DataFrame | Callable[[], DataFrame]]]:
+        """The tables as they were given, planned or not."""
+        return list(self._tables.items())
+
     def items(self) -> list[tuple[str, DataFrame]]:
         return [(name, self.table(name)) for name in self._tables]
 

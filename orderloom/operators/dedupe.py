@@ -28,9 +28,16 @@ def distinct_values(rows: DataFrame, column: str) -> DataFrame:
 
 
 def first_appearance(rows: DataFrame, column: str) -> DataFrame:
-    """Each non-null value once, with the position where it first appears."""
-    return (
-        rows.where(F.col(column).isNotNull())
-        .groupBy(column)
-        .agg(F.min(POSITION).alias(POSITION))
+    """Each non-null value once, with the position where it first appears.
+
+    The smallest row in each part comes first, then the smallest part: two plain minima that are
+    hashed, where one minimum of a pair would sort all rows.
+    """
+    named = rows.where(F.col(column).isNotNull())
+    part, row = F.col(f"{POSITION}.part"), F.col(f"{POSITION}.row")
+    in_part = named.groupBy(column, part.alias("_part")).agg(F.min(row).alias("_row"))
+    firsts = in_part.groupBy(column).agg(
+        F.min("_part").alias("_part"), F.min_by("_row", "_part").alias("_row")
     )
+    position = F.struct(F.col("_part").alias("part"), F.col("_row").alias("row"))
+    return firsts.select(column, position.alias(POSITION))

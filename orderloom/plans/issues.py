@@ -145,3 +145,24 @@ def find_issues(staged: Staged, rules: Rules = DEFAULT_RULES) -> DataFrame:
         .unionByName(source_issues(staged.products, PRODUCTS, product_rules()))
         .unionByName(source_issues(staged.orders, ORDERS, order_rules(rules)))
     )
+
+
+def issue_changes(before: DataFrame, after: DataFrame) -> DataFrame:
+    """How the issues of two runs differ: rows (entity, rule, key, before, after, change).
+
+    `before` and `after` count the issues of a rule on rows with that key; `change` is new, gone or
+    kept. Null keys are one key. Both tables meet in one shuffle of counts.
+    """
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    both = before.select("entity", "rule", "key", one.alias("before"), none.alias("after")).unionByName(
+        after.select("entity", "rule", "key", none.alias("before"), one.alias("after"))
+    )
+    counts = both.groupBy("entity", "rule", "key").agg(
+        F.sum("before").alias("before"), F.sum("after").alias("after")
+    )
+    change = (
+        F.when(F.col("before") == 0, F.lit("new"))
+        .when(F.col("after") == 0, F.lit("gone"))
+        .otherwise(F.lit("kept"))
+    )
+    return counts.withColumn("change", change)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -126,13 +129,28 @@ def build_star(staged: Staged) -> Star:
     return star
 
 
-def register_views(star: Star) -> None:
-    """Make the tables visible to SQL text under their names."""
+@contextmanager
+def visible(spark: SparkSession, star: Star) -> Iterator[None]:
+    """Make the tables visible to SQL text under their names, and leave the session as it was."""
+    names = [name for name, _ in star.items()]
+    temporary = {t.name.lower() for t in spark.catalog.listTables() if t.isTemporary}
+    hidden = {name: spark.table(name) for name in names if name.lower() in temporary}
     for name, table in star.items():
         table.createOrReplaceTempView(name)
+    try:
+        yield
+    finally:
+        for name in names:
+            if name in hidden:
+                hidden[name].createOrReplaceTempView(name)
+            else:
+                spark.catalog.dropTempView(name)
 
 
 def run_sql(spark: SparkSession, star: Star, text: str, **args: object) -> DataFrame:
-    """Run SQL text over the star; `args` fill its :named parameters."""
-    register_views(star)
-    return spark.sql(text, args=args)
+    """Run SQL text over the star; `args` fill its :named parameters.
+
+    The text is resolved at once, so the frame outlives the names.
+    """
+    with visible(spark, star):
+        return spark.sql(text, args=args)

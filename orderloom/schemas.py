@@ -147,9 +147,29 @@ FOREIGN_KEYS = (
 )
 
 
+# Formats that a source's dates are tried by, where the rules name none: month before day where
+# both are possible.
+DATE_FORMATS = (
+    "yyyy-M-d",
+    "M/d/yyyy",
+    "d/M/yyyy",
+    "yyyy/M/d",
+    "M-d-yyyy",
+    "d-M-yyyy",
+    "M.d.yyyy",
+    "d.M.yyyy",
+    "yyyyMMdd",
+    "d MMM yyyy",
+    "MMM d, yyyy",
+)
+
+
 @dataclass(frozen=True)
 class Rules:
-    """What counts as valid; a deployment may bring its own lists and formats."""
+    """What counts as valid; a deployment may bring its own lists and formats.
+
+    Without date formats, the first readable date of a source decides its format.
+    """
 
     # Fixed values.
     payments: tuple[str, ...] = (
@@ -160,7 +180,7 @@ class Rules:
         "UPI",
     )
     statuses: tuple[str, ...] = ("Delivered", "Shipped", "Processing", "Cancelled")
-    date_formats: tuple[str, ...] = ("yyyy-M-d",)
+    date_formats: tuple[str, ...] = ()
 
 
 DEFAULT_RULES = Rules()

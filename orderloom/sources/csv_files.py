@@ -6,7 +6,11 @@ scan. Fields may be quoted, with a doubled quote for a quote inside.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import re
+from collections.abc import Sequence
+from urllib.parse import unquote
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +21,7 @@ from orderloom.model import Staged
 from orderloom.schemas import (
     CORRUPT,
     CUSTOMERS,
+    DATE_FORMATS,
     DEFAULT_RULES,
     ORDER_DAY,
     ORDERS,
@@ -29,18 +34,34 @@ from orderloom.schemas import (
 )
 
 
-def file_position() -> Column:
-    """Place of a row in its source: file and split first, then the row in it.
+# A split's number is its file's number and, in the low bits, where in the file it begins.
+OFFSET_BITS = 40
+# Files whose paths and numbers are broadcast: about 20 MB.
+BROADCAST_FILES = 100_000
+
+
+def with_position(rows: DataFrame) -> DataFrame:
+    """Add the place of each row in its source: two longs, the split's number and the row in it.
 
-    Taken at the scan: row ids rise inside a split, while the order between
-    splits follows from their path and offset whatever task reads them.
+    Taken at the scan: row ids rise inside a split, while the order between splits follows from
+    their path and offset whatever task reads them. Paths are looked up right there in the list
+    of files, so that no later step carries them.
     """
-    return F.struct(
-        F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("start"),
-        ).alias("part"),
-        F.monotonically_increasing_id().alias("row"),
+    spark = rows.sparkSession
+    # Local files are listed with two more slashes than rows say they are from.
+    paths = sorted(re.sub("^file:/+", "file:/", path) for path in rows.inputFiles())
+    files = spark.createDataFrame(list(enumerate(paths)), "_file long, _path string")
+    unlisted = F.raise_error(F.concat(F.lit("file is not listed: "), F.col("_of"))).cast("bigint")
+    part = F.shiftleft(F.coalesce(F.col("_file"), unlisted), OFFSET_BITS) + F.col("_start")
+    placed = rows.select(
+        "*",
+        F.col("_metadata.file_path").alias("_of"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_row"),
+    )
+    listed = F.broadcast(files) if len(paths) <= BROADCAST_FILES else files
+    return placed.join(listed, F.col("_of") == F.col("_path"), "left").select(
+        *rows.columns, F.struct(part.alias("part"), F.col("_row").alias("row")).alias(POSITION)
     )
 
 
@@ -67,8 +88,8 @@ def read_text_table(spark: SparkSession, path: str, multiline: bool = False) ->
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("enforceSchema", False)
         .csv(path)
-        .select("*", file_position().alias(POSITION))
     )
+    raw = with_position(raw)
     return raw.toDF(*[name.strip() for name in header], CORRUPT, POSITION)
 
 
@@ -106,17 +127,43 @@ def bad_lines(table: DataFrame) -> DataFrame:
     return table.where((F.size(REJECTED) > 0) | F.col(CORRUPT).isNotNull())
 
 
+def elect_date_format(
+    spark: SparkSession, path: str, column: str, candidates: Sequence[str], multiline: bool = False
+) -> str:
+    """The candidate format that reads the first value, in source order, that any of them reads.
+
+    Usually the first file answers; only if none of its values can be read, all files are. If
+    nothing can, the first candidate stands. Two candidates may read one value (a day up to 12
+    beside its month); the earlier one is then meant.
+    """
+    paths = sorted(read_text_table(spark, path, multiline).inputFiles())
+    # Spark names files as encoded URIs and reads plain paths.
+    for scope in [unquote(paths[0]), path] if paths else []:
+        text = null_if_token(F.col(column))
+        fits = F.coalesce(
+            *[F.when(parse_date(text, [f]).isNotNull(), F.lit(i)) for i, f in enumerate(candidates)]
+        )
+        read = read_text_table(spark, scope, multiline).select(fits.alias("fits"), POSITION)
+        first = read.where("fits IS NOT NULL").agg(F.min_by("fits", POSITION).alias("fits")).first()
+        if first["fits"] is not None:
+            return candidates[first["fits"]]
+    return candidates[0]
+
+
 def read_orders(
     spark: SparkSession, path: str, rules: Rules = DEFAULT_RULES, multiline: bool = False
 ) -> DataFrame:
-    """Staged orders: the day in place of the date's text, which stays where no format fits."""
-    day = parse_date(F.col("order_date"), rules.date_formats)
+    """Staged orders: the day in place of the date's text, which stays where no format fits.
+
+    Without formats in the rules, the data elect one of DATE_FORMATS.
+    """
+    orders = read_csv(spark, path, ORDERS, multiline)
+    formats = rules.date_formats or [
+        elect_date_format(spark, path, "order_date", DATE_FORMATS, multiline)
+    ]
+    day = parse_date(F.col("order_date"), formats)
     unread = F.when(day.isNull(), F.col("order_date"))
-    return (
-        read_csv(spark, path, ORDERS, multiline)
-        .withColumns({ORDER_DAY: day, UNREAD_DATE: unread})
-        .drop("order_date")
-    )
+    return orders.withColumns({ORDER_DAY: day, UNREAD_DATE: unread}).drop("order_date")
 
 
 def read_csv_sources(

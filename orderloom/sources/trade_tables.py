@@ -18,6 +18,7 @@ RANGE_BITS = 16
 TRADE_RULES = Rules(
     payments=("1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW"),
     statuses=("F", "O"),
+    date_formats=("yyyy-M-d",),
 )
 
 
@@ -43,9 +44,10 @@ def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
 
 
 def key_position(key: str, *rest: str) -> Column:
-    """A position from a business order: the key's range, then the whole order."""
+    """A position from a business order: the key's range, then the key or the whole order."""
     part = F.shiftright(key, RANGE_BITS)
-    return F.struct(part.alias("part"), F.struct(key, *rest).alias("row"))
+    row = F.struct(key, *rest) if rest else F.col(key)
+    return F.struct(part.alias("part"), row.alias("row"))
 
 
 def stage_customers(spark: SparkSession, folder: str) -> DataFrame:

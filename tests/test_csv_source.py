@@ -5,8 +5,14 @@ from pyspark.sql import functions as F
 
 from edge_rows import rows
 from orderloom.operators.dedupe import keep_first
-from orderloom.schemas import CUSTOMERS, ORDER_DAY, PRODUCTS
-from orderloom.sources.csv_files import bad_lines, read_csv, read_csv_sources, read_text_table
+from orderloom.schemas import CUSTOMERS, ORDER_DAY, PRODUCTS, Rules
+from orderloom.sources.csv_files import (
+    bad_lines,
+    read_csv,
+    read_csv_sources,
+    read_orders,
+    read_text_table,
+)
 
 HEAD = "product_id,product_name,category_name,price,stock\n"
 
@@ -86,3 +92,55 @@ def test_sources_carry_the_parsed_day(spark, tmp_path):
     staged = read_csv_sources(spark, *write_sources(tmp_path))
     assert staged.customers.columns[:6] == CUSTOMERS.column_names
     assert staged.orders.where(F.col(ORDER_DAY).isNull()).count() == 2
+
+
+def test_a_position_is_two_numbers_whatever_the_path(spark, tmp_path):
+    folder = tmp_path / "a folder, é=1 %20"
+    folder.mkdir()
+    for i, name in enumerate(("b 2.csv", "a%1.csv", "c+é.csv")):
+        (folder / name).write_text(HEAD + "".join(f"{10 * i + j},x,Home,1,1\n" for j in range(3)))
+    table = read_csv(spark, str(folder), PRODUCTS)
+    assert table.schema["_pos"].dataType.simpleString() == "struct<part:bigint,row:bigint>"
+    found = [r["product_id"] for r in table.orderBy("_pos").select("product_id").collect()]
+    assert found == [10, 11, 12, 0, 1, 2, 20, 21, 22]
+    assert table.where("_pos.part IS NULL").isEmpty()
+    text = keep_first(table, "product_id")._jdf.queryExecution().executedPlan().toString()
+    shuffled = text[: text.index("Exchange hashpartitioning(product_id")]
+    assert "_path" not in shuffled and "file_path" not in shuffled
+
+
+def order_file(path, dates):
+    head = "order_id,customer_id,product_id,quantity,order_date,payment_type,status,updated_at\n"
+    path.write_text(head + "".join(f"{i},1,1,1,{d},UPI,Shipped,x\n" for i, d in enumerate(dates)))
+
+
+@pytest.mark.parametrize(
+    "dates, days",
+    [
+        (["03/14/2021", "12/31/2020", "2021-01-01"], ["2021-03-14", "2020-12-31", None]),
+        (["", "NA", "soon", "05/04/2021", "14/04/2021"], [None, None, None, "2021-05-04", None]),
+        (["14/03/2021", "05/04/2021"], ["2021-03-14", "2021-04-05"]),
+        (["2021-3-4", "03/14/2021"], ["2021-03-04", None]),
+        (["2021-03-04 10:30:00", "2021-3-5"], ["2021-03-04", "2021-03-05"]),
+        (["20210304", "20211301"], ["2021-03-04", None]),
+        (["4 Mar 2021", "soon"], ["2021-03-04", None]),
+        (["never", ""], [None, None]),
+    ],
+)
+def test_the_first_readable_date_elects_the_format(spark, tmp_path, dates, days):
+    order_file(tmp_path / "o.csv", dates)
+    found = read_orders(spark, str(tmp_path / "o.csv")).orderBy("order_id")
+    assert [str(r[0]) if r[0] else None for r in found.select(ORDER_DAY).collect()] == days
+
+
+def test_files_elect_in_their_order_and_rules_overrule_them(spark, tmp_path):
+    order_file(tmp_path / "a 1.csv", ["soon", ""])
+    order_file(tmp_path / "b.csv", ["25/12/2021", "01/02/2021"])
+    order_file(tmp_path / "c.csv", ["2021-05-06"])
+    found = read_orders(spark, str(tmp_path)).where(F.col(ORDER_DAY).isNotNull())
+    assert sorted(str(r[0]) for r in found.select(ORDER_DAY).collect()) == ["2021-02-01", "2021-12-25"]
+    given = read_orders(spark, str(tmp_path), Rules(date_formats=("yyyy-M-d", "M/d/yyyy")))
+    assert sorted(str(r[0]) for r in given.where(F.col(ORDER_DAY).isNotNull()).select(ORDER_DAY).collect()) == [
+        "2021-01-02",
+        "2021-05-06",
+    ]

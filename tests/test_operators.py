@@ -9,7 +9,7 @@ from edge_rows import row_set, rows
 from orderloom.operators.dedupe import distinct_values, first_appearance, keep_first
 from orderloom.operators.integrity import duplicate_key_count, duplicate_keys, orphan_keys, orphan_rows
 from orderloom.operators.lookup import MATCHED, left_lookup
-from orderloom.operators.rollup import measure_by, roll_up
+from orderloom.operators.rollup import measure_by, roll_up, sums_by_each
 from orderloom.operators.surrogate import dense_keys
 from orderloom.schemas import POSITION
 
@@ -90,3 +90,33 @@ def test_roll_up_keeps_all_null_sums_null(spark):
     dim = spark.createDataFrame([(1, "x")], "k int, city string")
     measures = {"n": F.count("q"), "units": F.sum("q")}
     assert rows(roll_up(measure_by(fact, ["k"], measures), dim, "k", ["city"], measures)) == [("x", 0, None)]
+
+
+def test_first_appearance_hashes_plain_minima(spark):
+    rows = spark.range(0, 3000, 1, 6).select(
+        (F.col("id") % 7).cast("string").alias("name"),
+        F.struct((9 - F.col("id") % 10).alias("part"), F.col("id").alias("row")).alias(POSITION),
+    )
+    rows = rows.withColumn("name", F.when(F.col("name") != "6", F.col("name")))
+    found = first_appearance(rows, "name")
+    assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
+    expected = {}
+    for i in range(3000):
+        if i % 7 != 6:
+            place = (9 - i % 10, i)
+            expected[str(i % 7)] = min(expected.get(str(i % 7), place), place)
+    assert {r["name"]: tuple(r[POSITION]) for r in found.collect()} == expected
+
+
+def test_sums_by_each_key_in_one_pass(spark):
+    rows = spark.range(200).select(
+        F.when(F.col("id") % 5 != 0, F.col("id") % 3).alias("a"),
+        (F.col("id") % 4).cast("string").alias("b"),
+        "id",
+    )
+    sums = sums_by_each(rows, ["a", "b"], {"n": F.count(F.lit(1)), "total": F.sum("id")})
+    assert sums._jdf.queryExecution().executedPlan().toString().count("Range") == 1
+    for key in ("a", "b"):
+        own = sums.where(F.col("grain") == key).select(key, "n", "total")
+        plain = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("total"))
+        assert sorted(map(str, own.collect())) == sorted(map(str, plain.collect()))

@@ -17,7 +17,7 @@ from orderloom.plans.checks import (
     null_links_of,
     summarize,
 )
-from orderloom.plans.issues import find_issues
+from orderloom.plans.issues import find_issues, issue_changes
 from orderloom.plans.job import run_pipeline
 from orderloom.plans.star import build_star, run_sql
 from orderloom.schemas import STAR_SCHEMAS
@@ -269,3 +269,71 @@ def test_null_category_stays_out_of_the_dimension(spark, tmp_path):
     assert row_set(star.DimProduct.select("ProductKey", "CategoryKey")) == [(1, None), (2, 1)]
     links = null_links_of(all_metrics(spark, star, find_issues(staged)))
     assert dict(rows(links))["null DimProduct.CategoryKey"] == 1
+
+
+REPORTS = [
+    reports.top_customers_by_orders,
+    reports.top_customers_with_city,
+    reports.order_distribution_by_city,
+    reports.city_revenue,
+    reports.monthly_order_trend,
+    reports.quarterly_revenue,
+    reports.sales_by_category,
+    reports.product_sales,
+    reports.top_products_by_quantity,
+    reports.payment_method_breakdown,
+    reports.status_distribution,
+    reports.headline_insights,
+    reports.stored_reports,
+]
+
+
+def plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_every_report_runs_on_the_sums_of_one_pass(mart, tmp_path):
+    summed = reports.summed_star(mart, str(tmp_path / "sums"))
+    for report in REPORTS:
+        assert rows(report(summed)) == rows(report(mart)), report.__name__
+    for name, frame in reports.all_reports(summed).items():
+        text = plan(frame)
+        assert "OrderKey" not in text and "grain" in text, name
+        assert "PartitionFilters: [isnotnull(grain" in text
+
+
+def test_stored_reports_carry_their_order(mart):
+    found = [r for r in reports.stored_reports(mart).collect()]
+    for name, frame in reports.all_reports(mart).items():
+        own = sorted((r for r in found if r["report"] == name), key=lambda r: r["rank"])
+        assert [r["rank"] for r in own] == list(range(1, frame.count() + 1))
+        first = {"monthly_order_trend": "MonthName", "sales_by_category": "CategoryName"}.get(name, frame.columns[0])
+        assert [r["label"] for r in own] == [r[first] for r in frame.collect()]
+
+
+def test_sql_text_leaves_the_session_as_it_was(spark, mart):
+    spark.range(3).createOrReplaceTempView("dimcustomer")
+    spark.catalog.dropTempView("FactOrder")
+    found = run_sql(spark, mart, "SELECT count(*) AS n FROM FactOrder JOIN DimCustomer USING (CustomerKey)")
+    assert spark.table("DimCustomer").columns == ["id"]
+    assert not spark.catalog.tableExists("FactOrder")
+    assert found.first()["n"] > 0
+    with pytest.raises(Exception, match="nothing"):
+        run_sql(spark, mart, "SELECT nothing FROM FactOrder")
+    assert spark.table("DimCustomer").columns == ["id"]
+    spark.catalog.dropTempView("dimcustomer")
+
+
+def test_issue_changes_count_null_keys_and_copies(spark):
+    schema = "entity string, rule string, key long, message string"
+    before = spark.createDataFrame([("orders", "DQ-4", 1, "a"), ("orders", "DQ-4", 1, "b"), ("orders", "DQ-5", None, "c"), ("products", "DQ-2", 3, "d")], schema)
+    after = spark.createDataFrame([("orders", "DQ-4", 1, "z"), ("orders", "DQ-5", None, "c"), ("orders", "DQ-4", 3, "e")], schema)
+    assert row_set(issue_changes(before, after)) == sorted(
+        [
+            ("orders", "DQ-4", 1, 2, 1, "kept"),
+            ("orders", "DQ-5", None, 1, 1, "kept"),
+            ("products", "DQ-2", 3, 1, 0, "gone"),
+            ("orders", "DQ-4", 3, 0, 1, "new"),
+        ],
+        key=repr,
+    )
