@@ -21,13 +21,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from orderloom.llm.bytehash import SliceHashes, mixed
-from orderloom.llm.common import ship, staged, whole_groups
+from orderloom.llm.common import BROADCAST_KEYS, ship, staged, whole_groups
 
 LONGEST = 5
 LEAST = 100
 TOP = 2000
 #: Words of the run of text that a task sums up at once.
-RUN_WORDS = 1_000_000
+RUN_WORDS = 600_000
 #: Positions of the filter of frequent pairs: 16 per pair, at most so many (32 MB). Beyond that
 #: it lets more suffixes through, which costs shuffles and loses nothing.
 MOST_POSITIONS = 2**28
@@ -307,6 +307,9 @@ def scored_phrases(counts: DataFrame, scale: int = 1000) -> DataFrame:
     firsts = part.select("lang", F.col("phrase").alias("first"), F.col("n").alias("l"))
     rests = part.select("lang", F.col("phrase").alias("rest"), F.col("n").alias("r"))
     totals = wide.where("words = 0").select("lang", "n")
+    # One row per language; a language may hold most phrases, which a shuffle by it would gather.
+    if totals.count() <= BROADCAST_KEYS:
+        totals = F.broadcast(totals)
     scored = (
         cut.join(firsts, ["lang", "first"])
         .join(rests, ["lang", "rest"])

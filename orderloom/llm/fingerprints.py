@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -13,6 +14,9 @@ from orderloom.llm.common import text_or_empty
 
 SAMPLES = 32
 ROWS_PER_BUCKET = 4096
+#: Buckets of the document order at most; beyond so many their rows grow, and the sorted
+#: buckets spill. The driver and the plan hold one number for each (0.5 MB).
+MOST_BUCKETS = 65_536
 _PART = 2**25  # a uniform number has 25 bits, or 28 where it is put together of two rests
 _ID_BITS = 23
 
@@ -100,16 +104,20 @@ def hexadecimal(signature: Column) -> Column:
     return F.array_join(F.transform(signature, lambda x: F.lpad(F.lower(F.hex(x)), 6, "0")), "")
 
 
+def _numbers(values: list) -> Column:
+    """One literal, however many numbers it holds."""
+    return F.lit(np.array(values, dtype=np.int64))
+
+
 def _bucket(key: Column, bounds: list[int]) -> Column:
     """How many of the ascending bounds are at most the key, found in two steps."""
     if not bounds:
         return F.lit(0)
     width = math.isqrt(len(bounds) - 1) + 1
-    blocks = [bounds[i : i + width] for i in range(0, len(bounds), width)]
-    firsts = F.array(*(F.lit(block[0]) for block in blocks))
-    table = F.array(*(F.array(*(F.lit(x) for x in block)) for block in blocks))
-    reached = F.size(F.filter(firsts, lambda x: x <= key))
-    inside = F.size(F.filter(F.element_at(table, reached), lambda x: x <= key))
+    table = _numbers(bounds)
+    reached = F.size(F.filter(_numbers(bounds[::width]), lambda x: x <= key))
+    block = F.slice(table, (reached - 1) * width + 1, F.lit(width))
+    inside = F.size(F.filter(block, lambda x: x <= key))
     return F.when(reached == 0, F.lit(0)).otherwise((reached - 1) * width + inside)
 
 
@@ -124,14 +132,15 @@ def with_next(docs: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFr
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     keyed = rows.where("doc_id IS NOT NULL")
     stats = rows.agg(F.count("doc_id").alias("n"), F.min("doc_id").alias("least")).first()
-    buckets = max(1, stats["n"] // rows_per_bucket)
+    buckets = max(1, min(MOST_BUCKETS, stats["n"] // rows_per_bucket))
     fractions = [i / buckets for i in range(1, buckets)]
     found = keyed.agg(F.percentile_approx("doc_id", fractions, max(10_000, 10 * buckets))).first()[0] if fractions else []
     bounds = sorted({x for x in found or [] if x > stats["least"]})
     own = _bucket(F.col("doc_id"), bounds)
     heads = [x for x in [stats["least"], *bounds] if x is not None]
+    first = _numbers(heads)
     before = F.when(own == 0, F.lit(len(bounds))).otherwise(own - 1)
-    is_head = F.exists(F.array(*(F.lit(x) for x in heads)), lambda x: x == F.col("doc_id")) if heads else F.lit(False)
+    is_head = F.col("doc_id") == F.get(first, own) if heads else F.lit(False)
     host = F.struct(own.alias("bucket"), F.lit(False).alias("guest"))
     guest = F.struct(before.alias("bucket"), F.lit(True).alias("guest"))
     dealt = keyed.select(

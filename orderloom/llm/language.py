@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,6 +23,10 @@ SLOTS = 2**21
 HASHES = 3
 #: At most so many documents of each language are learned from: the bound of the sample.
 SAMPLE_PER_LANGUAGE = 2000
+#: The floor of scores is taken from about so many held-out documents; of those that are named
+#: rightly, this share may lie below it.
+SAMPLE_HELD_OUT = 20_000
+LOST = 0.0005
 #: An n-gram belongs to a language if it is in two of its sampled documents at least, and in a
 #: share of them that reaches this part of the largest share in any language.
 PURITY = 0.1
@@ -95,21 +100,28 @@ def held_out(key: Column) -> Column:
 def learn(spark: SparkSession, labelled: DataFrame) -> Model:
     """A model from rows (doc_id, text, lang).
 
-    Of each language the SAMPLE_PER_LANGUAGE documents whose hashed doc_id is smallest
-    count; rows with a null in any of the three do not. Only bounded data reach the driver:
-    the sample's keys and the filters' bits, 64 positions to a row.
+    Of each language the SAMPLE_PER_LANGUAGE distinct documents with the smallest hash of
+    doc_id and text count; rows with a null in any of the three do not. Rows are first held
+    against a threshold that the number of the language's rows gives, so that a language or a
+    document that many rows share brings a bounded number of rows together. Only bounded data
+    reach the driver: rows per language and the filters' bits, 64 positions to a row.
     """
     ship(spark)
     complete = labelled.where("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL").select(
-        F.col("doc_id").alias("key"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")
+        F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), F.col("doc_id")
     )
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key")
-    keys = complete.select("key", "lang").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= SAMPLE_PER_LANGUAGE)
-    sample = staged(spark, complete.join(F.broadcast(keys.select("key", "lang").distinct()), ["key", "lang"]).select("lang", "text"))
+    rows = {row["lang"]: row["count"] for row in complete.groupBy("lang").count().collect()}
+    if not rows:
+        return Model([], np.zeros((SLOTS, 1), dtype=np.uint8), np.zeros(0))
+    share = F.create_map(*(F.lit(x) for lang, n in rows.items() for x in (lang, min(1.0, 2 * SAMPLE_PER_LANGUAGE / n))))
+    hashed = F.xxhash64("doc_id", "text")
+    below = F.pmod(hashed, F.lit(2**30)) < share[F.col("lang")] * 2**30
+    some = complete.where(below).select("lang", "text", hashed.alias("hash")).dropDuplicates(["lang", "hash"])
+    order = Window.partitionBy("lang").orderBy(F.pmod("hash", F.lit(2**30)), "hash")
+    ranked = some.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= SAMPLE_PER_LANGUAGE)
+    sample = staged(spark, ranked.select("lang", "text"))
     sizes = {row["lang"]: row["count"] for row in sample.groupBy("lang").count().collect()}
     languages = sorted(sizes)
-    if not languages:
-        return Model([], np.zeros((SLOTS, 1), dtype=np.uint8), np.zeros(0))
 
     def grams_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,14 +218,31 @@ def with_letters(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(letters, f"row {rows.schema['row'].dataType.simpleString()}").select("row.*")
 
 
+def least_score(spark: SparkSession, docs: DataFrame, model: Model) -> float:
+    """The score that all but the share LOST of rightly named held-out documents reach.
+
+    Of the held-out rows with text and lang, about SAMPLE_HELD_OUT distinct texts are scored. 0
+    where there are none.
+    """
+    labelled = docs.where(held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    count = labelled.count()
+    below = F.pmod(F.xxhash64("text", F.lit(7)), F.lit(2**30)) < math.ceil(min(1.0, SAMPLE_HELD_OUT / max(count, 1)) * 2**30)
+    some = labelled.where(below).select(F.col("lang").cast("string").alias("lang"), "text").distinct()
+    right = identify(spark, some, model).where(F.col("row.lang") == F.col("lang_pred"))
+    return right.agg(F.percentile_approx("score", LOST, 100_000)).first()[0] or 0.0
+
+
 def drop_unknown(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The documents whose text has letters, their columns as they came.
+    """The documents of a learned language, their columns as they came.
 
-    The model is learned from the rows that carry a `lang`; what it rejects are documents of
-    no language at all, so that a clean document is never lost to a low score. Where no row
-    can be learned from, letters alone decide.
+    The model is learned from the rows that carry a `lang` and are not held out; held-out rows
+    give the `least_score`. Rejected are texts without letters and those whose score is below it:
+    too few of their n-grams are known in any language. Where no row can be learned from,
+    letters alone decide.
     """
-    model = learn(spark, docs)
+    model = learn(spark, docs.where(~held_out(F.col("doc_id"))))
     if not model.languages:
         return with_letters(spark, docs)
-    return identify(spark, docs, model).where(F.col("lang_pred") != UNKNOWN).select("row.*")
+    least = least_score(spark, docs, model)
+    kept = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)
+    return identify(spark, docs, model).where(kept).select("row.*")

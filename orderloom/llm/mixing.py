@@ -40,8 +40,8 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
 
 
 def uniform(key: Column, seed: int) -> Column:
-    """A number in [0, 1) that depends on the key's text and the seed alone."""
-    name = F.concat(F.coalesce(key.cast("string"), F.lit("null")), F.lit(f":{seed}"))
+    """A number in [0, 1) that depends on the key's text, which is not null, and the seed alone."""
+    name = F.concat(key.cast("string"), F.lit(f":{seed}"))
     return F.conv(F.substring(F.md5(name.cast("binary")), 1, 8), 16, 10).cast("long") / F.lit(float(2**32))
 
 
@@ -51,17 +51,24 @@ def with_copies(
     """Rows (row, size, source_size, target, copies): `row` is the document as a struct.
 
     `copies` is the whole part of target / source_size, plus one if the document's draw
-    is below the fraction. The draw depends on doc_id and seed, so reruns agree; rows
-    without doc_id share one draw, repeated rows draw alike. A null text has size 0, and a source of size 0 is
-    taken 0 times. Documents of one source are never brought together: sizes are summed
+    is below the fraction. The draw depends on doc_id and seed, so reruns agree. A row without
+    doc_id draws by its text's hash and its place in the table, so that such rows too come near
+    their target; rows that repeat a doc_id draw alike. A null text has size 0, and a source of
+    size 0 is taken 0 times. Documents of one source are never brought together: sizes are summed
     in each map task and a source's target comes back by a join.
     """
-    rows = docs.select(F.struct("*").alias("row"), word_count(F.col("text")).alias("size"), F.col("source"))
+    nameless = F.concat(F.lit("text:"), F.xxhash64("text"), F.lit(":"), F.monotonically_increasing_id())
+    rows = docs.select(
+        F.struct("*").alias("row"),
+        word_count(F.col("text")).alias("size"),
+        F.col("source"),
+        F.coalesce(F.col("doc_id").cast("string"), nameless).alias("key"),
+    )
     sizes = staged(spark, docs.select("source", word_count(F.col("text")).alias("size")).groupBy("source").agg(F.sum("size").alias("size")))
     targets = source_targets(sizes, weights, most).withColumnRenamed("source", "of")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     joined = rows.join(targets, F.col("source").eqNullSafe(F.col("of")))
-    drawn = uniform(F.col("row.doc_id"), seed) < rate - F.floor(rate)
+    drawn = uniform(F.col("key"), seed) < rate - F.floor(rate)
     copies = (F.floor(rate) + drawn.cast("int")).cast("int")
     return joined.select("row", "size", "source_size", "target", copies.alias("copies"))
 

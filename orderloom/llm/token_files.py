@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +20,9 @@ from orderloom.llm.tokens import chunks, default_vocabulary, encoder
 LENGTH = 1024
 ROWS_PER_BATCH = 64
 
-FILES = "part int, path string, documents long, ids long"
+#: `batches` holds where in the file each batch of ROWS_PER_BATCH sequences begins; the last may
+#: have fewer, and the one before it too, since the rest of a file is padded apart.
+FILES = "part int, path string, documents long, ids long, batches array<struct<offset:long,first:long,rows:int>>"
 
 
 def _schema(length: int, id_type: pa.DataType) -> pa.Schema:
@@ -48,7 +51,8 @@ class _Writer:
         self._docs = pa.ipc.new_stream(self._files[1], self._docs_schema)
         self._rest: list[np.ndarray] = []
         self._ends: list[np.ndarray] = []
-        self.documents = self.ids = 0
+        self.batches: list[dict[str, int]] = []
+        self.documents = self.ids = self._rows = 0
 
     def add(self, doc_ids: list[int | None], encoded: list[bytes]) -> None:
         """Append whole documents; full batches go to the file at once."""
@@ -76,6 +80,8 @@ class _Writer:
     def _write(self, ids: np.ndarray, ends: np.ndarray, real: int) -> None:
         mask = np.arange(len(ids)) < real
         arrays = [_lists(x, self._length) for x in (ids, mask, ends)]
+        self.batches.append({"offset": self._files[0].tell(), "first": self._rows, "rows": len(arrays[0])})
+        self._rows += len(arrays[0])
         self._ids.write_batch(pa.record_batch(arrays, schema=self._schema))
 
     def close(self) -> str:
@@ -127,16 +133,55 @@ def write_token_files(
                 writer.add(ids[at : at + len(texts)], [data + end for data in encode(texts)])
                 at += len(texts)
         if writer:
-            row = {"part": [task.partitionId()], "path": [writer.close()], "documents": [writer.documents], "ids": [writer.ids]}
-            yield pa.RecordBatch.from_pydict(
-                row, schema=pa.schema([("part", pa.int32()), ("path", pa.string()), ("documents", pa.int64()), ("ids", pa.int64())])
-            )
+            place = pa.struct([("offset", pa.int64()), ("first", pa.int64()), ("rows", pa.int32())])
+            names = {"part": pa.int32(), "path": pa.string(), "documents": pa.int64(), "ids": pa.int64(), "batches": pa.list_(place)}
+            values = (task.partitionId(), writer.close(), writer.documents, writer.ids, writer.batches)
+            yield pa.RecordBatch.from_arrays([pa.array([v], kind) for v, kind in zip(values, names.values(), strict=True)], list(names))
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     # Not by the text itself: the sort samples its keys, which must stay short.
     return staged(spark, rows.orderBy("doc_id", F.xxhash64("text")).mapInArrow(write, FILES))
 
 
+class Sequences:
+    """Sequences of one file by their number, without reading what is before them or copying.
+
+    `batches` is the file's entry in FILES. A file on a local disk is mapped into memory and the
+    arrays that `ids` and `mask` return are views of the mapping; from another store only the
+    one batch is read.
+    """
+
+    def __init__(self, path: str, batches: list, folder: str = "file:///"):
+        fs, _ = pa.fs.FileSystem.from_uri(folder)
+        self._file = pa.memory_map(path) if isinstance(fs, pa.fs.LocalFileSystem) else fs.open_input_file(path)
+        self._schema = pa.ipc.open_stream(self._file).schema
+        self._offsets = [at["offset"] for at in batches]
+        self._firsts = [at["first"] for at in batches]
+        self._count = self._firsts[-1] + batches[-1]["rows"] if batches else 0
+
+    def __len__(self) -> int:
+        return self._count
+
+    def _column(self, sequence: int, name: str) -> pa.Array:
+        if not 0 <= sequence < self._count:
+            raise IndexError(f"sequence {sequence} of {self._count}")
+        at = bisect_right(self._firsts, sequence) - 1
+        self._file.seek(self._offsets[at])
+        message = pa.ipc.read_message(self._file)
+        if message.type == "schema":  # stands before a file's first batch
+            message = pa.ipc.read_message(self._file)
+        lists = pa.ipc.read_record_batch(message, self._schema).column(name)
+        length = lists.type.list_size
+        return lists.values.slice((sequence - self._firsts[at]) * length, length)
+
+    def ids(self, sequence: int) -> np.ndarray:
+        return self._column(sequence, "input_ids").to_numpy(zero_copy_only=True)
+
+    def mask(self, sequence: int) -> pa.BooleanArray:
+        """Which ids are real, one bit each as the file has them."""
+        return self._column(sequence, "attention_mask")
+
+
 def read_token_files(files: DataFrame, folder: str) -> DataFrame:
     """Rows (doc_id, start, n_tokens, ids_crc32) of all documents in the files, read batch by batch.
 

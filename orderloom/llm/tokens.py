@@ -25,11 +25,12 @@ def default_vocabulary() -> str:
 
 
 class Encoder:
-    """Ids of whole texts, without special tokens; strings of special tokens are plain text.
+    """Ids of whole texts as the tokenizers library gives them; no special token is added.
 
     Byte-level BPE encodes each piece of its split pattern alone, and every blank that
     stands alone starts a piece. So a text is cut at its blanks and each distinct part is
-    encoded once and remembered. Texts with runs of white space go to the tokenizer whole.
+    encoded once and remembered. Texts with runs of white space go to the tokenizer whole, and
+    so do texts that hold an added token, such as an end marker, since that is matched first.
     """
 
     def __init__(self, path: str):
@@ -37,7 +38,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        self._added = [token.content for token in self._tokenizer.get_added_tokens_decoder().values() if token.content]
         self._tokenizer.model._resize_cache(0)  # the memo below stands in for it
         self.size = size = self._tokenizer.get_vocab_size()
         blank = self._tokenizer.encode(" ", add_special_tokens=False).tokens[0]
@@ -53,6 +54,10 @@ class Encoder:
         """Remember the ids of each part with a blank before it."""
         for begin in range(0, len(parts), PARTS_AT_ONCE):
             some = parts[begin : begin + PARTS_AT_ONCE]
+            if any(token in " " + " ".join(some) for token in self._added):
+                # Parts of different texts would make up an added token.
+                self._memo.update((part, self._whole(" " + part)) for part in some)
+                continue
             ids = np.frombuffer(self._whole(" " + " ".join(some)), dtype="<u4")
             cuts = np.flatnonzero(self._starts[ids])
             if len(cuts) != len(some):
@@ -69,7 +74,7 @@ class Encoder:
         parts: list[str] = []
         firsts, whole, ends = [], [], []
         for text in texts:
-            if _BLANK_RUN.search(text):
+            if _BLANK_RUN.search(text) or any(token in text for token in self._added):
                 firsts.append("")
                 whole.append(self._whole(text))
             else:

@@ -122,6 +122,41 @@ def test_chat(spark):
     assert chat.conversations(table.limit(0)).count() == 0
 
 
+def rendered(turns):
+    return "".join(f"<|{role}|>\n{text}\n" for role, text in turns)
+
+
+def test_preferences_split_where_the_turns_do(spark):
+    """Early splits, a side that is a prefix of the other, several completions, empty sides."""
+    talk = [("user", "q"), ("assistant", "a1"), ("user", "why"), ("assistant", "a2"), ("assistant", "a3")]
+    pairs = [
+        (talk, [("user", "other")] + talk[1:]),
+        (talk, talk[:2]),
+        (talk[:2], talk),
+        (talk, talk),
+        (talk, talk[:1] + [("assistant", "b1"), ("assistant", "b2"), ("user", "x"), ("assistant", "b3")]),
+        ([], talk),
+        (None, talk[:2]),
+    ]
+    schema = "pair_id long, chosen array<struct<role:string,text:string>>, rejected array<struct<role:string,text:string>>"
+    table = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], schema)
+    found = {r.pair_id: r for r in chat.format_preferences(table).collect()}
+    for i, (chosen, rejected) in enumerate(pairs):
+        chosen, rejected = chosen or [], rejected or []
+        if i not in found:
+            continue
+        shared = 0
+        while shared < min(len(chosen), len(rejected)) and chosen[shared] == rejected[shared]:
+            shared += 1
+        r = found[i]
+        assert (r.shared_turns, r.prompt) == (shared, rendered(chosen[:shared]))
+        for side, text, mask in ((chosen, r.chosen, r.chosen_mask), (rejected, r.rejected, r.rejected_mask)):
+            assert text == rendered(side[shared:])
+            said = "".join(text[m[0] : m[0] + m[1]] for m in mask)
+            assert said == "".join(f"{t}\n" for role, t in side[shared:] if role == "assistant")
+    assert len(found) >= 6
+
+
 def test_fingerprints(spark, docs, none):
     rows = fingerprints.fingerprint_documents(spark, docs).collect()
     assert len(rows) == len(ROWS)
@@ -137,6 +172,62 @@ def test_fingerprints(spark, docs, none):
     assert fingerprints.fingerprint_documents(spark, none).count() == 0
 
 
+def test_fingerprints_estimate_generalised_jaccard(spark):
+    """Shares of equal samples against min-sum / max-sum of the word counts; next to next."""
+    random = np.random.default_rng(9)
+    texts = [" ".join(random.choice([f"w{i}" for i in range(40)], 160)) for _ in range(150)]
+    rows = fingerprints.fingerprint_documents(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+
+    def alike(one, two):
+        a, b = Counter(one.split()), Counter(two.split())
+        return sum((a & b).values()) / sum((a | b).values())
+
+    errors = []
+    for r in rows:
+        text, following = texts[r.doc_id], texts[(r.doc_id + 1) % 150]
+        quarter = len(text) // 4
+        edited = text[: len(text) - quarter] + following[:quarter]
+        errors += [r.near_next - alike(text, following), r.near_edited - alike(text, edited)]
+    assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.1
+
+
+@pytest.mark.parametrize("most", [3, 65_536])
+def test_document_order_in_few_buckets(spark, monkeypatch, most):
+    monkeypatch.setattr(fingerprints, "MOST_BUCKETS", most)
+    random = np.random.default_rng(10)
+    ids = sorted(set(random.integers(-(2**40), 2**40, 300).tolist()) | set(range(50)))
+    table = spark.createDataFrame([(i, f"t{i}") for i in ids], "doc_id long, text string").repartition(5)
+    rows = fingerprints.with_next(table, rows_per_bucket=20).where("NOT guest").collect()
+    assert len({r.bucket for r in rows}) == (3 if most == 3 else max(1, len(ids) // 20))
+    assert {r.doc_id: r.next_text for r in rows} == {a: f"t{b}" for a, b in zip(ids, ids[1:] + ids[:1], strict=True)}
+
+
+def test_pieces_hold_the_ids_of_the_library(spark, docs):
+    from tokenizers import Tokenizer
+
+    from orderloom.llm.tokens import default_vocabulary
+
+    plain = Tokenizer.from_file(default_vocabulary())
+    extra = [(50 + i, "some more words here " * (40 * i + 1), "en", "a", 0, None, None) for i in range(30)]
+    rows = packing.pack_documents(spark, docs.unionByName(spark.createDataFrame(extra, SCHEMA))).collect()
+    ids = Counter()
+    for row in ROWS + extra:
+        ids[row[0], np.array([*plain.encode(row[1] or "", add_special_tokens=False).ids, 0], dtype="<u4").tobytes()] += 1
+    starts = Counter()
+    for r in rows:
+        options = [data for key, data in ids if key == r.doc_id and len(data) == 4 * r.doc_tokens]
+        assert any(zlib.crc32(data[4 * r.start : 4 * (r.start + r.length)]) == r.ids_crc32 for data in options)
+        starts[r.doc_id, r.start, r.length] += 1
+    for (key, data), times in ids.items():
+        covered = sorted((start, length) for (own, start, length), n in starts.items() if own == key and start + length <= len(data) // 4 and n >= times)
+        assert covered and covered[0][0] == 0
+    used = Counter()
+    for r in rows:
+        used[r.sequence_id] += r.length
+    padded = sum(packing.WINDOW if n & (n - 1) else n for n in used.values())
+    assert sum(used.values()) / padded > 0.9
+
+
 def test_packing(spark, docs, none):
     rows = packing.pack_documents(spark, docs).collect()
     sequences = {}
@@ -267,6 +358,68 @@ def test_language(spark, docs, none):
     assert {r.doc_id for r in language.drop_unknown(spark, docs).collect()} == {2, 3, 4, 5, 6, 8, None}
 
 
+def grams_of(text, width=language.NGRAM):
+    data = b"  " + bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in text.lower().encode()) + b"  "
+    return [data[i : i + width] for i in range(len(data) - width + 1)]
+
+
+def test_the_filter_answers_like_exact_sets(spark):
+    """Every n-gram of an exact set is found in its language's filter; few others are."""
+    random = np.random.default_rng(3)
+    words = {lang: ["".join(random.choice(list(letters), 6)) for _ in range(80)] for lang, letters in (("aa", "abcdefgh"), ("bb", "efghijkl"), ("cc", "mnopqrst"))}
+    rows = [(i, " ".join(random.choice(words[lang], 40)), lang) for i, lang in enumerate(["aa", "bb", "cc"] * 30)]
+    model = language.learn(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    sets = {}
+    for lang in words:
+        docs_of = [set(grams_of(t)) for _, t, own in rows if own == lang]
+        count = Counter(g for d in docs_of for g in d)
+        sets[lang] = {g: n / len(docs_of) for g, n in count.items() if n >= 2}
+    every = set().union(*sets.values())
+    exact = {
+        lang: {g for g in own if own[g] >= language.PURITY * max(s.get(g, 0) for s in sets.values())} for lang, own in sets.items()
+    }
+    values = {g: np.array([int.from_bytes(g, "little")], dtype=np.uint64) for g in every}
+    wrong = asked = 0
+    for g, value in values.items():
+        slots = language._slots(language.mixed(value))
+        bits = model.table[slots[0][0]] & model.table[slots[1][0]] & model.table[slots[2][0]]
+        for i, lang in enumerate(model.languages):
+            said = bool((bits[i // 8] >> (i % 8)) & 1)
+            assert said or g not in exact[lang]
+            asked += g not in exact[lang]
+            wrong += said and g not in exact[lang]
+    assert wrong <= 0.01 * asked + 2
+    for _, text, lang in rows[:20]:
+        found, score = model.predict([text])
+        shares = {x: sum(g in exact[x] for g in grams_of(text)) / len(grams_of(text)) for x in exact}
+        assert found == [max(shares, key=shares.get)] and abs(score[0] - max(shares.values())) < 0.02
+
+
+def test_one_document_in_a_third_of_the_rows_does_not_make_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE_PER_LANGUAGE", 50)
+    gathered = []
+
+    def recorded(session, rows):
+        gathered.append(staged(session, rows))
+        return gathered[-1]
+
+    monkeypatch.setattr(language, "staged", recorded)
+    rows = [(i, f"text number {i} of the house", "en") for i in range(2000)] + [(7, "hot copy of the garden", "en")] * 1000
+    language.learn(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    texts = [r.text for r in gathered[0].collect()]
+    assert len(texts) == len(set(texts)) and 40 <= len(texts) <= 50
+
+
+def test_texts_of_no_language_go(spark):
+    random = np.random.default_rng(4)
+    words = ["".join(random.choice(list("abcdefgh"), 5)) for _ in range(60)]
+    rows = [(i, " ".join(random.choice(words, 30)), "en") for i in range(800)]
+    strange = [(1000 + i, " ".join("".join(random.choice(list("uvwxyz"), 7)) for _ in range(30)), None) for i in range(20)]
+    table = spark.createDataFrame(rows + strange + [(2000, "12 34", "en")], "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in language.drop_unknown(spark, table).collect()}
+    assert not kept & {i for i, *_ in strange} and 2000 not in kept and len(kept) >= 798
+
+
 @pytest.mark.parametrize("missing", ["lang", "doc_id"])
 def test_unlabelled_documents_stay(spark, docs, missing):
     bare = docs.withColumn(missing, F.lit(None).cast(docs.schema[missing].dataType))
@@ -288,7 +441,6 @@ def test_token_files(spark, docs, none):
     from orderloom.llm.tokens import default_vocabulary
 
     plain = Tokenizer.from_file(default_vocabulary())
-    plain.encode_special_tokens = True
     expected = Counter()
     for row in ROWS:
         ids = np.array([*plain.encode(row[1] or "", add_special_tokens=False).ids, 2], dtype="<u4")
@@ -298,6 +450,56 @@ def test_token_files(spark, docs, none):
     assert token_files.read_token_files(token_files.write_token_files(spark, none, empty), empty).count() == 0
 
 
+def test_sequences_at_random_are_views_of_the_file(spark, docs, monkeypatch):
+    monkeypatch.setattr(token_files, "ROWS_PER_BATCH", 3)
+    target = scratch_uri(spark)
+    files = token_files.write_token_files(spark, docs, target, length=64).collect()
+    import pyarrow as pa
+
+    for file in files:
+        with pa.memory_map(file.path) as mapped:
+            table = pa.ipc.open_stream(mapped).read_all()
+        found = token_files.Sequences(file.path, file.batches)
+        assert len(found) == table.num_rows and sum(table.column("attention_mask")[i].as_py().count(True) for i in range(len(found))) == file.ids
+        base = found._file
+        base.seek(0)
+        whole = base.read_buffer()
+        for i in np.random.default_rng(1).permutation(len(found)).tolist():
+            before = pa.total_allocated_bytes()
+            ids, mask = found.ids(i), found.mask(i)
+            assert pa.total_allocated_bytes() - before < 2 * 64
+            assert ids.tolist() == table.column("input_ids")[i].as_py()
+            assert mask.to_pylist() == table.column("attention_mask")[i].as_py()
+            for address in (ids.ctypes.data, mask.buffers()[1].address):
+                assert whole.address <= address < whole.address + whole.size
+        with pytest.raises(IndexError):
+            found.ids(len(found))
+
+
+def test_added_tokens_read_as_the_library_reads_them():
+    from tokenizers import Tokenizer
+
+    from orderloom.llm.tokens import default_vocabulary, encoder
+
+    plain = Tokenizer.from_file(default_vocabulary())
+    texts = ["x <|endoftext|> y", "<|endoftext|>", "a<|endoftext|>b c  d", "<|endof text|>", "plain words here", "", " lead", "trail ", "é漢 \n\t z"]
+    texts += [" ".join(np.random.default_rng(i).choice(["<|endoftext|>", "a", "bc", " ", "d\n", "é"], 12)) for i in range(200)]
+    for text, ids in zip(texts, encoder(default_vocabulary()).encode(texts), strict=True):
+        assert np.frombuffer(ids, dtype="<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, text
+
+
+@pytest.mark.parametrize("ids", [True, False])
+def test_mixing_comes_near_its_targets(spark, ids):
+    rows = [(i if ids else None, "word " * (1 + i % 7), f"s{i % 3}") for i in range(3000)]
+    found = mixing.mix_digest(spark, spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert len(found) == 3000 and all(r.taken <= 3 * r.size for r in found)
+    for target in {r.target for r in found}:
+        taken = sum(r.taken for r in found if r.target == target)
+        assert abs(taken - target) <= 0.1 * target
+    again = mixing.mix_digest(spark, spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert Counter(map(tuple, again)) == Counter(map(tuple, found))
+
+
 def test_mixing(spark, docs, none):
     rows = mixing.mix_digest(spark, docs).collect()
     assert len(rows) == len(ROWS)
