@@ -127,7 +127,10 @@ class _Join:
 
         source = self._firsts.select("place", "mins")
         if rows is not None:
-            source = source.join(rows.select("node", "place").hint("merge"), "place").select("place", "mins", "node")
+            # Few documents are in large nodes; the minwise values of the others stay where they are.
+            own = rows.select("node", "place")
+            keys = staged(self._spark, own.select("place").distinct())
+            source = picked(source, keys, "place").join(own.hint("merge"), "place").select("place", "mins", "node")
         return source.mapInArrow(branch, "node long, place long, s1 long, s2 long")
 
     def _with_component(self, rows: DataFrame) -> DataFrame:
