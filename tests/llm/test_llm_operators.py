@@ -202,6 +202,40 @@ def test_document_order_in_few_buckets(spark, monkeypatch, most):
     assert {r.doc_id: r.next_text for r in rows} == {a: f"t{b}" for a, b in zip(ids, ids[1:] + ids[:1], strict=True)}
 
 
+@pytest.mark.parametrize("crowded", [(7,), (-3,), (99,), (7, 8), (7, -3, 99)])
+def test_crowded_ids_are_dealt_over_buckets(spark, crowded):
+    """Ids that many rows share, one of their texts often, against the order sorted as a whole."""
+    random = np.random.default_rng(12)
+    rows = [(i, f"plain text {i} of its own kind") for i in range(0, 60, 2)]
+    for key in crowded:
+        rows += [(key, f"crowd {key} says {i} and {i * i} here") for i in range(90)]
+        rows += [(key, "the same words over and over again")] * 70 + [(key, None)] * 3
+    table = spark.createDataFrame([rows[i] for i in random.permutation(len(rows))], "doc_id long, text string").repartition(6)
+    ordered = sorted(
+        ((key, text or "") for key, text in rows),
+        key=lambda r: (r[0], np.uint64(xxhash.xxh64_intdigest(r[1].encode(), 42)).astype(np.int64)),
+    )
+    expected = Counter()
+    for (key, text), (_, following) in zip(ordered, ordered[1:] + ordered[:1], strict=True):
+        quarter = len(text) // 4
+        edited = (text[: len(text) - quarter] + following[:quarter]).encode()
+        expected[key, len(text), hashlib.sha256(edited).hexdigest(), text == following] += 1
+    found = fingerprints.fingerprint_documents(spark, table, rows_per_bucket=20).collect()
+    # Different words may agree in all of 32 samples only by being the same words in this table.
+    assert Counter((r.doc_id, r.n_chars, r.edited_sha256, r.near_next == 1.0) for r in found) == expected
+    sizes = Counter(r.bucket for r in fingerprints.with_next(table, rows_per_bucket=20).collect())
+    assert len(sizes) > 4 and max(sizes.values()) < 60
+    whole = fingerprints.fingerprint_documents(spark, table, rows_per_bucket=10**6).collect()
+    assert sorted(map(tuple, whole), key=str) == sorted(map(tuple, found), key=str)
+
+
+def test_one_id_for_all(spark):
+    table = spark.createDataFrame([(5, "always the same text")] * 100 + [(5, "another")], "doc_id long, text string")
+    rows = fingerprints.fingerprint_documents(spark, table.repartition(5), rows_per_bucket=10).collect()
+    assert Counter(r.n_chars for r in rows) == {20: 100, 7: 1}
+    assert sum(r.near_next == 1.0 for r in rows) == 99
+
+
 def test_pieces_hold_the_ids_of_the_library(spark, docs):
     from tokenizers import Tokenizer
 
