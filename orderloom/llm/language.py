@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 
 from orderloom.llm.bytehash import mixed
 from orderloom.llm.common import ship, staged
-from orderloom.llm.tokens import chunks
+from orderloom.llm.tokens import chunks, forget
 
 UNKNOWN = "und"
 NGRAM = 5  # bytes
@@ -124,6 +124,7 @@ def learn(spark: SparkSession, labelled: DataFrame) -> Model:
     languages = sorted(sizes)
 
     def grams_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             for lang in batch.column(0).unique().to_pylist():
                 seen = []
@@ -179,6 +180,7 @@ def identify(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
     shared = spark.sparkContext.broadcast(model)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             langs, scores = [], []
             for texts in chunks(batch.column(1)):

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from orderloom.llm.bytehash import mixed
 from orderloom.llm.common import connected, contracted, lowest_reached, picked, ship, staged, whole_groups
 from orderloom.llm.shingles import MINS, minwise, set_key, shingle_sets, sketches
-from orderloom.llm.tokens import chunks
+from orderloom.llm.tokens import chunks, forget
 
 TREES = 25
 #: A node up to this size is small: its pairs are compared.
@@ -75,6 +75,7 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
     """Each document as `row` with size, key and minwise values of its set."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             sizes, ones, twos, mins = [], [], [], []
             for texts in chunks(batch.column(1)):

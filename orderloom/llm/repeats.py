@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from orderloom.llm.bytehash import SliceHashes, mixed, sliding_min
 from orderloom.llm.common import picked, ship, staged, text_or_empty, whole_groups
+from orderloom.llm.tokens import forget
 
 WINDOW = 200
 ANCHOR = 48
@@ -70,6 +71,7 @@ def _bytes_of(column: pa.Array) -> Iterator[bytes]:
 
 def _all_runs(texts: DataFrame, window: int) -> DataFrame:
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             found: list[list[np.ndarray]] = [[], [], [], []]
             size = 0

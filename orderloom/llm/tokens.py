@@ -104,6 +104,16 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+def forget() -> None:
+    """Give back the memory that encoders of an earlier step hold in this process.
+
+    Spark keeps Python workers for the next steps of a session, which need their own memory.
+    """
+    if _encoders:
+        _encoders.clear()
+        pa.default_memory_pool().release_unused()
+
+
 def chunks(texts: pa.Array, most_chars: int = 1_000_000) -> Iterator[list[str]]:
     """The texts in order, null as empty, in lists of about so many characters.
 

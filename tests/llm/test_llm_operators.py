@@ -236,6 +236,16 @@ def test_one_id_for_all(spark):
     assert sum(r.near_next == 1.0 for r in rows) == 99
 
 
+def test_encoders_are_forgotten_and_built_again():
+    from orderloom.llm import tokens
+
+    path = tokens.default_vocabulary()
+    before = tokens.encoder(path).encode(["some words, twice some words"])
+    tokens.forget()
+    assert not tokens._encoders
+    assert tokens.encoder(path).encode(["some words, twice some words"]) == before
+
+
 def test_pieces_hold_the_ids_of_the_library(spark, docs):
     from tokenizers import Tokenizer
 
