@@ -3,7 +3,9 @@
 Every tree of the join starts at a minwise value of each document; a node then chooses a few
 other minwise values, by a hash of the node, and sends each of its documents to one child per
 choice, named by the document's value. Alike documents make alike choices. Small nodes are
-compared exhaustively, large ones branch on; independent trees raise the recall.
+compared exhaustively, large ones branch on. Independent trees are repeated until a pair at the
+threshold meets with the target recall at the depth reached: documents of nodes that have to
+branch deeper get more trees.
 
 Nodes of many near copies never fall apart by branching. So each node first compares all its
 documents with one of them, confirmed links join into components, and from then on only pairs
@@ -26,7 +28,8 @@ from orderloom.llm.common import connected, contracted, lowest_reached, picked,
 from orderloom.llm.shingles import MINS, minwise, set_key, shingle_sets, sketches
 from orderloom.llm.tokens import chunks, forget
 
-TREES = 25
+#: Chance that a pair just similar enough meets in some tree; gives the number of trees.
+RECALL = 0.9999
 #: A node up to this size is small: its pairs are compared.
 SMALL = 256
 #: Nodes that are still large at this depth are compared in pairs of blocks, however many.
@@ -48,23 +51,41 @@ def _most_children(similarity: float) -> np.ndarray:
     return np.cumsum(chances)
 
 
-def _children(nodes: np.ndarray, mins: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """(row, child node) for each child that a row's node sends the row's document to."""
+def trees_for(depth: int, similarity: float) -> int:
+    """Trees in which a pair of this similarity meets, `depth` choices deep, with a chance of RECALL;
+    MINS at most, since every tree starts at another minwise value.
+
+    Given its share of equal minwise values, which is binomial, a pair meets at a root with that
+    chance; the children that a node sends both to are Poisson, with mean share / similarity.
+    """
+    equal = np.arange(MINS + 1)
+    ways = np.array([float(math.comb(MINS, i)) for i in range(MINS + 1)])
+    weight = ways * similarity**equal * (1 - similarity) ** (MINS - equal)
+    share = equal / MINS
+    together = np.ones(MINS + 1)
+    for _ in range(depth - 1):
+        together = 1 - np.exp(-share / similarity * together)
+    missed = 1 - share * together
+    return next((n for n in range(1, MINS) if (weight * missed**n).sum() <= 1 - RECALL), MINS)
+
+
+def _children(nodes: np.ndarray, owner: np.ndarray, mins: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """(owner, child node) for each child that a node sends its document, a row of `mins`, to."""
     chance = (mixed(nodes ^ np.uint64(0x5851F42D4C957F2D)) >> np.uint64(11)).astype(np.float64) / 2**53
     count = np.searchsorted(_most_children(similarity), chance)
     row = np.repeat(np.arange(len(nodes)), count)
     nth = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
     chosen = mixed(nodes[row] + (nth.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
     coordinate = (chosen >> np.uint64(40)).astype(np.int64) % MINS
-    value = mins[row, coordinate].astype(np.uint64)
-    return row, mixed(chosen + value * np.uint64(0xC2B2AE3D27D4EB4F))
+    value = mins[owner[row], coordinate].astype(np.uint64)
+    return owner[row], mixed(chosen + value * np.uint64(0xC2B2AE3D27D4EB4F))
 
 
-def _roots(mins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, node) of each tree's first choice: tree t takes minwise value t."""
-    tree = np.arange(TREES, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)
-    nodes = mixed(mins[:, :TREES].astype(np.uint64) + (tree << np.uint64(1)))
-    return np.repeat(np.arange(len(mins)), TREES), nodes.ravel()
+def _roots(mins: np.ndarray, trees: range) -> tuple[np.ndarray, np.ndarray]:
+    """(owner, node) of each tree's first choice: tree t takes minwise value t."""
+    tree = np.array(trees, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)
+    nodes = mixed(mins[:, trees.start : trees.stop].astype(np.uint64) + (tree << np.uint64(1)))
+    return np.repeat(np.arange(len(mins)), len(trees)), nodes.ravel()
 
 
 def _mins_of(column: pa.Array) -> np.ndarray:
@@ -106,33 +127,40 @@ class _Join:
         self._most = math.ceil(MINS * chance + 4.5 * math.sqrt(MINS * chance * (1 - chance)))
         self.roots: DataFrame | None = None
 
-    def _branch(self, rows: DataFrame | None) -> DataFrame:
-        """Rows (node, place, s1, s2): children of the nodes, or the second level of all trees."""
+    def _walk(self, source: DataFrame, steps: int, trees: range = range(0)) -> DataFrame:
+        """Rows (node, place, s1, s2), so many choices below the nodes of rows (place, mins, node),
+        or below the roots of `trees` for rows (place, mins)."""
         similarity = self._similarity
 
-        def branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for begin in range(0, batch.num_rows, 2000):
                     part = batch.slice(begin, 2000)
                     mins, place = _mins_of(part.column(1)), part.column(0).to_numpy()
                     if part.num_columns > 2:
-                        row, nodes = np.arange(len(mins)), part.column(2).to_numpy().view(np.uint64)
+                        owner, nodes = np.arange(len(mins)), part.column(2).to_numpy().view(np.uint64)
                     else:
-                        row, nodes = _roots(mins)
-                    at, child = _children(nodes, mins[row], similarity)
-                    sketch = sketches(mins)[row[at]]
+                        owner, nodes = _roots(mins, trees)
+                    for _ in range(steps):
+                        owner, nodes = _children(nodes, owner, mins, similarity)
+                    sketch = sketches(mins)[owner]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(x) for x in (child.view(np.int64), place[row[at]], sketch[:, 0].copy(), sketch[:, 1].copy())],
+                        [pa.array(x) for x in (nodes.view(np.int64), place[owner], sketch[:, 0].copy(), sketch[:, 1].copy())],
                         ["node", "place", "s1", "s2"],
                     )
 
-        source = self._firsts.select("place", "mins")
-        if rows is not None:
-            # Few documents are in large nodes; the minwise values of the others stay where they are.
-            own = rows.select("node", "place")
-            keys = staged(self._spark, own.select("place").distinct())
-            source = picked(source, keys, "place").join(own.hint("merge"), "place").select("place", "mins", "node")
-        return source.mapInArrow(branch, "node long, place long, s1 long, s2 long")
+        return source.mapInArrow(walk, "node long, place long, s1 long, s2 long")
+
+    def _deeper(self, rows: DataFrame, depth: int, trees: range) -> DataFrame:
+        """The children at `depth` of nodes that branch, rows (node, place), and the nodes at this
+        depth of more trees for their documents. A pair that any tree brought together so far, but
+        in no node that was done, has both its documents there."""
+        own = rows.select("node", "place")
+        keys = staged(self._spark, own.select("place").distinct())
+        # Few documents are in large nodes; the minwise values of the others stay where they are.
+        source = staged(self._spark, picked(self._firsts.select("place", "mins"), keys, "place"))
+        below = source.join(own.hint("merge"), "place").select("place", "mins", "node")
+        return self._walk(below, 1).unionByName(self._walk(source, depth - 1, trees))
 
     def _with_component(self, rows: DataFrame) -> DataFrame:
         if self.roots is None:
@@ -261,8 +289,9 @@ class _Join:
 
     def run(self) -> DataFrame | None:
         """Rows (node, root) by place for every document that has a link, or None."""
-        level = staged(self._spark, self._branch(None))
         depth, leaves = 2, []
+        trees = trees_for(depth, self._similarity)
+        level = staged(self._spark, self._walk(self._firsts.select("place", "mins"), depth - 1, range(trees)))
         columns = ["node", "place", "s1", "s2", "cell", "query", "block"]
         while True:
             starred = self._undone(self._shared(level), 2)
@@ -284,8 +313,9 @@ class _Join:
             branching = large.where(~done)
             if branching.isEmpty():
                 break
-            level = staged(self._spark, self._branch(branching))
             depth += 1
+            before, trees = trees, max(trees, trees_for(depth, self._similarity))
+            level = staged(self._spark, self._deeper(branching, depth, range(before, trees)))
         if leaves:
             # All levels at once, by the components that the stars of all levels have made.
             self._confirm_cells(self._with_component(reduce(DataFrame.unionByName, leaves)))
