@@ -12,7 +12,8 @@ import pyarrow as pa
 # A blank before another white space character may belong to the same piece of the
 # tokenizer's pattern; any other blank always starts a new piece.
 _BLANK_RUN = re.compile(r" \s| $")
-_MEMO_ENTRIES = 1_000_000
+#: Parts after which an encoder starts its memo anew and keeps the one before for look-ups.
+_MEMO_ENTRIES = 300_000
 #: Parts the tokenizer gets in one string, short so that its tables of positions stay in the caches.
 PARTS_AT_ONCE = 200
 _encoders: dict[str, Encoder] = {}
@@ -29,7 +30,7 @@ class Encoder:
 
     Byte-level BPE encodes each piece of its split pattern alone, and every blank that
     stands alone starts a piece. So a text is cut at its blanks and each distinct part is
-    encoded once and remembered. Texts with runs of white space go to the tokenizer whole, and
+    encoded once and remembered; parts not seen for a while are forgotten. Texts with runs of white space go to the tokenizer whole, and
     so do texts that hold an added token, such as an end marker, since that is matched first.
     """
 
@@ -45,6 +46,7 @@ class Encoder:
         tokens = (self._tokenizer.id_to_token(i) or "" for i in range(size))
         self._starts = np.fromiter((t.startswith(blank) for t in tokens), dtype=bool, count=size)
         self._memo: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         encoded = self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
@@ -68,9 +70,9 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit integers."""
-        memo = self._memo
-        if len(memo) > _MEMO_ENTRIES:
-            memo.clear()
+        if len(self._memo) > _MEMO_ENTRIES:
+            self._older, self._memo = self._memo, {}
+        memo, older = self._memo, self._older
         parts: list[str] = []
         firsts, whole, ends = [], [], []
         for text in texts:
@@ -86,7 +88,9 @@ class Encoder:
         found = list(map(memo.get, parts))
         missing = [i for i, ids in enumerate(found) if ids is None]
         if missing:
-            self._learn(list({parts[i] for i in missing}))
+            wanted = {parts[i] for i in missing}
+            memo.update((part, older[part]) for part in wanted if part in older)
+            self._learn([part for part in wanted if part not in older])
             for i in missing:
                 found[i] = memo[parts[i]]
         heads = [e.ids for e in self._tokenizer.encode_batch_fast(firsts, add_special_tokens=False)]
@@ -114,7 +118,7 @@ def forget() -> None:
         pa.default_memory_pool().release_unused()
 
 
-def chunks(texts: pa.Array, most_chars: int = 1_000_000) -> Iterator[list[str]]:
+def chunks(texts: pa.Array, most_chars: int = 300_000) -> Iterator[list[str]]:
     """The texts in order, null as empty, in lists of about so many characters.
 
     Only a few hundred texts at a time are turned into Python strings.

@@ -246,6 +246,21 @@ def test_encoders_are_forgotten_and_built_again():
     assert tokens.encoder(path).encode(["some words, twice some words"]) == before
 
 
+def test_encoder_that_forgets_parts(monkeypatch):
+    from tokenizers import Tokenizer
+
+    from orderloom.llm import tokens
+
+    monkeypatch.setattr(tokens, "_MEMO_ENTRIES", 4)
+    path = tokens.default_vocabulary()
+    plain, encoder = Tokenizer.from_file(path), tokens.Encoder(path)
+    for i in range(30):
+        texts = [f"always common words and new{i} ones{i % 7}", f"common or{i % 3} not"]
+        expected = [np.array(plain.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+        assert encoder.encode(texts) == expected
+        assert len(encoder._memo) + len(encoder._older) < 40
+
+
 def test_pieces_hold_the_ids_of_the_library(spark, docs):
     from tokenizers import Tokenizer
 
@@ -390,6 +405,42 @@ def test_near_duplicates_in_large_nodes(spark, monkeypatch, most):
     assert len(set(expected.values())) > 20
 
 
+def test_trees_reach_the_target_recall(spark, monkeypatch):
+    """Pairs at 0.803 in a family that shares most words, so that nodes have to branch far down."""
+    for name, value in (("SMALL", 8), ("AT_ONCE", 0), ("DEEPEST", 6)):
+        monkeypatch.setattr(neardup, name, value)
+    asked = []
+    count = neardup.trees_for
+    monkeypatch.setattr(neardup, "trees_for", lambda depth, alike: asked.append(depth) or count(depth, alike))
+    shared = " ".join(f"s{j}" for j in range(66))
+    texts = []
+    for i in range(500):
+        own = shared + "".join(f" f{i}x{j}" for j in range(33))
+        texts += [own + "".join(f" {side}{i}x{j}" for j in range(12)) for side in "ab"]
+    rows = neardup.near_digest(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in rows} == {i: i - i % 2 for i in range(1000)}
+    assert asked == [2, 3, 4, 5, 6]
+
+
+def test_number_of_trees_by_trial():
+    """Of made pairs at the threshold, as many meet at a depth as the number of trees promises."""
+    random = np.random.default_rng(4)
+    mins = random.integers(0, 2**32, (4000, neardup.MINS), dtype=np.uint32)
+    other = np.where(random.random(mins.shape) < 0.8, mins, random.integers(0, 2**32, mins.shape, dtype=np.uint32))
+    for depth in (2, 5):
+        trees = range(neardup.trees_for(depth, 0.8))
+        met = [set(), set()]
+        for some, values in zip(met, (mins, other), strict=True):
+            owner, nodes = neardup._roots(values, trees)
+            for _ in range(depth - 1):
+                owner, nodes = neardup._children(nodes, owner, values, 0.8)
+            some.update(zip(owner.tolist(), nodes.tolist(), strict=True))
+        missed = 4000 - len({owner for owner, _ in met[0] & met[1]})
+        assert missed <= 4
+    assert neardup.trees_for(9, 0.8) > neardup.trees_for(2, 0.8) > 1
+    assert neardup.trees_for(2, 1.0) < neardup.trees_for(2, 0.8) and neardup.trees_for(9, 0.3) == neardup.MINS
+
+
 def test_language(spark, docs, none):
     train = [(i, ("the house and the garden " if i % 2 else "das haus und der garten ") * 3, "en" if i % 2 else "de") for i in range(60)]
     table = spark.createDataFrame(train, "doc_id long, text string, lang string")
