@@ -14,6 +14,8 @@ from orderloom.llm.common import numbered, ship, staged
 from orderloom.llm.tokens import chunks, default_vocabulary, encoder
 
 WINDOW = 1024
+#: Of a task's encoder: fewer than its default, as packing may share its workers with other stages.
+PARTS_KEPT = 250_000
 Packing = list[tuple[tuple[int, ...], int]]
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -124,7 +126,7 @@ def cut_pieces(docs: DataFrame, vocabulary: str, end_id: int, window: int) -> Da
     """Rows of PIECES: each document's ids with the end id, cut after every full window."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary).encode
+        encode = encoder(vocabulary, PARTS_KEPT).encode
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             ids = batch.column(0).to_pylist()

@@ -13,10 +13,10 @@ import pyarrow as pa
 # tokenizer's pattern; any other blank always starts a new piece.
 _BLANK_RUN = re.compile(r" \s| $")
 #: Parts after which an encoder starts its memo anew and keeps the one before for look-ups.
-_MEMO_ENTRIES = 300_000
+PARTS_KEPT = 500_000
 #: Parts the tokenizer gets in one string, short so that its tables of positions stay in the caches.
 PARTS_AT_ONCE = 200
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, int], Encoder] = {}
 
 
 def default_vocabulary() -> str:
@@ -34,7 +34,7 @@ class Encoder:
     so do texts that hold an added token, such as an end marker, since that is matched first.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, parts_kept: int = PARTS_KEPT):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -45,6 +45,7 @@ class Encoder:
         blank = self._tokenizer.encode(" ", add_special_tokens=False).tokens[0]
         tokens = (self._tokenizer.id_to_token(i) or "" for i in range(size))
         self._starts = np.fromiter((t.startswith(blank) for t in tokens), dtype=bool, count=size)
+        self._parts_kept = parts_kept
         self._memo: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
 
@@ -70,7 +71,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit integers."""
-        if len(self._memo) > _MEMO_ENTRIES:
+        if len(self._memo) > self._parts_kept:
             self._older, self._memo = self._memo, {}
         memo, older = self._memo, self._older
         parts: list[str] = []
@@ -101,11 +102,11 @@ class Encoder:
         return out
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, parts_kept: int = PARTS_KEPT) -> Encoder:
     """The process's encoder; Spark keeps Python workers, and so its memo, across tasks."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    if (path, parts_kept) not in _encoders:
+        _encoders[path, parts_kept] = Encoder(path, parts_kept)
+    return _encoders[path, parts_kept]
 
 
 def forget() -> None:

@@ -246,14 +246,13 @@ def test_encoders_are_forgotten_and_built_again():
     assert tokens.encoder(path).encode(["some words, twice some words"]) == before
 
 
-def test_encoder_that_forgets_parts(monkeypatch):
+def test_encoder_that_forgets_parts():
     from tokenizers import Tokenizer
 
     from orderloom.llm import tokens
 
-    monkeypatch.setattr(tokens, "_MEMO_ENTRIES", 4)
     path = tokens.default_vocabulary()
-    plain, encoder = Tokenizer.from_file(path), tokens.Encoder(path)
+    plain, encoder = Tokenizer.from_file(path), tokens.Encoder(path, 4)
     for i in range(30):
         texts = [f"always common words and new{i} ones{i % 7}", f"common or{i % 3} not"]
         expected = [np.array(plain.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
