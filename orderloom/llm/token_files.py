@@ -18,6 +18,8 @@ from orderloom.llm.common import ship, staged
 from orderloom.llm.tokens import chunks, default_vocabulary, encoder
 
 LENGTH = 1024
+#: Longer runs of texts than by default: fewer calls of the tokenizer.
+CHARS_AT_ONCE = 1_000_000
 ROWS_PER_BATCH = 64
 
 #: `batches` holds where in the file each batch of ROWS_PER_BATCH sequences begins; the last may
@@ -128,7 +130,7 @@ def write_token_files(
         writer = None
         for batch in batches:
             ids, at = batch.column(0).to_pylist(), 0
-            for texts in chunks(batch.column(1)):
+            for texts in chunks(batch.column(1), CHARS_AT_ONCE):
                 writer = writer or _Writer(folder, task.partitionId(), task.taskAttemptId(), length, id_type)
                 writer.add(ids[at : at + len(texts)], [data + end for data in encode(texts)])
                 at += len(texts)
