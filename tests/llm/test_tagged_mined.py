@@ -5,6 +5,7 @@ import itertools
 import math
 import re
 from collections import Counter
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -115,6 +116,37 @@ def model():
     return pii.fit([x for t in numbered_texts(1500, 4) for x in pii.examples_of(t)])
 
 
+def test_every_window_of_a_text_is_decoded(model):
+    class Seen:
+        def __init__(self):
+            self.windows = []
+            self.follow = model.tagger.follow
+
+        def decode(self, ids):
+            self.windows.append(ids)
+            return model.tagger.decode(ids)
+
+    texts = ["plain words without any mark " * 40, "", "x", "write to someone at example.org today " * 3]
+    seen = Seen()
+    replace(model, tagger=seen).added(texts, [[] for _ in texts])
+    windows = np.concatenate(seen.windows)
+    whole = 0
+    for text in texts:
+        starts = pii.window_starts(pii.codes_of(text)).tolist()
+        assert {i for a in starts for i in range(a, min(a + pii.WINDOW, len(text)))} == set(range(len(text)))
+        whole += len(starts)
+    assert len(windows) == whole == 36 + 0 + 1 + 3
+
+
+def test_decoding_of_blocks_is_that_of_all_paths(model):
+    ids, _ = pii.training_windows([x for t in numbered_texts(600, 3) for x in pii.examples_of(t)])
+    assert len(ids) > 512
+    path, e = model.tagger.decode(ids)
+    slow = model.tagger._emissions(model.tagger._run(ids, False)[0])
+    assert np.allclose(e, slow, atol=1e-3)
+    assert (path == model.tagger._best_paths(e)).all() and (path > 0).any()
+
+
 def test_the_tagger_finds_disguised_spans(model):
     assert model.precision >= pii.PRECISION and model.recall > 0.8
     text = "the garden and river (555) 555-0143 is old but not very far, " + "a house " * 30 + "jo.3@river-4[.]example"
