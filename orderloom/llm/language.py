@@ -14,22 +14,25 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from orderloom.llm.bytehash import mixed
-from orderloom.llm.common import ship, staged
+from orderloom.llm.common import BROADCAST_KEYS, ship, staged
 from orderloom.llm.tokens import chunks, forget
 
 UNKNOWN = "und"
 NGRAM = 5  # bytes
 SLOTS = 2**21
 HASHES = 3
-#: At most so many documents of each language are learned from: the bound of the sample.
+#: At most so many documents of each language are learned from where a sample is asked for.
 SAMPLE_PER_LANGUAGE = 2000
-#: The floor of scores is taken from about so many held-out documents; of those that are named
-#: rightly, this share may lie below it.
-SAMPLE_HELD_OUT = 20_000
+#: Of the held-out documents that are named rightly, this share may lie below the least score.
 LOST = 0.0005
-#: An n-gram belongs to a language if it is in two of its sampled documents at least, and in a
-#: share of them that reaches this part of the largest share in any language.
+#: Bins that a range of scores is cut into to find the one of a rank.
+BINS = 4096
+#: An n-gram belongs to a language if it is in two of its documents and in this share of them at
+#: least, and the share reaches this part of the largest share in any language.
+LEAST_SHARE = 0.001
 PURITY = 0.1
+#: N-grams, once a document, that are counted at once in a task.
+GRAMS_AT_ONCE = 2_000_000
 
 _BLANKS = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 
@@ -97,52 +100,90 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def learn(spark: SparkSession, labelled: DataFrame) -> Model:
-    """A model from rows (doc_id, text, lang).
+def _distinct(spark: SparkSession, complete: DataFrame) -> tuple[DataFrame, dict[str, int]]:
+    """All distinct rows (lang, text), by lang and hash, and their number in each language.
 
-    Of each language the SAMPLE_PER_LANGUAGE distinct documents with the smallest hash of
-    doc_id and text count; rows with a null in any of the three do not. Rows are first held
-    against a threshold that the number of the language's rows gives, so that a language or a
-    document that many rows share brings a bounded number of rows together. Only bounded data
-    reach the driver: rows per language and the filters' bits, 64 positions to a row.
+    Only the hashes are grouped; of the rows, those whose hash comes more than once are
+    shuffled.
     """
-    ship(spark)
-    complete = labelled.where("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL").select(
-        F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), F.col("doc_id")
-    )
+    keys = staged(spark, complete.groupBy("lang", "hash").count())
+    sizes = {row["lang"]: row["count"] for row in keys.groupBy("lang").count().collect()}
+    twice = keys.where("count > 1").select("lang", "hash")
+    repeated = twice.count()
+    if not repeated:
+        return complete.select("lang", "text"), sizes
+    twice = F.broadcast(twice) if repeated <= BROADCAST_KEYS else twice
+    once = complete.join(twice, ["lang", "hash"], "left_anti")
+    first = complete.join(twice, ["lang", "hash"], "left_semi").dropDuplicates(["lang", "hash"])
+    return once.unionByName(first).select("lang", "text"), sizes
+
+
+def _sampled(spark: SparkSession, complete: DataFrame) -> tuple[DataFrame, dict[str, int]]:
+    """The sampled rows (lang, text), and their number in each language."""
     rows = {row["lang"]: row["count"] for row in complete.groupBy("lang").count().collect()}
     if not rows:
-        return Model([], np.zeros((SLOTS, 1), dtype=np.uint8), np.zeros(0))
+        return complete.select("lang", "text"), {}
     share = F.create_map(*(F.lit(x) for lang, n in rows.items() for x in (lang, min(1.0, 2 * SAMPLE_PER_LANGUAGE / n))))
-    hashed = F.xxhash64("doc_id", "text")
-    below = F.pmod(hashed, F.lit(2**30)) < share[F.col("lang")] * 2**30
-    some = complete.where(below).select("lang", "text", hashed.alias("hash")).dropDuplicates(["lang", "hash"])
+    below = F.pmod("hash", F.lit(2**30)) < share[F.col("lang")] * 2**30
+    some = complete.where(below).dropDuplicates(["lang", "hash"])
     order = Window.partitionBy("lang").orderBy(F.pmod("hash", F.lit(2**30)), "hash")
     ranked = some.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= SAMPLE_PER_LANGUAGE)
     sample = staged(spark, ranked.select("lang", "text"))
     sizes = {row["lang"]: row["count"] for row in sample.groupBy("lang").count().collect()}
+    return sample.repartition(spark.sparkContext.defaultParallelism * 2), sizes
+
+
+def learn(spark: SparkSession, labelled: DataFrame, whole: bool = False) -> Model:
+    """A model from rows (doc_id, text, lang); rows with a null in any of the three do not count.
+
+    If `whole`, every distinct document counts. Otherwise those SAMPLE_PER_LANGUAGE of each language
+    do that have the smallest hash of doc_id and text; rows are first held against a threshold
+    that the number of the language's rows gives, so that a language or a document that many
+    rows share brings a bounded number of rows together. Only bounded data reach the driver: rows
+    per language and the filters' bits, 64 positions to a row.
+    """
+    ship(spark)
+    hashed = F.xxhash64("doc_id", "text").alias("hash")
+    complete = labelled.where("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL").select(
+        F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), hashed
+    )
+    if whole:
+        sample, sizes = _distinct(spark, complete)
+    else:
+        sample, sizes = _sampled(spark, complete)
+    if not sizes:
+        return Model([], np.zeros((SLOTS, 1), dtype=np.uint8), np.zeros(0))
     languages = sorted(sizes)
 
+    def counts_of(lang: str, seen: list[np.ndarray]) -> pa.RecordBatch:
+        values, counts = np.unique(np.concatenate(seen), return_counts=True)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(values.view(np.int64)), pa.array([lang] * len(values)), pa.array(counts.astype(np.int64))],
+            ["gram", "lang", "docs"],
+        )
+
     def grams_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
         for batch in batches:
             for lang in batch.column(0).unique().to_pylist():
-                seen = []
+                seen, held = [], 0
                 for some in chunks(batch.column(1).filter(pc.equal(batch.column(0), lang))):
                     grams, bounds = _grams(some)
                     seen += [np.unique(grams[a : b - NGRAM + 1]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-                values, counts = np.unique(np.concatenate(seen), return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(values.view(np.int64)), pa.array([lang] * len(values)), pa.array(counts.astype(np.int64))],
-                    ["gram", "lang", "docs"],
-                )
+                    held += len(grams)
+                    if held >= GRAMS_AT_ONCE:
+                        yield counts_of(lang, seen)
+                        seen, held = [], 0
+                if seen:
+                    yield counts_of(lang, seen)
 
     size_of = F.create_map(*(F.lit(x) for lang in languages for x in (lang, float(sizes[lang]))))
-    counted = sample.repartition(spark.sparkContext.defaultParallelism * 2).mapInArrow(grams_of, "gram long, lang string, docs long")
+    counted = sample.mapInArrow(grams_of, "gram long, lang string, docs long")
     shares = (
         counted.groupBy("gram", "lang")
         .agg(F.sum("docs").alias("docs"))
         .withColumn("share", F.col("docs") / size_of[F.col("lang")])
+        .where(F.col("share") >= LEAST_SHARE)
     )
     largest = F.max("share").over(Window.partitionBy("gram"))
     enough = (F.col("docs") >= 2) | (size_of[F.col("lang")] < 20)
@@ -201,7 +242,7 @@ def identify(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
 
 def language_digest(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Rows (doc_id, held_out, lang_pred, score), learned from what is not held out."""
-    model = learn(spark, docs.where(~held_out(F.col("doc_id"))))
+    model = learn(spark, docs.where(~held_out(F.col("doc_id"))), whole=True)
     return identify(spark, docs.select("doc_id", "text"), model).select(
         F.col("row.doc_id").alias("doc_id"), held_out(F.col("row.doc_id")).alias("held_out"), "lang_pred", "score"
     )
@@ -223,26 +264,46 @@ def with_letters(spark: SparkSession, docs: DataFrame) -> DataFrame:
 def least_score(spark: SparkSession, docs: DataFrame, model: Model) -> float:
     """The score that all but the share LOST of rightly named held-out documents reach.
 
-    Of the held-out rows with text and lang, about SAMPLE_HELD_OUT distinct texts are scored. 0
-    where there are none.
+    Every held-out row with text and lang is scored, and distinct texts of a language count once.
+    0 where there are none.
     """
     labelled = docs.where(held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    count = labelled.count()
-    below = F.pmod(F.xxhash64("text", F.lit(7)), F.lit(2**30)) < math.ceil(min(1.0, SAMPLE_HELD_OUT / max(count, 1)) * 2**30)
-    some = labelled.where(below).select(F.col("lang").cast("string").alias("lang"), "text").distinct()
-    right = identify(spark, some, model).where(F.col("row.lang") == F.col("lang_pred"))
-    return right.agg(F.percentile_approx("score", LOST, 100_000)).first()[0] or 0.0
+    rows = labelled.select(F.col("lang").cast("string").alias("lang"), "text", F.xxhash64("text").alias("hash"))
+    right = identify(spark, rows, model).where(F.col("row.lang") == F.col("lang_pred"))
+    scores = staged(spark, right.select("row.lang", "row.hash", "score").distinct())
+    count = scores.count()
+    return ranked_value(scores, "score", math.ceil(LOST * count)) if count else 0.0
+
+
+def ranked_value(rows: DataFrame, column: str, rank: int) -> float:
+    """The value of a rank, from 1, in ascending order; the rows should be staged and not null.
+
+    The range that holds it is cut into BINS until one value is left, so at most a row per bin
+    reaches the driver.
+    """
+    value = F.col(column)
+    low, high = rows.agg(F.min(value), F.max(value)).first()
+    while low < high:
+        place = F.least(F.lit(BINS - 1), F.floor((value - F.lit(low)) / F.lit(high - low) * BINS))
+        inside = rows.where(value.between(low, high)).groupBy(place.alias("bin"))
+        bins = inside.agg(F.count(F.lit(1)).alias("rows"), F.min(value).alias("low"), F.max(value).alias("high"))
+        for found in bins.orderBy("low").collect():
+            if rank <= found["rows"]:
+                low, high = found["low"], found["high"]
+                break
+            rank -= found["rows"]
+    return low
 
 
 def drop_unknown(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The documents of a learned language, their columns as they came.
 
-    The model is learned from the rows that carry a `lang` and are not held out; held-out rows
+    The model is learned from all rows that carry a `lang` and are not held out; all held-out rows
     give the `least_score`. Rejected are texts without letters and those whose score is below it:
     too few of their n-grams are known in any language. Where no row can be learned from,
     letters alone decide.
     """
-    model = learn(spark, docs.where(~held_out(F.col("doc_id"))))
+    model = learn(spark, docs.where(~held_out(F.col("doc_id"))), whole=True)
     if not model.languages:
         return with_letters(spark, docs)
     least = least_score(spark, docs, model)

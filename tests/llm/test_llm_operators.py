@@ -504,6 +504,33 @@ def test_one_document_in_a_third_of_the_rows_does_not_make_the_sample(spark, mon
     assert len(texts) == len(set(texts)) and 40 <= len(texts) <= 50
 
 
+def test_the_whole_table_is_learned_from_and_sets_the_least_score(spark, monkeypatch):
+    """Neither a word that few documents have nor a low score of one document is missed."""
+    monkeypatch.setattr(language, "SAMPLE_PER_LANGUAGE", 30)
+    monkeypatch.setattr(language, "SAMPLE_HELD_OUT", 30, raising=False)
+    monkeypatch.setattr(language, "GRAMS_AT_ONCE", 20_000)
+    monkeypatch.setattr(language, "LOST", 0.02)
+    random = np.random.default_rng(6)
+    words = ["".join(random.choice(list("abcdefgh"), 5)) for _ in range(60)]
+    rows = [(i, " ".join(random.choice(words, 30)) + (" zyxwvut" if i % 150 == 0 else ""), "en") for i in range(1200)]
+    rows += [(i, "".join(random.choice(list("uvwxyz"), 60)), "xx") for i in range(1200, 1500)] + rows[:300] * 2
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    keep = [r for r in dict.fromkeys(rows) if zlib.crc32(str(r[0]).encode()) % 4 != 2]
+    model = language.learn(spark, table.where(~language.held_out(F.col("doc_id"))), whole=True)
+    slots = language._slots(language.mixed(np.array([int.from_bytes(b"zyxwv", "little")], dtype=np.uint64)))
+    assert sum("zyxwv" in t for _, t, _ in keep) >= 2
+    assert (model.table[slots[0]] & model.table[slots[1]] & model.table[slots[2]])[0, 0] & 1
+
+    given = language.learn(spark, spark.createDataFrame(keep, "doc_id long, text string, lang string"), whole=True)
+    assert (given.table == model.table).all()
+
+    away = {(t, lang) for i, t, lang in rows if zlib.crc32(str(i).encode()) % 4 == 2}
+    named = [(lang, *(x[0] for x in model.predict([t]))) for t, lang in away]
+    scores = sorted(score for lang, said, score in named if lang == said)
+    assert len(scores) > 200
+    assert language.least_score(spark, table, model) == scores[int(np.ceil(0.02 * len(scores))) - 1]
+
+
 def test_texts_of_no_language_go(spark):
     random = np.random.default_rng(4)
     words = ["".join(random.choice(list("abcdefgh"), 5)) for _ in range(60)]
