@@ -119,6 +119,15 @@ def csv_padded_header(spark: SparkSession, folder: str) -> DataFrame:
     return with_double(read_csv(spark, path, PRODUCTS).select(*PRODUCTS.column_names), "price")
 
 
+# Rows that a task sorts for one CSV file.
+ROWS_PER_FILE = 1_000_000
+
+
+def csv_files_of(rows: int) -> int:
+    """Files for so many rows, so that no task sorts more of them as a table grows."""
+    return max(8, -(-rows // ROWS_PER_FILE))
+
+
 def csv_elected_dates(spark: SparkSession, folder: str) -> DataFrame:
     """Days of orders whose file writes them month first, with some written otherwise."""
     path = scratch_folder(spark)
@@ -127,7 +136,11 @@ def csv_elected_dates(spark: SparkSession, folder: str) -> DataFrame:
     written = stage_orders(spark, folder).where(day.isNotNull()).withColumn("order_date", text)
     (
         written.select(*ORDERS.column_names)
-        .repartitionByRange(8, key % 13 == 0, "order_id")
+        .repartitionByRange(
+            csv_files_of(spark.read.parquet(f"{folder}/lineitem.parquet").count()),
+            key % 13 == 0,
+            "order_id",
+        )
         .sortWithinPartitions(key % 13 == 0, "order_id")
         .write.option("header", True)
         .csv(path)
