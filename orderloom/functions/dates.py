@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,10 +19,23 @@ def parse_date(text: Column, formats: Sequence[str]) -> Column:
     """Text to date by the first format that fits; null where none does.
 
     The time of day of an ISO timestamp is dropped first: the day is the one that is
-    written, whatever its zone.
+    written, whatever its zone. Texts that lack one of a format's marks are not parsed by it, as
+    a failed parse costs an exception.
     """
-    day = F.regexp_replace(strip(text), ISO_WITH_TIME, "$1")
-    return F.coalesce(*[F.try_to_date(day, fmt) for fmt in formats])
+    trimmed = strip(text)
+    timed = F.contains(trimmed, F.lit(":"))
+    day = F.when(timed, F.regexp_replace(trimmed, ISO_WITH_TIME, "$1")).otherwise(trimmed)
+    return F.coalesce(*[F.try_to_date(_with_marks(day, fmt), fmt) for fmt in formats])
+
+
+def _with_marks(day: Column, fmt: str) -> Column:
+    """The text where it has every mark of a format of letters and plain marks."""
+    if not re.fullmatch(r"[A-Za-z/., -]+", fmt):
+        return day
+    marks = sorted(set(re.findall(r"[^A-Za-z]", fmt)))
+    if not marks:
+        return day
+    return F.when(reduce(Column.__and__, [F.contains(day, F.lit(m)) for m in marks]), day)
 
 
 def date_key(day: Column) -> Column:

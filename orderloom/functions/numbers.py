@@ -10,12 +10,22 @@ from orderloom.schemas import AMOUNT
 from orderloom.functions.text import strip
 
 
+# A failed cast costs an exception, so texts with a printable character that no such number has are
+# not cast at all.
+NOT_WHOLE = r"[!-*,./:-~]"
+NOT_DECIMAL = r"[!-*,/:-DF-df-~]"
+
+
+def _without(text: Column, misfits: str) -> Column:
+    return F.when(~text.rlike(misfits), text)
+
+
 def to_whole(text: Column) -> Column:
     """Text to bigint. `5.0` is 5, as a column with gaps is often written so."""
     trimmed = strip(text)
-    exact = trimmed.try_cast("decimal(38,6)")
+    exact = _without(trimmed, NOT_DECIMAL).try_cast("decimal(38,6)")
     return F.coalesce(
-        trimmed.try_cast("bigint"),
+        _without(trimmed, NOT_WHOLE).try_cast("bigint"),
         F.when(exact == F.floor(exact), exact.try_cast("bigint")),
     )
 
@@ -26,6 +36,8 @@ def to_typed(text: Column, dtype: T.DataType) -> Column:
         return text
     if isinstance(dtype, T.LongType):
         return to_whole(text)
+    if isinstance(dtype, T.DecimalType):
+        return _without(strip(text), NOT_DECIMAL).try_cast(dtype)
     return strip(text).try_cast(dtype)
 
 

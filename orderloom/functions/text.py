@@ -38,8 +38,13 @@ NULL_TOKENS = (
 
 
 def strip(text: Column) -> Column:
-    """Trim all white space at both ends; Spark's bare trim() takes spaces only."""
-    return F.btrim(text, F.lit(WHITESPACE))
+    """Trim all white space at both ends; Spark's bare trim() takes spaces only.
+
+    Trimming searches the whole list, so texts that begin and end with printable ASCII are left
+    as they are at once.
+    """
+    ends = F.ascii(text).between(33, 126) & F.ascii(F.substring(text, -1, 1)).between(33, 126)
+    return F.when(ends, text).otherwise(F.btrim(text, F.lit(WHITESPACE)))
 
 
 def null_if_token(text: Column) -> Column:

@@ -6,8 +6,6 @@ several rules. Each source is read once.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -117,18 +115,17 @@ def reading_rules(rows: DataFrame) -> list[RowRule]:
 def source_issues(rows: DataFrame, source: SourceSchema, row_rules: list[RowRule]) -> DataFrame:
     """All violations in one source, by a single pass over its rows."""
     row_rules = [*row_rules, *reading_rules(rows)]
-    hits = F.array_compact(
-        F.array(
-            *[
-                F.when(broken, F.struct(F.lit(rule).alias("rule"), message.alias("message")))
-                for rule, broken, message in row_rules
-            ]
-        )
+    # Rules that a row keeps are dropped after the array: in it that would be interpreted, and a
+    # filter before it would be pushed to the scan and compute all cells once more.
+    hits = F.array(
+        *[
+            F.when(broken, F.struct(F.lit(rule).alias("rule"), message.alias("message")))
+            for rule, broken, message in row_rules
+        ]
     )
-    any_broken = reduce(Column.__or__, [broken for _, broken, _ in row_rules])
     return (
-        rows.where(any_broken)
-        .select(F.col(source.key).alias("key"), F.explode(hits).alias("hit"))
+        rows.select(F.col(source.key).alias("key"), F.explode(hits).alias("hit"))
+        .where(F.col("hit").isNotNull())
         .select(
             F.lit(source.name).alias("entity"),
             "key",

@@ -101,25 +101,28 @@ def read_csv(
     missing = [name for name in schema.column_names if name not in raw.columns]
     if missing:
         raise ValueError(f"{path} lacks the {schema.name} columns {missing}")
-    cells = {name: null_if_token(F.col(name)) for name in schema.column_names}
-    typed = {name: to_typed(cells[name], dtype) for name, dtype in schema.columns}
-    rejected = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    cells[name].isNotNull() & typed[name].isNull(),
-                    F.struct(F.lit(name).alias("column"), cells[name].alias("text")),
-                )
-                for name in schema.column_names
-            ]
-        )
-    )
-    return raw.select(
-        *[typed[name].alias(name) for name in schema.column_names],
-        rejected.alias(REJECTED),
+    # One step after the other, so that what a later one uses twice is computed once.
+    cells = raw.select(
+        *[null_if_token(F.col(name)).alias(f"_cell_{name}") for name in schema.column_names],
         CORRUPT,
         POSITION,
     )
+    typed = cells.select(
+        "*", *[to_typed(F.col(f"_cell_{name}"), dtype).alias(name) for name, dtype in schema.columns]
+    )
+    # Arrays are joined, as a filter of them would be interpreted. Text columns take any cell, but
+    # lines are only told apart from broken ones where every column is read.
+    none = F.array().cast("array<struct<column:string,text:string>>")
+    misfits = [
+        F.when(
+            F.col(f"_cell_{name}").isNotNull() & F.col(name).isNull(),
+            F.array(F.struct(F.lit(name).alias("column"), F.col(f"_cell_{name}").alias("text"))),
+        ).otherwise(none)
+        for name in schema.column_names
+    ]
+    return typed.select(
+        *schema.column_names, F.concat(*misfits).alias(REJECTED), CORRUPT, POSITION
+    )
 
 
 def bad_lines(table: DataFrame) -> DataFrame:

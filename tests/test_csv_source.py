@@ -1,3 +1,4 @@
+import re
 from decimal import Decimal
 
 import pytest
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 from edge_rows import rows
 from orderloom.operators.dedupe import keep_first
 from orderloom.schemas import CUSTOMERS, ORDER_DAY, PRODUCTS, Rules
+from orderloom.plans.issues import product_rules, source_issues
 from orderloom.sources.csv_files import (
     bad_lines,
     read_csv,
@@ -144,3 +146,18 @@ def test_files_elect_in_their_order_and_rules_overrule_them(spark, tmp_path):
         "2021-01-02",
         "2021-05-06",
     ]
+
+
+def test_cells_are_read_once_for_issues(spark, tmp_path):
+    """No filter is pushed to the scan, which would compute every cell again."""
+    table = products(spark, tmp_path, "1,a,b,cheap,x\n2,a,b,NA,1\n5,a,b,1,1\n")
+    issues = source_issues(table, PRODUCTS, product_rules())
+    filters = re.findall("Filter (.*)", issues._jdf.queryExecution().optimizedPlan().toString())
+    assert sorted(re.sub("#[0-9]+", "", f) for f in filters) == ["isnotnull(_path)", "isnotnull(hit)"]
+    assert [r.rule for r in issues.orderBy("key", "rule").collect()] == ["DQ-2", "DQ-3", "DQ-6", "DQ-2"]
+
+
+def test_files_of_elected_dates_grow_in_number_only():
+    from contract.bindings import csv_files_of
+
+    assert csv_files_of(600_000) == 8 and csv_files_of(216_000_000) >= 200

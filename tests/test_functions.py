@@ -112,3 +112,17 @@ def test_date_parts(spark):
 )
 def test_predicates(spark, predicate, dtype, cells, expected):
     assert values(spark, cells, predicate, dtype) == expected
+
+
+def test_whole_numbers_of_odd_texts(spark):
+    cells = ["many", "2.5", "5.0", "1e3", "+7", " 8\t", "1-", "--1", "0x5", "5d", "1 2", "٣", "9" * 30, " -4 ", "."]
+    wanted = [None, None, 5, 1000, 7, 8, None, None, None, None, None, 3, None, -4, None]
+    assert values(spark, cells, numbers.to_whole) == wanted
+
+
+def test_a_format_reads_only_texts_with_its_marks(spark):
+    cells = ["1995-03-04", "03/04/1995", "1995-3-4 10:11", "4.3.1995", "no-date", "19950304", None]
+    formats = ["yyyy-M-d", "M/d/yyyy", "yyyyMMdd"]
+    found = values(spark, cells, lambda c: dates.parse_date(c, formats))
+    day, other = datetime.date(1995, 3, 4), None
+    assert found == [day, day, day, other, other, day, None]
