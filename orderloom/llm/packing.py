@@ -16,6 +16,8 @@ from orderloom.llm.tokens import chunks, default_vocabulary, encoder
 WINDOW = 1024
 #: Of a task's encoder: fewer than its default, as packing may share its workers with other stages.
 PARTS_KEPT = 250_000
+#: Whole batches, mostly: of the texts that are encoded at once each distinct part is looked up once.
+CHARS_AT_ONCE = 4_000_000
 Packing = list[tuple[tuple[int, ...], int]]
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -131,7 +133,7 @@ def cut_pieces(docs: DataFrame, vocabulary: str, end_id: int, window: int) -> Da
         for batch in batches:
             ids = batch.column(0).to_pylist()
             at = 0
-            for texts in chunks(batch.column(1)):
+            for texts in chunks(batch.column(1), CHARS_AT_ONCE):
                 rows = []
                 for data in encode(texts):
                     data += end

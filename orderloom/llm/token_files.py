@@ -18,8 +18,8 @@ from orderloom.llm.common import ship, staged
 from orderloom.llm.tokens import chunks, default_vocabulary, encoder
 
 LENGTH = 1024
-#: Longer runs of texts than by default: fewer calls of the tokenizer.
-CHARS_AT_ONCE = 1_000_000
+#: Longer runs of texts than by default: each distinct part of them is looked up once.
+CHARS_AT_ONCE = 4_000_000
 ROWS_PER_BATCH = 64
 
 #: `batches` holds where in the file each batch of ROWS_PER_BATCH sequences begins; the last may

@@ -260,6 +260,27 @@ def test_encoder_that_forgets_parts():
         assert len(encoder._memo) + len(encoder._older) < 40
 
 
+def test_encoder_looks_up_each_distinct_part_once(monkeypatch):
+    from tokenizers import Tokenizer
+
+    from orderloom.llm import tokens
+
+    path = tokens.default_vocabulary()
+    plain, encoder = Tokenizer.from_file(path), tokens.Encoder(path)
+    random = np.random.default_rng(5)
+    words = ["the", "garden", "é漢", "x.\ny", "", "<|endof", "don't", "1,024"]
+    texts = [" ".join(random.choice(words, n)) for n in (0, 1, 2, 500, 5000)] + ["", " ", "lead", "a <|endoftext|> b"]
+    looked_up = []
+    rows = encoder._rows
+    monkeypatch.setattr(encoder, "_rows", lambda parts: looked_up.append(len(parts)) or rows(parts))
+    for _ in range(2):
+        for text, ids in zip(texts, encoder.encode(texts), strict=True):
+            assert np.frombuffer(ids, dtype="<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, text
+    assert max(looked_up) <= len(words) and len(encoder._memo) <= len(words)
+    assert encoder.encode([]) == []
+    assert len(encoder.encode(["plenty of words here"] * 3)) == 3
+
+
 def test_pieces_hold_the_ids_of_the_library(spark, docs):
     from tokenizers import Tokenizer
 
