@@ -91,18 +91,24 @@ def with_amount(
     return priced.withColumn("TotalAmount", amount).drop(MATCHED, "Price")
 
 
-def build_fact(
-    orders: DataFrame, prices: DataFrame, counted_prices: int | None = None
-) -> DataFrame:
-    """The first valid row of each order, priced by the product dimension or its prices.
+def first_orders(orders: DataFrame) -> DataFrame:
+    """The first valid row of each order, without what only reading and ranking want."""
+    return keep_first(valid_orders(orders), "order_id").select(
+        "order_id",
+        "customer_id",
+        "product_id",
+        "quantity",
+        ORDER_DAY,
+        "payment_type",
+        "status",
+        "updated_at",
+    )
 
-    Prices are looked up before the de-duplication: its shuffle by order lets Spark
-    split a hot product in the join, which a report grouping by product would not.
-    `counted_prices` is the number of prices, if the caller has counted them.
-    """
-    priced = with_amount(valid_orders(orders), prices, counted_prices)
+
+def fact_of(priced: DataFrame) -> DataFrame:
+    """The fact out of one row per order with its amount."""
     return conform(
-        keep_first(priced, "order_id").select(
+        priced.select(
             F.col("order_id").alias("OrderKey"),
             F.col("customer_id").alias("CustomerKey"),
             F.col("product_id").alias("ProductKey"),
@@ -118,6 +124,20 @@ def build_fact(
     )
 
 
+def build_fact(
+    orders: DataFrame, prices: DataFrame, counted_prices: int | None = None
+) -> DataFrame:
+    """The first valid row of each order, priced by the product dimension or its prices.
+
+    Prices are looked up before the de-duplication: its shuffle by order lets Spark
+    split a hot product in the join, which a report grouping by product would not. A run, which
+    writes the fact at once, looks them up afterwards (`first_orders`, `with_amount`, `fact_of`).
+    `counted_prices` is the number of prices, if the caller has counted them.
+    """
+    priced = with_amount(valid_orders(orders), prices, counted_prices)
+    return fact_of(keep_first(priced, "order_id"))
+
+
 def build_star(staged: Staged) -> Star:
     star = Star(
         DimCategory=lambda: build_category(staged.products),

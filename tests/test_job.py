@@ -1,6 +1,7 @@
 import os
 import time
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from orderloom.plans.checks import check_report
 from orderloom.plans.job import PublishBlocked, claim_commit, expire_runs, run_pipeline
 from orderloom.plans.lease import LEASE_SECONDS, Lease, reclaimable
 from orderloom.plans.reports import monthly_order_trend, product_sales
+from orderloom.plans.star import first_orders, with_amount
 from orderloom.sources.csv_files import read_csv_sources
 from orderloom.sources.mart import (
     MartNotBuilt,
@@ -54,6 +56,58 @@ def test_run_and_rerun(spark, tmp_path):
     assert not (tmp_path / "mart" / f"run={second.run_id}" / "staged").exists()
 
 
+def test_many_orders_are_ranked_slice_by_slice(spark, tmp_path, monkeypatch):
+    """No shuffle holds them all, and the staged orders are gone before prices are looked up."""
+    source = staged(spark, tmp_path / "in")
+    whole = run_pipeline(spark, source, str(tmp_path / "whole"))
+    sizes, left = [], []
+
+    def ranked(orders):
+        sizes.append(orders.count())
+        return first_orders(orders)
+
+    def priced(*args):
+        left.append({path.name for path in (tmp_path / "mart").glob("run=*/staged/*")})
+        return with_amount(*args)
+
+    monkeypatch.setattr(job, "first_orders", ranked)
+    monkeypatch.setattr(job, "with_amount", priced)
+    monkeypatch.setattr(job, "ORDERS_AT_ONCE", 2)
+    sliced = run_pipeline(spark, source, str(tmp_path / "mart"))
+    assert len(sizes) == 5 and sum(sizes) == 9 and max(sizes) < 9
+    assert left == [{"customers", "products", "first_orders"}]
+    assert sliced.table_rows == whole.table_rows == TABLE_ROWS
+    for name, table in sliced.star(spark).items():
+        assert row_set(table) == row_set(whole.star(spark).table(name)), name
+    kept = run_pipeline(spark, source, str(tmp_path / "mart"), keep_staged=True)
+    folder = tmp_path / "mart" / f"run={kept.run_id}" / "staged"
+    assert {path.name for path in folder.iterdir()} == {"customers", "products", "orders"}
+
+
+def test_shuffles_of_a_run_are_gone_when_it_ends(spark, tmp_path):
+    source = staged(spark, tmp_path / "in")
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        found = disk.getAllFiles()
+        return {found.apply(i).getName() for i in range(found.size())}
+
+    for _ in range(3):  # of what ran before this test
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
+    before, setting = shuffles(), spark.conf.get(job.SHUFFLES_GO)
+    run_pipeline(spark, source, str(tmp_path / "mart"))
+    assert shuffles() <= before
+    assert spark.conf.get(job.SHUFFLES_GO) == setting == "false"
+
+
+def test_tables_are_written_small(spark, tmp_path):
+    result = run_pipeline(spark, staged(spark, tmp_path / "in"), str(tmp_path / "mart"))
+    for name in ("FactOrder", "DimProduct", "dq_issues"):
+        file = next((tmp_path / "mart" / f"run={result.run_id}" / name).glob("*.parquet"))
+        assert pq.ParquetFile(file).metadata.row_group(0).column(0).compression == "ZSTD"
+
+
 def test_unbuilt_mart(spark, tmp_path):
     with pytest.raises(MartNotBuilt, match="run the pipeline first"):
         read_star(spark, str(tmp_path / "none"))

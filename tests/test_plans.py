@@ -16,7 +16,7 @@ from orderloom.operators.lookup import BROADCAST_ROWS
 from orderloom.plans import reports
 from orderloom.plans.checks import all_metrics
 from orderloom.plans.job import _Run
-from orderloom.plans.star import build_fact, with_amount
+from orderloom.plans.star import build_fact, fact_of, first_orders, with_amount
 from orderloom.schemas import MONEY, ORDER_DAY, POSITION, STAR_SCHEMAS
 from orderloom.sources.trade_tables import TRADE_RULES, stage_trade
 
@@ -141,6 +141,20 @@ def test_hot_product_is_split_in_the_price_lookup(spark, no_broadcast, tmp_path)
     assert found.exceptAll(expected).count() == 0
 
 
+def test_hot_product_is_split_when_a_run_prices_its_first_orders(spark, no_broadcast, tmp_path):
+    skewed_orders(spark).write.parquet(str(tmp_path / "o"))
+    orders = spark.read.parquet(str(tmp_path / "o"))
+    prices = spark.range(5000).select(
+        F.col("id").alias("ProductKey"), (F.col("id") % 9).cast(MONEY).alias("Price")
+    )
+    prices.write.parquet(str(tmp_path / "p"))
+    prices = spark.read.parquet(str(tmp_path / "p"))
+    fact = fact_of(with_amount(first_orders(orders), prices))
+    assert "skew=true" in final_plan(fact)
+    assert POSITION not in first_orders(orders).columns
+    assert fact.exceptAll(build_fact(orders, prices)).count() == 0 and fact.count() == 40_001
+
+
 def test_counted_prices_are_broadcast_below_the_bound(spark, no_broadcast):
     """A session without broadcasts is obeyed; otherwise the count decides, not Spark's estimate."""
     orders = skewed_orders(spark)
